@@ -1,0 +1,18 @@
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+os.environ["PYTHONPATH"] = f"{Path(__file__).resolve().parents[1]}:{os.environ.get('PYTHONPATH', '')}"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from sentrylake.session import build_session
+
+    session = build_session("tests", cores="4", shuffle=4, spark__driver__memory="6g", spark__ui__showConsoleProgress="false")
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
