@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sentrylake.llm import decontamination, exact_dedup, packing, sharding
+from sentrylake.llm import decontamination, exact_dedup, license_scan, near_dedup, packing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licence_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(_table(spark, sf_dir, "documents"))
+
+
 #: A-Z in lower case, other letters unchanged.
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -50,6 +58,30 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def _op4_sql() -> str:
+    """Sentences matched one by one in SQL; the rules are walked over (position, identifier) rows."""
+    case = " ".join(f"WHEN regexp_full_match(n, '{pattern}') THEN '{name}'" for name, pattern in license_scan.SENTENCES)
+    values = ", ".join(f"({k}, '{name}', '{kind}', [{', '.join(repr(x) for x in seq)}])" for k, (name, kind, seq) in enumerate(license_scan.RULES))
+    dot = "regexp_replace(regexp_replace(lower(s), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g'), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g')"
+    return rf"""
+WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?;])[\s\x0B]+', '\1' || chr(10), 'g'), '[\n\r]+'), x -> trim(x) <> '') AS l FROM documents),
+sent AS (SELECT doc_id, unnest(l) AS s, unnest(generate_series(1, len(l))) AS i FROM cut),
+norm AS (SELECT doc_id, i, trim(regexp_replace(replace(replace({dot}, '.', ' '), chr(1), '.'), '[^\p{{L}}\p{{N}}.]+', ' ', 'g')) AS n FROM sent WHERE regexp_matches(s, '{license_scan.TRIGGER}')),
+ids AS (SELECT doc_id, i, id FROM (SELECT doc_id, i, CASE {case} END AS id FROM norm) WHERE id IS NOT NULL),
+seqs AS (SELECT doc_id, list(id ORDER BY i) AS q FROM ids GROUP BY doc_id),
+rules(k, name, kind, seq) AS (VALUES {values}),
+long_hits AS (SELECT doc_id, k, name, kind, p, len(seq) AS n FROM (SELECT doc_id, q, unnest(generate_series(1, len(q))) AS p FROM seqs) JOIN rules ON len(seq) > 1 AND list_slice(q, p, p + len(seq) - 1) = seq),
+long_used AS (SELECT * FROM long_hits h WHERE NOT EXISTS (SELECT 1 FROM long_hits g WHERE g.doc_id = h.doc_id AND g.k < h.k AND g.p < h.p + h.n AND h.p < g.p + g.n)),
+free AS (SELECT doc_id, q[p] AS id FROM (SELECT doc_id, q, unnest(generate_series(1, len(q))) AS p FROM seqs) x WHERE NOT EXISTS (SELECT 1 FROM long_used u WHERE u.doc_id = x.doc_id AND x.p BETWEEN u.p AND u.p + u.n - 1)),
+hits AS (SELECT doc_id, k, name, kind FROM long_used UNION SELECT doc_id, k, name, kind FROM free JOIN rules ON len(seq) = 1 AND seq[1] = id),
+named AS (SELECT doc_id, string_agg(name, ',' ORDER BY k) AS licences FROM (SELECT doc_id, name, min(k) AS k FROM hits GROUP BY ALL) GROUP BY 1),
+kinds AS (SELECT doc_id, string_agg(DISTINCT kind, ',' ORDER BY kind) AS categories, bool_or(kind = 'restricted') AS restricted FROM hits GROUP BY 1)
+SELECT doc_id, len(l)::BIGINT AS n_sentences, coalesce(len(q), 0)::BIGINT AS n_matched, coalesce(array_to_string(q, ','), '') AS sentence_ids,
+  coalesce(licences, '') AS licences, coalesce(categories, '') AS categories, coalesce(restricted, false) AS restricted
+FROM cut LEFT JOIN seqs USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN kinds USING (doc_id)
+"""
+
+
 OP8_SQL = f"""
 WITH t AS (SELECT doc_id, {_ASCII_LOWER} AS text FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -59,9 +91,11 @@ FROM t WINDOW g AS (PARTITION BY text)
 
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
+    "op4_license_scan": op4_license_scan,
     "op5_sharding": op5_sharding,
     "op6_decontamination": op6_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_near_dedup": op10_near_dedup,
 }
 
-ORACLES: dict[str, str] = {"op6_decontamination": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLES: dict[str, str] = {"op4_license_scan": _op4_sql(), "op6_decontamination": OP6_SQL, "op8_exact_dedup": OP8_SQL}
