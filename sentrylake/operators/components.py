@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sentrylake.session import materialise
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo") % F.lit(1 << 40))).first()
-    return (row[0], row[1])
+def _round(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written out, and their number and checksum, observed while writing."""
+    seen = Observation()
+    kept = materialise(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo") % F.lit(1 << 40)).alias("sum")), "cc")
+    return kept, (seen.get["n"], seen.get["sum"])
 
 
 def connected_components(edges: DataFrame, left: str = "src", right: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -22,15 +24,14 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
     edge set is written to the shared folder each round; it shrinks to a star per component.
     Rows with a null end and self-loops add nodes but no links. Nodes may be numbers or strings.
     """
-    both = edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
+    both = materialise(edges.select(F.col(left).alias("a"), F.col(right).alias("b")), "edges")
     nodes = both.select(F.col("a").alias("node")).union(both.select("b")).where("node IS NOT NULL").distinct()
     work = (
         both.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
         .distinct()
     )
-    work = materialise(work, "cc")
-    before = _signature(work)
+    work, before = _round(work)
     for _ in range(max_rounds):
         if before[0] == 0:
             break
@@ -51,8 +52,7 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
             .where("hi <> lo")
             .distinct()
         )
-        work = materialise(small, "cc")
-        after = _signature(work)
+        work, after = _round(small)
         if after == before:
             break
         before = after
