@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sentrylake.llm import decontamination, exact_dedup, license_scan, near_dedup, packing, sharding
+from sentrylake.llm import decontamination, exact_dedup, license_scan, near_dedup, packing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -64,7 +68,7 @@ def _op4_sql() -> str:
     values = ", ".join(f"({k}, '{name}', '{kind}', [{', '.join(repr(x) for x in seq)}])" for k, (name, kind, seq) in enumerate(license_scan.RULES))
     dot = "regexp_replace(regexp_replace(lower(s), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g'), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g')"
     return rf"""
-WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?;])[\s\x0B]+', '\1' || chr(10), 'g'), '[\n\r]+'), x -> trim(x) <> '') AS l FROM documents),
+WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?;])[\s\x0B]+', '\1' || chr(10), 'g'), '[\n\r]+'), lambda x: trim(x) <> '') AS l FROM documents),
 sent AS (SELECT doc_id, unnest(l) AS s, unnest(generate_series(1, len(l))) AS i FROM cut),
 norm AS (SELECT doc_id, i, trim(regexp_replace(replace(replace({dot}, '.', ' '), chr(1), '.'), '[^\p{{L}}\p{{N}}.]+', ' ', 'g')) AS n FROM sent WHERE regexp_matches(s, '{license_scan.TRIGGER}')),
 ids AS (SELECT doc_id, i, id FROM (SELECT doc_id, i, CASE {case} END AS id FROM norm) WHERE id IS NOT NULL),
@@ -94,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op4_license_scan": op4_license_scan,
     "op5_sharding": op5_sharding,
     "op6_decontamination": op6_decontamination,
+    "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
 }
