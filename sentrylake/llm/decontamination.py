@@ -142,6 +142,24 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     return frame
 
 
+def _clean(batches: Iterator[pa.RecordBatch], block, window: int, column: int) -> Iterator[pa.RecordBatch]:
+    found, _ = _automaton(block.value, window)
+    for batch in batches:
+        clean = []
+        for text in batch.column(column).to_pylist():
+            line = b" " + b" ".join(words_of(text)) + b" "
+            clean.append(found is None or next(found.iter(line.decode("latin-1")), None) is None)
+        yield batch.filter(pa.array(clean, pa.bool_()))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, without any window of the benchmark. No shuffle."""
+    spark, column = docs.sparkSession, docs.columns.index(text_col)
+    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
+        docs = docs.mapInArrow(partial(_clean, block=spark.sparkContext.broadcast(block), window=window, column=column), docs.schema)
+    return docs
+
+
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, s: acc + s["last_word"] - s["first_word"] + 1)

@@ -338,3 +338,9 @@ def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose document stands for its component (its least id)."""
+    stays = near_components(docs, shingle, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("__stays")).distinct()
+    return docs.join(stays.hint("shuffle_hash"), docs[id_col].eqNullSafe(stays["__stays"]), "left_semi")

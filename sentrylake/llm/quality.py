@@ -235,3 +235,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def _keep(batches: Iterator[pa.RecordBatch], trees, column: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            x = np.concatenate([statistics(data, offsets) for _, _, data, offsets in slices(batch.column(column))])
+            yield batch.filter(pa.array(trees.value.score(x) >= threshold))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, most_rows: int = 20_000) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches ``threshold``. No text is shuffled.
+
+    Trees are trained as in ``quality_scores``; the bounded sample's ids are broadcast to pick its texts.
+    """
+    spark = docs.sparkSession
+    usable = labels.where(~held_out(F.col("doc_id"), 4, 2))
+    ids = usable.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+    picked = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "doc_id", "left_semi")
+    stats = materialise(document_statistics(picked), "statistics")
+    trees = spark.sparkContext.broadcast(train(stats, usable, "quality", most_rows))
+    return docs.mapInArrow(partial(_keep, trees=trees, column=docs.columns.index(text_col), threshold=threshold), docs.schema)

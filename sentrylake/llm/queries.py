@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sentrylake.llm import decontamination, exact_dedup, license_scan, near_dedup, packing, quality, sharding
+from sentrylake.llm import (
+    decontamination,
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +26,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licence_report(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +58,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +70,29 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+OP1_SQL = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i FROM documents WHERE text IS NOT NULL),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {line_dedup.MODULUS} AS h FROM l),
+r AS (SELECT *, (lag(h, 2) OVER w * {line_dedup.BASE**2} + lag(h, 1) OVER w * {line_dedup.BASE} + h) % {line_dedup.MODULUS} AS r FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT *, coalesce(sum(CASE WHEN r % {line_dedup.EVERY} = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM r),
+chunks AS (SELECT doc_id, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM c GROUP BY ALL),
+marked AS (SELECT *, n > 1 AND regexp_matches(chunk, '[^\\s\\x0B]') AND row_number() OVER (PARTITION BY n > 1, chunk ORDER BY doc_id, start) > 1 AS gone FROM chunks),
+kept AS (SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*) AS n_chunks, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
+  sha256(coalesce(string_agg(chunk, chr(10) ORDER BY start) FILTER (NOT gone), '')) AS kept_sha256 FROM marked GROUP BY 1)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::BIGINT AS n_chunks, coalesce(n_removed_lines, 0)::BIGINT AS n_removed_lines, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM rep),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS p FROM d),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS t, count(gone.p) AS n_removed FROM word LEFT JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP6_SQL = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '{_BENCH_WORD}') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_ASCII_LOWER}, '{_BENCH_WORD}') AS w FROM benchmark),
@@ -94,13 +140,22 @@ FROM t WINDOW g AS (PARTITION BY text)
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_sharding": op5_sharding,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_near_dedup": op10_near_dedup,
 }
 
-ORACLES: dict[str, str] = {"op4_license_scan": _op4_sql(), "op6_decontamination": OP6_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op3_substring_dedup": OP3_SQL,
+    "op4_license_scan": _op4_sql(),
+    "op6_decontamination": OP6_SQL,
+    "op8_exact_dedup": OP8_SQL,
+}
