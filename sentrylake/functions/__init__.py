@@ -1 +1 @@
-"""Functions of the engine."""
+"""Column-to-column functions; all of them stay inside the JVM."""
