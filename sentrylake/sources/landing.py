@@ -18,12 +18,12 @@ def raw_store(spark: SparkSession, path: str) -> DataFrame:
 
     A full outer join: a body without a sidecar, or the reverse, is a row with a problem.
     """
-    key = lambda c: F.regexp_extract(c, r"([0-9a-f]{64})\.[a-z]+$", 1)
+    stem = lambda c: F.regexp_replace(F.regexp_replace(c, r"^[a-z]+:/+", "/"), r"\.[a-z]+$", "")
     bodies = spark.read.format("binaryFile").option("pathGlobFilter", "*.body").option("recursiveFileLookup", "true").load(path)
-    bodies = bodies.select(key(F.col("path")).alias("key"), F.col("content"))
+    bodies = bodies.select(stem(F.col("path")).alias("stem"), F.col("content"))
     cards = spark.read.schema(SIDECAR).option("multiLine", "true").option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").json(path)
-    cards = cards.select(key(F.input_file_name()).alias("key"), "request", "response")
-    joined = bodies.join(cards, "key", "full_outer")
+    cards = cards.select(stem(F.input_file_name()).alias("stem"), "request", "response")
+    joined = bodies.join(cards, "stem", "full_outer").withColumn("key", F.regexp_extract("stem", r"([0-9a-f]{64})$", 1))
     return joined.withColumn("problem", integrity(F.col("content"), F.col("response.body_size"), F.col("response.body_sha256")))
 
 
