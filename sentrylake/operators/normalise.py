@@ -60,8 +60,8 @@ def version_records(project: DataFrame, tags: DataFrame, name: str, ecosystem: s
 
     project: (body, url, retrieved_at, body_sha256); tags: (body) with the tag list.
     """
-    parsed = project.select(F.from_json("body", PROJECT).alias("p"), "url", "retrieved_at", "body_sha256")
-    rows = parsed.select(F.explode("p.releases").alias("raw_version", "files"), provenance("pypi", F.col("url")).alias("source"))
+    parsed = project.select(F.from_json("body", PROJECT).alias("p"), provenance("pypi", F.col("url")).alias("source"))
+    rows = parsed.select("source", F.explode("p.releases").alias("raw_version", "files"))
     rows = rows.withColumn("v", pep440.parse(F.col("raw_version"))).where("v IS NOT NULL")
     clean = text.blank_to_null
     artifacts = F.array_sort(

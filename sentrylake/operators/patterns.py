@@ -173,7 +173,7 @@ def security_patterns(advisories: DataFrame, patches: DataFrame, name: str, drop
     reported = lambda pattern, what: _when(judged.rlike(pattern), f"source-reported {what} impact").alias(what)
     flag = lambda pattern, what: _when(judged.rlike(pattern), True).alias(what)
     return rows.select(
-        F.struct(F.array_append(rationale, F.format_string("sast_usefulness_score=%.4f", score)).alias("rationale"), sure.alias("score")).alias("confidence"),
+        F.struct(F.array_sort(F.array_append(rationale, F.format_string("sast_usefulness_score=%.4f", score))).alias("rationale"), sure.alias("score")).alias("confidence"),
         F.col("a.cvss").alias("cvss"), F.col("a.cwe").alias("cwe"), detection_type(F.size("symbols") > 0, F.size("arguments") > 0, (F.size("flows") > 0) | (F.size("sources") > 0)).alias("detection_type"),
         F.col("a.identifiers").alias("identifiers"),
         F.struct(reported(AVAILABILITY, "availability"), reported(CONFIDENTIALITY, "confidentiality"), flag(EXPOSURE, "data_exposure"), reported(INTEGRITY, "integrity"), notes.alias("notes"), flag(RCE, "rce"), flag(SSRF, "ssrf")).alias("impact"),
