@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sentrylake.functions import ident, pep440, text
 from sentrylake.operators import advisories, evidence, ranges, releases
 from sentrylake.sources import landing
+from sentrylake.streaming.replay import replay_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -365,3 +366,9 @@ def manifest(spark, d):
     # digests are added up, so a path of any size is combined before the shuffle
     digest = F.conv(F.substring(F.sha2("text", 256), 1, 8), 16, 10).cast("bigint")
     return _t(spark, d, "documents").groupBy(F.col("source").alias("path")).agg(F.count("*").alias("entries"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes"), F.sum(digest).alias("checksum"))
+
+
+@_query("SELECT event_type, count(*) AS n_events, count(DISTINCT event_id)::BIGINT AS n_ids FROM events GROUP BY 1")
+def stream_replay(spark, d):
+    # event ids are unique, so their count is that of the rows with one
+    return replay_counts(spark, d, "events.parquet", "event_type", F.count("*").alias("n_events"), F.count("event_id").alias("n_ids"))
