@@ -211,10 +211,12 @@ def url_predicates(spark, d):
     return _t(spark, d, "pages").select("page_id", "url", url.rlike("^https?://").alias("has_scheme"), (url.startswith("https:") & ~url.contains("?") & ~url.contains("#")).alias("artifact_ok"))
 
 
-@_query("""WITH p AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages), q AS (SELECT page_id, u, CASE WHEN position('?' IN u) > 0 THEN substr(u, position('?' IN u) + 1) ELSE '' END AS s FROM p)
-SELECT page_id, sha256('{"method":"GET","url":"' || CASE WHEN s = '' THEN rtrim(u, '?') ELSE split_part(u, '?', 1) || '?' || array_to_string(list_sort(string_split(s, '&')), '&') END || '"}') AS request_key FROM q""")
+@_query("""WITH p AS (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS u FROM pages), q AS (SELECT *, CASE WHEN position('?' IN u) > 0 THEN substr(u, position('?' IN u) + 1) ELSE '' END AS s FROM p)
+SELECT page_id, sha256('{"body_sha256":null,"method":"GET","url":"' || CASE WHEN s = '' THEN rtrim(u, '?') ELSE split_part(u, '?', 1) || '?' || array_to_string(list_sort(string_split(s, '&')), '&') END || '"}') AS request_key,
+CASE WHEN url NOT LIKE 'https://%' THEN 'URL is not https with a host' END AS problem FROM q""")
 def request_identity(spark, d):
-    return _t(spark, d, "pages").select("page_id", ident.request_key(F.lit("get"), F.col("url")).alias("request_key"))
+    method, url = F.lit("get"), F.col("url")
+    return _t(spark, d, "pages").select("page_id", ident.request_key(method, url).alias("request_key"), ident.request_problem(method, url).alias("problem"))
 
 
 @_query("SELECT event_id, status, status IN (429, 500, 502, 503, 504) AND attempt <= 4 AS retry, CASE WHEN status IN (429, 500, 502, 503, 504) AND attempt <= 4 THEN CASE WHEN event_id % 7 = 0 THEN least((event_id % 50)::DOUBLE, 30) ELSE least(0.5 * 2 ** (attempt - 1), 30)::DOUBLE END END AS delay FROM (SELECT event_id, [200, 429, 500, 404, 503][event_id % 5 + 1] AS status, user_id % 6 + 1 AS attempt FROM events)")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentrylake.functions.ident import request_key
+
 #: The headers that are kept.
 KEPT_HEADERS = ("cache-control", "content-encoding", "content-length", "content-type", "date", "etag", "last-modified", "link", "retry-after", "x-ratelimit-remaining", "x-ratelimit-reset")
 #: Statuses worth another attempt.
@@ -24,7 +26,9 @@ def raw_store(spark: SparkSession, path: str) -> DataFrame:
     cards = spark.read.schema(SIDECAR).option("multiLine", "true").option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").json(path)
     cards = cards.select(stem(F.input_file_name()).alias("stem"), "request", "response")
     joined = bodies.join(cards, "stem", "full_outer").withColumn("key", F.regexp_extract("stem", r"([0-9a-f]{64})$", 1))
-    return joined.withColumn("problem", integrity(F.col("content"), F.col("response.body_size"), F.col("response.body_sha256")))
+    named = request_key(F.col("request.method"), F.col("request.url"), F.col("request.body_sha256"))
+    problem = integrity(F.col("content"), F.col("response.body_size"), F.col("response.body_sha256"))
+    return joined.withColumn("problem", F.coalesce(problem, F.when(~named.eqNullSafe(F.col("key")), "request key differs")))
 
 
 def integrity(content: Column, size: Column, sha256: Column) -> Column:
