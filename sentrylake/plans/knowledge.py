@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import tempfile
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrylake.functions import pep440
-from sentrylake.operators import normalise, patterns
+from sentrylake.operators import normalise, patterns, validation
 from sentrylake.operators.evidence import ratio
 from sentrylake.session import materialise
 from sentrylake.sources.landing import raw_store
@@ -64,32 +65,64 @@ def build(spark: SparkSession, path: str, name: str, slug: str, ecosystem: str =
     return Bundle(versions, resolved, patches, found, materialise(patterns.kb_documents(found, resolved, patches), "documents"), issues)
 
 
-def findings(bundle: Bundle) -> DataFrame:
-    """(ordinal, check, record_id, reason): provenance, reference URLs, duplicates, ranges, releases."""
-    families = [bundle.versions, bundle.advisories, bundle.patches, bundle.patterns, bundle.documents]
+def findings(bundle: Bundle, name: str | None = None, ecosystem: str = "PyPI", range_issues: bool = True, release_checks: bool = True) -> DataFrame:
+    """(ordinal, rank, check, record_id, reason) in the order of ``ordinal, rank, record_id, reason``.
+
+    Contracts, provenance and links of every record, then the inventory's invariants (where a package
+    name is given), duplicates, shared aliases, range issues, and fixed versions that were never released
+    (not told where there is no inventory).
+    """
+    families = {"version": bundle.versions, "advisory": bundle.advisories, "patch": bundle.patches, "security_pattern": bundle.patterns, "kb_document": bundle.documents}
+    parts: list[DataFrame] = []
+
+    def add(rows: DataFrame, check: str, key: Column, reason: Column, rank: Column | None = None) -> None:
+        place = F.lit("") if rank is None else rank
+        parts.append(rows.select(F.lit(len(parts)).alias("ordinal"), place.alias("rank"), F.lit(check).alias("check"), key.alias("record_id"), reason.alias("reason")))
+
+    key, reason = F.col("record_id"), F.col("reason")
     every = None
-    for k, records in enumerate(families):
-        part = records.select(F.lit(k).alias("family"), "record_id", F.size("provenance").alias("sources"))
+    for family, records in families.items():
+        add(validation.schema_findings(records, family), "schema", key, reason)
+        part = records.select("record_id", F.size("provenance").alias("sources"))
         every = part if every is None else every.unionByName(part)
-    row = lambda ordinal, check, key, reason, rank=F.lit(""): (F.lit(ordinal).alias("ordinal"), rank.cast("string").alias("rank"), F.lit(check).alias("check"), key.alias("record_id"), reason.alias("reason"))
-    bare = every.where("sources = 0").select(*row(0, "provenance", F.col("record_id"), F.lit("normalized record must include at least one provenance entry")))
-    urls = bundle.advisories.select("record_id", F.posexplode("references").alias("i", "url")).where(~F.col("url").rlike("^https?://"))
-    links = urls.select(*row(1, "url", F.col("record_id"), F.concat(F.lit("references["), "i", F.lit("] is not an http(s) URL: "), "url")))
-    twice = every.groupBy("record_id").count().where("count > 1").select(*row(2, "duplicate", F.col("record_id"), F.lit("duplicate record_id")))
-    owners = bundle.advisories.select(F.explode("identifiers.aliases").alias("alias"), F.col("identifiers.canonical").alias("canonical"), "record_id")
+    add(every.where("sources <= 0 OR sources IS NULL"), "provenance", key, F.lit("normalized record must include at least one provenance entry"))
+    links = bundle.advisories.select("record_id", F.posexplode("references").alias("i", "url"))
+    add(links.where(~F.col("url").rlike("^https?://")), "reference", key, F.concat(F.lit("reference["), "i", F.lit("] is not an http(s) URL: "), "url"))
+    add(bundle.patches.where(~F.col("repository_url").rlike("^https?://")), "reference", key, F.concat(F.lit("repository_url is not an http(s) URL: "), "repository_url"))
+    if name is not None:
+        add(validation.inventory_findings(bundle.versions, name, ecosystem), "version", key, reason)
+    canonical = F.col("identifiers.canonical")
+    named = bundle.advisories.select("record_id", canonical.alias("canonical"), F.col("identifiers.aliases").alias("aliases"))
+    again = named.join(named.groupBy("canonical").count().where("count > 1"), "canonical", "left_semi")
+    add(again, "duplicate", key, F.concat(F.lit("duplicate canonical advisory: "), "canonical"))
+    owners = named.select(F.explode("aliases").alias("alias"), "canonical", "record_id")
     shared = owners.groupBy("alias").agg(F.count_distinct("canonical").alias("n"), F.min_by("record_id", "canonical").alias("record_id"), F.array_sort(F.collect_set("canonical")).alias("names")).where("n > 1")
-    clash = shared.select(*row(3, "alias", F.col("record_id"), F.concat(F.lit("alias "), "alias", F.lit(" is shared by "), F.array_join("names", ", "))))
-    known = bundle.advisories.select(F.col("identifiers.canonical").alias("canonical"), "record_id")
-    order = F.concat_ws("/", "canonical", F.col("phase").cast("string"), F.lpad(F.col("position").cast("string"), 9, "0"))
-    spans = bundle.issues.join(known, "canonical", "left").select(*row(4, "range", F.coalesce("record_id", F.concat(F.lit("advisory:"), "canonical")), F.concat("kind", F.lit(": "), "message"), order))
-    out = bare.unionByName(links).unionByName(twice).unionByName(clash).unionByName(spans)
-    stock = bundle.versions.select(F.col("normalized_version").alias("fixed"))
-    for k, (kind, records) in enumerate((("advisory", bundle.advisories), ("patch", bundle.patches))):
-        claims = records.select("record_id", F.explode("fixed_versions").alias("fixed")).join(stock, "fixed", "left_anti")
-        out = out.unionByName(claims.select(*row(5 + k, "release", F.col("record_id"), F.concat(F.lit(f"{kind} fixed version not in inventory: "), "fixed"))))
+    add(shared, "alias", key, F.concat(F.lit("alias "), "alias", F.lit(" is shared by "), F.array_join("names", ", ")))
+    add(every.groupBy("record_id").count().where("count > 1"), "duplicate", key, F.lit("duplicate record_id"))
+    if range_issues:
+        order = F.concat_ws("/", "canonical", F.col("phase").cast("string"), F.lpad(F.col("position").cast("string"), 9, "0"))
+        known = named.groupBy("canonical").agg(F.min("record_id").alias("record_id"))
+        spans = bundle.issues.join(known, "canonical", "left")
+        add(spans, "range", F.coalesce("record_id", F.concat(F.lit("advisory:"), "canonical")), F.concat("kind", F.lit(": "), "message"), order)
+    if release_checks:
+        stock = bundle.versions.select(F.col("normalized_version").alias("fixed"))
+        some = F.broadcast(bundle.versions.limit(1).select(F.lit(1).alias("one")))
+        for kind, records in (("advisory", bundle.advisories), ("patch", bundle.patches)):
+            claims = records.select("record_id", F.explode("fixed_versions").alias("fixed")).join(stock, "fixed", "left_anti").crossJoin(some)
+            add(claims, "patch_release", key, F.concat(F.lit(f"{kind} fixed version not in inventory: "), "fixed"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 
+def require_clean(found: DataFrame) -> None:
+    """Strict mode: an error if there is any finding."""
+    first = found.orderBy("ordinal", "rank", "record_id", "reason").select("record_id", "check", "reason").head(1)
+    if first:
+        raise ValueError(f"{first[0].check} finding on {first[0].record_id}: {first[0].reason}")
+
+
 def statistics(bundle: Bundle, found: DataFrame) -> DataFrame:
     """One row of volume and quality metrics."""
     v, a = bundle.versions, bundle.advisories
@@ -167,19 +200,65 @@ def write_atomically(payload: bytes, path: str) -> None:
     os.replace(temporary, path)
 
 
-def export(bundle: Bundle, folder: str) -> dict[str, str]:
-    """Single-file JSON lines of every family, findings and metrics; path -> sha256. For small bases;
-    large ones write ``normalise.json_lines`` with Spark's own writers."""
-    import hashlib
+def _pretty(value: object) -> bytes:
+    return (json.dumps(value, indent=2, sort_keys=True) + "\n").encode()
 
+
+def export_records(bundle: Bundle, folder: str, *only: str) -> dict[str, str]:
+    """Single-file JSON lines of the families (all, or those whose path starts with one of ``only``);
+    path -> sha256. For small bases; large ones write ``normalise.json_lines`` with Spark's own writers."""
     made = {}
     for path, (records, order) in bundle.families.items():
-        lines = [r.line for r in normalise.json_lines(records, *order).toLocalIterator()]
-        made[path] = ("\n".join(lines) + "\n").encode() if lines else b""
-    found = materialise(findings(bundle), "findings")
-    rows = [{"record_id": r.record_id, "check": r.check, "reason": r.reason} for r in found.orderBy("ordinal", "rank", "record_id", "reason").collect()]
-    made["validation_errors.json"] = (json.dumps({"error_count": len(rows), "findings": rows}, indent=2, sort_keys=True) + "\n").encode()
-    made["stats.json"] = (json.dumps(statistics(bundle, found).first().asDict(), indent=2, sort_keys=True) + "\n").encode()
+        if not only or path.startswith(only):
+            lines = [r.line for r in normalise.json_lines(records, *order).toLocalIterator()]
+            made[path] = ("\n".join(lines) + "\n").encode() if lines else b""
+    return _write_all(made, folder)
+
+
+def export_findings(found: DataFrame, folder: str) -> dict[str, str]:
+    """The findings file, rewritten also when there is none."""
+    rows = [{"record_id": r.record_id, "check": r.check, "reason": r.reason} for r in found.orderBy("ordinal", "rank", "record_id", "reason").toLocalIterator()]
+    return _write_all({"validation_errors.json": _pretty({"error_count": len(rows), "findings": rows})}, folder)
+
+
+def export_schemas(bundle: Bundle, folder: str) -> dict[str, str]:
+    """One JSON Schema a family."""
+    families = {"version": bundle.versions, "advisory": bundle.advisories, "patch": bundle.patches, "security_pattern": bundle.patterns, "kb_document": bundle.documents}
+    return _write_all({f"schemas/{f}.schema.json": _pretty(validation.json_schema(r, f)) for f, r in families.items()}, folder)
+
+
+def export_manifest(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The sorted (path, sha256) list of what a folder's exports are."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where(F.col("path").rlike(r"(?:\.jsonl|/stats\.json|/validation_errors\.json)$") & ~F.col("path").contains("/raw/"))
+    base = os.path.abspath(folder) + "/"
+    rows = files.select(F.substring_index("path", base, -1).alias("path"), F.sha2("content", 256).alias("sha256")).orderBy("path").collect()
+    return _write_all({"manifest.json": _pretty({"files": [r.asDict() for r in rows]})}, folder)
+
+
+def export(bundle: Bundle, folder: str, name: str | None = None, ecosystem: str = "PyPI") -> dict[str, str]:
+    """Records, findings and metrics; path -> sha256."""
+    found = materialise(findings(bundle, name, ecosystem), "findings")
+    made = export_records(bundle, folder) | export_findings(found, folder)
+    return made | _write_all({"stats.json": _pretty(statistics(bundle, found).first().asDict())}, folder)
+
+
+def _write_all(made: dict[str, bytes], folder: str) -> dict[str, str]:
     for path, payload in made.items():
         write_atomically(payload, os.path.join(folder, path))
     return {path: hashlib.sha256(payload).hexdigest() for path, payload in made.items()}
+
+
+def read_family(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """Exported JSON lines as the records they were, typed as ``like``; a broken line is an error, blank ones are not."""
+    texts = spark.read.text(path).where(F.trim("value") != "")
+    names = {"version_range": "version"} if "version_range" in like.columns else {}
+    kept = [f for f in like.schema.fields if f.name not in ({"usefulness"} if names else {"version"})]
+    ddl = ", ".join(f"`{names.get(f.name, f.name)}` {f.dataType.simpleString()}" for f in kept)
+    rows = texts.select(F.from_json("value", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    return rows.withColumnRenamed("version", "version_range") if names else rows
+
+
+def rendered(rows: DataFrame) -> str:
+    """Query rows as blocks of text."""
+    blocks = ["\n".join([f"--- Result {n} ---", *(f"{k}: {v}" for k, v in row.asDict().items())]) for n, row in enumerate(rows.toLocalIterator(), 1)]
+    return "\n\n".join(blocks) + "\n" if blocks else "No matching security patterns found.\n"

@@ -22,7 +22,7 @@ def bundle(spark):
 
 def test_exports(bundle, tmp_path):
     want = {f["path"]: f["sha256"] for f in json.load(open(f"{DATA}/manifest.json"))["files"]}
-    got = knowledge.export(bundle, str(tmp_path))
+    got = knowledge.export(bundle, str(tmp_path), bundle.versions.first().package.name)
     for path in bundle.families:
         assert got[path] == want[path], path
     assert got["validation_errors.json"] == want["validation_errors.json"]
@@ -45,3 +45,34 @@ def test_query(bundle):
 def test_detection_split(bundle):
     split = {r.detection_type: r["count"] for r in bundle.patterns.groupBy("detection_type").count().collect()}
     assert split == {"version_api_dataflow": 10, "version_api": 4, "version_only": 3, "version_api_configuration_dataflow": 2}
+
+
+def test_json_round_trip(spark, bundle, tmp_path):
+    knowledge.export_records(bundle, str(tmp_path))
+    pairs = (("normalized/patches.jsonl", bundle.patches), ("normalized/security_patterns.jsonl", bundle.patterns.drop("usefulness")), ("normalized/versions.jsonl", bundle.versions.drop("version")))
+    for path, want in pairs:
+        got = knowledge.read_family(spark, str(tmp_path / path), want)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    (tmp_path / "bad.jsonl").write_text("{}\n{broken\n")
+    with pytest.raises(Exception):
+        knowledge.read_family(spark, str(tmp_path / "bad.jsonl"), bundle.patches).collect()
+
+
+def test_rendering_and_manifest(spark, bundle, tmp_path):
+    name = bundle.versions.first().package.name
+    text = knowledge.rendered(knowledge.query(bundle.patterns, name, "1.26.4"))
+    assert text.startswith("--- Result 1 ---\nPackage: ") and text.count("--- Result") == 19
+    assert knowledge.rendered(knowledge.query(bundle.patterns, "nothing", "1")) == "No matching security patterns found.\n"
+    made = knowledge.export_records(bundle, str(tmp_path), "kb/")
+    assert list(made) == ["kb/documents.jsonl"]
+    knowledge.export_manifest(spark, str(tmp_path))
+    assert json.loads((tmp_path / "manifest.json").read_text()) == {"files": [{"path": k, "sha256": v} for k, v in made.items()]}
+
+
+def test_schemas(bundle, tmp_path):
+    knowledge.export_schemas(bundle, str(tmp_path))
+    for family in ("version", "advisory", "patch", "security_pattern", "kb_document"):
+        got = json.load(open(tmp_path / f"schemas/{family}.schema.json"))
+        want = json.load(open(f"{DATA}/../schemas/{family}.schema.json"))
+        assert set(got["required"]) == set(want["required"]), family
+        assert set(got["properties"]) == set(want["properties"]), family
