@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +14,7 @@ from sentrylake.functions import pep440
 from sentrylake.operators import normalise, patterns, validation
 from sentrylake.operators.evidence import ratio
 from sentrylake.session import materialise
+from sentrylake.sources.files import write_atomically
 from sentrylake.sources.landing import raw_store
 
 
@@ -49,6 +49,12 @@ def landed(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(sound.alias("body"), F.col("request.url").alias("url"), F.col("response.retrieved_at").alias("retrieved_at"), F.col("response.body_sha256").alias("body_sha256"))
 
 
+def commit_refs(spark: SparkSession, path: str, name: str, ecosystem: str = "PyPI") -> DataFrame:
+    """(sha): the commits that landed advisories name, each once."""
+    feed = landed(spark, path).where("url LIKE '%/v1/query'")
+    return normalise.advisory_records(feed, name, ecosystem).select(F.explode("commits").alias("sha")).distinct()
+
+
 def build(spark: SparkSession, path: str, name: str, slug: str, ecosystem: str = "PyPI", drop_tests: bool = False) -> Bundle:
     """All families from a landing folder. Of several project bodies the one retrieved last counts."""
     raw = materialise(landed(spark, path), "landed")
@@ -187,19 +193,6 @@ def query(found: DataFrame, package: str, version: str, symbol: str | None = Non
     )
 
 
-def write_atomically(payload: bytes, path: str) -> None:
-    """A driver-side file that is there whole or not at all; links are refused."""
-    if os.path.islink(path):
-        raise ValueError(f"{path} is a link")
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    handle, temporary = tempfile.mkstemp(dir=os.path.dirname(path) or ".")
-    with os.fdopen(handle, "wb") as out:
-        out.write(payload)
-        out.flush()
-        os.fsync(out.fileno())
-    os.replace(temporary, path)
-
-
 def _pretty(value: object) -> bytes:
     return (json.dumps(value, indent=2, sort_keys=True) + "\n").encode()
 
@@ -238,8 +231,11 @@ def export_manifest(spark: SparkSession, folder: str) -> dict[str, str]:
 def export(bundle: Bundle, folder: str, name: str | None = None, ecosystem: str = "PyPI") -> dict[str, str]:
     """Records, findings and metrics; path -> sha256."""
     found = materialise(findings(bundle, name, ecosystem), "findings")
-    made = export_records(bundle, folder) | export_findings(found, folder)
-    return made | _write_all({"stats.json": _pretty(statistics(bundle, found).first().asDict())}, folder)
+    return export_records(bundle, folder) | export_findings(found, folder) | export_statistics(bundle, found, folder)
+
+
+def export_statistics(bundle: Bundle, found: DataFrame, folder: str) -> dict[str, str]:
+    return _write_all({"stats.json": _pretty(statistics(bundle, found).first().asDict())}, folder)
 
 
 def _write_all(made: dict[str, bytes], folder: str) -> dict[str, str]:
@@ -248,13 +244,32 @@ def _write_all(made: dict[str, bytes], folder: str) -> dict[str, str]:
     return {path: hashlib.sha256(payload).hexdigest() for path, payload in made.items()}
 
 
+def _typed_lines(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    texts = spark.read.text(path).where(F.trim("value") != "")
+    return texts.select(F.from_json("value", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+#: What ``query`` reads of a pattern.
+PATTERN = (
+    "package STRUCT<name:STRING>, identifiers STRUCT<canonical:STRING>, detection_type STRING, negative_conditions ARRAY<STRING>, "
+    "vulnerable_usage STRUCT<preconditions:ARRAY<STRING>,symbols:ARRAY<STRING>>, remediation STRUCT<fixed_versions:ARRAY<STRING>,upgrade_guidance:STRING>, "
+    "version STRUCT<events:ARRAY<STRUCT<fixed:STRING,introduced:STRING,last_affected:STRING,limit:STRING>>,fixed_versions:ARRAY<STRING>,raw:STRING,resolved:ARRAY<STRING>>, "
+    "patch_evidence ARRAY<STRUCT<evidence_type:STRING,source_id:STRING>>, test_evidence ARRAY<STRUCT<evidence_type:STRING,source_id:STRING>>, "
+    "provenance ARRAY<STRUCT<source_id:STRING,source_type:STRING>>, confidence STRUCT<rationale:ARRAY<STRING>,score:DOUBLE>"
+)
+
+
+def read_patterns(spark: SparkSession, path: str) -> DataFrame:
+    """Exported patterns as ``query`` takes them."""
+    return _typed_lines(spark, path, PATTERN).withColumnRenamed("version", "version_range")
+
+
 def read_family(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Exported JSON lines as the records they were, typed as ``like``; a broken line is an error, blank ones are not."""
-    texts = spark.read.text(path).where(F.trim("value") != "")
     names = {"version_range": "version"} if "version_range" in like.columns else {}
     kept = [f for f in like.schema.fields if f.name not in ({"usefulness"} if names else {"version"})]
     ddl = ", ".join(f"`{names.get(f.name, f.name)}` {f.dataType.simpleString()}" for f in kept)
-    rows = texts.select(F.from_json("value", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    rows = _typed_lines(spark, path, ddl)
     return rows.withColumnRenamed("version", "version_range") if names else rows
 
 

@@ -219,10 +219,14 @@ def request_identity(spark, d):
     return _t(spark, d, "pages").select("page_id", ident.request_key(method, url).alias("request_key"), ident.request_problem(method, url).alias("problem"))
 
 
-@_query("SELECT event_id, status, status IN (429, 500, 502, 503, 504) AND attempt <= 4 AS retry, CASE WHEN status IN (429, 500, 502, 503, 504) AND attempt <= 4 THEN CASE WHEN event_id % 7 = 0 THEN least((event_id % 50)::DOUBLE, 30) ELSE least(0.5 * 2 ** (attempt - 1), 30)::DOUBLE END END AS delay FROM (SELECT event_id, [200, 429, 500, 404, 503][event_id % 5 + 1] AS status, user_id % 6 + 1 AS attempt FROM events)")
+@_query("""WITH r AS (SELECT event_id, [200, 429, 500, 404, 503, 403][event_id % 6 + 1] AS status, user_id % 6 + 1 AS attempt, CASE WHEN event_id % 7 = 0 THEN event_id % 50 END AS after, event_id % 4 = 1 AS spent FROM events),
+d AS (SELECT *, CASE WHEN NOT (status IN (429, 500, 502, 503, 504) OR (status = 403 AND spent)) THEN 'permanent_status' WHEN attempt > 4 THEN 'attempts_exhausted' WHEN after > 30 THEN 'wait_over_bound' WHEN after IS NOT NULL THEN CASE WHEN status = 403 THEN 'rate_limit' ELSE 'retry_after' END ELSE 'transient_status' END AS reason FROM r)
+SELECT event_id, status, reason, reason IN ('retry_after', 'rate_limit', 'transient_status') AS retry, CASE WHEN reason IN ('retry_after', 'rate_limit', 'transient_status') THEN greatest(least(0.5 * 2 ** (attempt - 1), 30), coalesce(after, 0))::DOUBLE END AS delay FROM d""")
 def retry_decision(spark, d):
-    rows = _t(spark, d, "events").select("event_id", F.expr("element_at(array(200, 429, 500, 404, 503), CAST(event_id % 5 AS int) + 1)").alias("status"), F.expr("user_id % 6 + 1").alias("attempt"), F.expr("if(event_id % 7 = 0, event_id % 50, NULL)").alias("after"))
-    return rows.withColumn("r", landing.retry_decision(F.col("status"), F.col("attempt"), F.col("after"))).select("event_id", "status", "r.retry", "r.delay")
+    status = "element_at(array(200, 429, 500, 404, 503, 403), CAST(event_id % 6 AS int) + 1)"
+    rows = _t(spark, d, "events").select("event_id", F.expr(status).alias("status"), F.expr("user_id % 6 + 1").alias("attempt"), F.expr("if(event_id % 7 = 0, CAST(event_id % 50 AS string), NULL)").alias("after"), F.expr("event_id % 4 = 1").alias("spent"))
+    asked = landing.retry_after_seconds(F.col("after"), F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    return rows.withColumn("r", landing.retry_decision(F.col("status"), F.col("attempt"), asked, F.col("spent"))).select("event_id", "status", "r.reason", "r.retry", "r.delay")
 
 
 @_query("SELECT event_id, 'content-type=' || event_type || ';etag=' || substr(repeat(props, 300), 1, 2048) AS headers FROM events")

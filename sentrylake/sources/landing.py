@@ -40,12 +40,33 @@ def integrity(content: Column, size: Column, sha256: Column) -> Column:
     )
 
 
-def retry_decision(status: Column, attempt: Column, retry_after: Column, most: int = 4, initial: float = 0.5, cap: float = 30.0) -> Column:
-    """struct<retry, delay>: transient statuses back off exponentially; a Retry-After is heeded, bounded."""
-    again = status.isin(*TRANSIENT) & (attempt <= most)
+def retry_after_seconds(header: Column, now: Column) -> Column:
+    """A Retry-After header as seconds from ``now``: a count, or a date in GMT; null if it is neither or negative."""
+    day = F.regexp_extract(header, r"(\d{1,2} [A-Z][a-z]{2} \d{4} \d\d:\d\d:\d\d) GMT$", 1)
+    until = F.try_to_timestamp(F.concat(day, F.lit(" +0000")), F.lit("d MMM yyyy HH:mm:ss Z"))
+    count = F.trim(header).try_cast("double")
+    wait = F.when(until.isNotNull(), F.greatest(F.lit(0.0), until.cast("double") - now.cast("double")))
+    return F.when(count.isNotNull(), F.when(count >= 0, count)).otherwise(wait)
+
+
+def retry_decision(status: Column, attempt: Column, asked: Column, limited: Column | None = None, most: int = 4, initial: float = 0.5, cap: float = 30.0) -> Column:
+    """struct<retry, delay, reason> of one response.
+
+    Transient statuses, and a 403 of a spent quota (``limited``), back off exponentially up to ``cap``. A
+    wait that the provider asks for is a lower bound; one over ``cap`` is refused.
+    """
+    spent = F.coalesce((status == 403) & limited, F.lit(False)) if limited is not None else F.lit(False)
+    passing = status.isin(*TRANSIENT) | spent
     backoff = F.least(F.lit(initial) * F.pow(F.lit(2.0), F.greatest(F.lit(0), attempt - 1)), F.lit(cap))
-    asked = F.when(retry_after >= 0, F.least(retry_after.cast("double"), F.lit(cap)))
-    return F.struct(again.alias("retry"), F.when(again, F.coalesce(asked, backoff)).alias("delay"))
+    reason = (
+        F.when(~F.coalesce(passing, F.lit(False)), "permanent_status")
+        .when(attempt > most, "attempts_exhausted")
+        .when(asked > cap, "wait_over_bound")
+        .when(asked.isNotNull(), F.when(spent, "rate_limit").otherwise("retry_after"))
+        .otherwise("transient_status")
+    )
+    again = ~reason.isin("permanent_status", "attempts_exhausted", "wait_over_bound")
+    return F.struct(again.alias("retry"), F.when(again, F.greatest(backoff, asked.cast("double"))).alias("delay"), reason.alias("reason"))
 
 
 def kept_headers(headers: Column) -> Column:
