@@ -14,7 +14,7 @@ A text's words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; its set hold
 3. The ties' connected components are the clusters. The members' texts go to their cluster, each
    text once, and ``_verified`` computes exact Jaccard values on full sets there through an inverted
    index, emitting a spanning forest of true links. A cluster over ``block_shingles`` is split into
-   blocks that meet in pairs, so a task holds two blocks at most.
+   blocks that meet in pairs, so a task holds about two blocks.
 4. The links' components, with the copies of each set, are the result.
 """
 
@@ -26,7 +26,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentrylake.llm.arrays import LOWER, U64, gram_hashes, mix, slices, word_hashes, word_spans
@@ -241,8 +241,16 @@ def _tied(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array([t[k] for t in ties], pa.int64()) for k in (0, 1)], schema=_TIES)
 
 
+#: From so few sets on, a set is held against each by itself and not through the index.
+_FEW = 48
+
+
 def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the exact links between the sets, through an inverted index of shingles."""
+    """A spanning forest of the exact links between the sets, through an inverted index of shingles.
+
+    A set is held only against those that it is not yet connected to, so a group of near copies costs
+    about a pass over its sets and not one a member.
+    """
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     values = np.concatenate(sets) if n else np.zeros(0, U64)
@@ -251,20 +259,37 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
     uniq, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
     post, start = rows[order], np.concatenate([[0], np.cumsum(counts)])
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    forest, links = Forest(n), []
+    label, members, links = np.arange(n), {}, []
     for x in range(n - 1):
         terms = inverse[ends[x] : ends[x + 1]]
         terms = terms[counts[terms] > 1]
-        if not len(terms):
-            continue
         length = counts[terms]
-        at = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length) + np.repeat(start[terms], length)
-        shared = np.bincount(post[at], minlength=n)
-        shared[: x + 1] = 0
-        union = sizes + sizes[x] - shared
-        for y in np.flatnonzero((100 * shared >= percent * union) & (shared > 0)).tolist():
-            if forest.join(x, y):
+        reach = int(length.sum())
+        dense = reach >= n
+        if dense:
+            others = np.flatnonzero(label[x + 1 :] != label[x]) + x + 1
+            # sizes alone rule out what cannot reach the share
+            others = others[100 * np.minimum(sizes[others], sizes[x]) >= percent * np.maximum(sizes[others], sizes[x])]
+        if not reach or (dense and not len(others)):
+            continue
+        if dense and len(others) <= _FEW:
+            shared = np.array([np.intersect1d(sets[x], sets[y], assume_unique=True).size for y in others.tolist()], np.int64)
+        else:
+            at = np.arange(reach) - np.repeat(np.cumsum(length) - length, length) + np.repeat(start[terms], length)
+            met = post[at]
+            if dense:
+                shared = np.bincount(met, minlength=n)[others]
+            else:
+                others, shared = np.unique(met[(met > x) & (label[met] != label[x])], return_counts=True)
+        union = sizes[others] + sizes[x] - shared
+        for y in others[(100 * shared >= percent * union) & (shared > 0)].tolist():
+            if label[x] != label[y]:
                 links.append((x, y))
+                # the smaller side takes the other's label
+                small, large = sorted((int(label[x]), int(label[y])), key=lambda k: len(members.get(k, (k,))))
+                moved = members.pop(small, [small])
+                label[moved] = large
+                members.setdefault(large, [large]).extend(moved)
     return links
 
 
@@ -284,13 +309,17 @@ def _verified(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) ->
         yield pa.RecordBatch.from_arrays([pa.array([t[k] for t in out], pa.int64()) for k in (0, 1)], schema=_TIES)
 
 
-def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_shingles: int = 4_000_000) -> DataFrame:
+def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_shingles: int = 4_000_000, most_members: int = 10_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     A text that is null or has no word has the empty set and is linked with nothing. component_id is
     the least id reachable through links; kept marks it. Rows that repeat an id are one document for
     links (any of its texts links it) and one row each in the result. Rows with a null id are left
     alone: no links, component null, kept true. An empty table gives an empty result.
+
+    ``most_members`` and ``block_shingles`` bound what a task holds, not what is found: a band with more
+    members ties all of them to its first without estimates, a cluster with more shingles is verified
+    in pairs of blocks.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -303,20 +332,25 @@ def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col
     least = next(k for k in range(1, 1000) if 100 * (k - 1) >= percent * k) if percent < 100 else None
     big = reps.where(F.col("n") >= (least - 1 if least else 1 << 60))
     banded = big.select("doc_id", "sketch").mapInArrow(_bands, "band bigint, doc_id bigint")
-    shared = banded.groupBy("band").agg(F.count("*").alias("c"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("band")
+    shared = banded.groupBy("band").agg(F.count("*").alias("c"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("band", "c", "lo")
     meet = banded.join(shared, "band")
+    wide = F.col("c") > most_members
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    placed = meet.join(big, "doc_id").select("band", "doc_id", "n", "sketch")
+    placed = meet.where(~wide).join(big, "doc_id").select("band", "doc_id", "n", "sketch")
     ordered = placed.repartition(parts, "band").sortWithinPartitions("band", "doc_id")
     # five standard deviations of an estimate from ``_SMALL`` effective registers, and some more
     spread = (percent / 100 * (1 - percent / 100) / _SMALL) ** 0.5
     ties = ordered.mapInArrow(partial(_tied, least=percent / 100 - 7 * spread), "src bigint, dst bigint")
+    ties = ties.unionByName(meet.where(wide & (F.col("doc_id") != F.col("lo"))).select(F.col("doc_id").alias("src"), F.col("lo").alias("dst")))
     clusters = connected_components(ties)
     members = clusters.join(reps.select(F.col("doc_id").alias("node"), "n"), "node")
-    order = Window.partitionBy("component").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    members = members.withColumn("block", (F.floor((F.sum("n").over(order) - 1) / block_shingles)).cast("int"))
-    blocks = members.groupBy("component").agg((F.max("block") + 1).alias("blocks"))
-    members = members.join(blocks, "component")
+    # clusters of more than a block are few; their members are dealt by hash, the others stay where they are
+    large = materialise(members.groupBy("component").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks")).where("blocks > 1"), "large-clusters")
+    many = large.count()
+    if many:
+        members = members.join(F.broadcast(large) if many <= 100_000 else large, "component", "left")
+    members = members.withColumn("blocks", F.coalesce("blocks", F.lit(1)) if many else F.lit(1))
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = members.select("node", "component", "block", "blocks", other)
     # a block meets itself in the pair with its neighbour; a cluster of one block is one pair

@@ -216,14 +216,30 @@ def test_near(spark, docs, none):
                 x, y = root(a), root(b)
                 up[max(x, y)] = min(x, y)
     frame = spark.createDataFrame([*rows, (None, None), (None, rows[0][1])], "doc_id bigint, text string").withColumn("band", F.lit(1))
-    for block in (4_000_000, 500):  # small blocks: clusters are verified by pairs of blocks
-        got = near_dedup.near_components(frame, block_shingles=block).collect()
+    # small blocks: clusters are verified by pairs of blocks; few members: wide bands tie without estimates
+    for block, most in ((4_000_000, 10_000), (500, 10_000), (500, 1)):
+        got = near_dedup.near_components(frame, block_shingles=block, most_members=most).collect()
         assert Counter(tuple(r) for r in got if r.doc_id is not None) == Counter((i, len(sets[i]), root(i), root(i) == i) for i, _ in rows)
         assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)] * 2
     assert near_dedup.near_components(none).count() == 0
     assert near_dedup.keep_one(docs).columns == docs.columns
 
 
+def test_spanning_links():
+    rng = np.random.default_rng(5)
+    for sizes, pool in (((5, 40), 60), ((1, 4), 900), ((90, 100), 104)):  # crowded, sparse, near copies
+        sets = [np.sort(rng.choice(pool, rng.integers(*sizes), replace=False)).astype(np.uint64) for _ in range(150)] + [np.zeros(0, np.uint64)]
+        true = [(x, y) for x in range(151) for y in range(x) if len(sets[x]) and 100 * len(np.intersect1d(sets[x], sets[y])) >= 85 * len(np.union1d(sets[x], sets[y]))]
+        got = near_dedup.spanning_links(sets, 85)
+        assert {tuple(sorted(e, reverse=True)) for e in got} <= set(true)
+        one, all_ = near_dedup.Forest(151), near_dedup.Forest(151)
+        assert all([one.join(*e) for e in got])  # a forest: no link is superfluous
+        for e in true:
+            all_.join(*e)
+        assert [one.root(k) for k in range(151)] == [all_.root(k) for k in range(151)]
+    assert near_dedup.spanning_links([], 85) == []
+
+
 def test_sketch_estimate():
     rng = np.random.default_rng(2)
     pool = near_dedup.mix(rng.integers(0, 1 << 62, 3000).astype(np.uint64))
