@@ -251,7 +251,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """
     spark = docs.sparkSession
     usable = labels.where(~held_out(F.col("doc_id"), 4, 2))
-    ids = usable.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+    ids = usable.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     picked = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "doc_id", "left_semi")
     stats = materialise(document_statistics(picked), "statistics")
     trees = spark.sparkContext.broadcast(train(stats, usable, "quality", most_rows))

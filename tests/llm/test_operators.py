@@ -287,6 +287,16 @@ def test_scores(spark, docs, none, score):
     assert score(docs, labels(spark).limit(0)).count() == len(corpus())
 
 
+def test_keep_good_trains_like_the_scores(spark):
+    """Null labels take no place in the bounded sample; documents of equal ids and labels are kept alike."""
+    rows = [(i, " ".join(words(30, i)) if i % 2 else "z " * (20 + i % 9)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, i % 2 if i % 10 < 5 else None) for i, _ in rows] + [(None, 1)], "doc_id bigint, quality int")
+    want = {r.doc_id for r in quality.quality_scores(frame, marks, most_rows=60).where("score >= 0.5").collect()}
+    got = {r.doc_id for r in quality.keep_good(frame, marks, most_rows=60).collect()}
+    assert got == want and 100 < len(got) < 200
+
+
 def test_trees_learn():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 5)).astype(np.float32)
