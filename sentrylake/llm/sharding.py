@@ -7,7 +7,8 @@ the shards, rounded up for the first few and down for the others, so counts are
 
 Only arc counts (``buckets`` rows, whatever the input) reach the driver, which walks the ring; the
 plan that comes back has at most buckets x shards rows. A row's place in its arc is a window over
-that arc, so the largest unit of work is 1/buckets of the rows.
+that arc: about 1/buckets of the rows where ids differ. Rows that share an id (or have none) share an
+arc, and one task sorts them all, spilling to disk.
 """
 
 from __future__ import annotations
