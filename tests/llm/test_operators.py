@@ -269,6 +269,29 @@ def test_lines(docs, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_repeated_pairs(spark, docs, none):
+    """The pipeline's stage against brute force: short passages and runs of one line go, whatever their hashes."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    shared = [f"shared line {k}" for k in range(3)]
+    made = [(i, "\n".join([f"own {i}"] + shared + [f"end {i}"])) for i in range(20)] + [(50, "\n".join(["again"] * 30)), (51, "a\n\n\n\nb"), (None, "x\ny"), (52, "x\ny"), (52, "x\nz"), (53, None), (54, "")]
+    for rows in (made, corpus()):
+        frame = docs if rows != made else spark.createDataFrame(made, "doc_id bigint, text string")
+        seen, want = {}, []
+        for i, t in sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0)):
+            for k, pair in enumerate(zip(t.split("\n"), t.split("\n")[1:])):
+                seen.setdefault(pair, (i, k, t))
+        for i, t in rows:
+            lines = (t or "").split("\n")
+            bad = {k for k in range(len(lines) - 1) if "".join(lines[k : k + 2]).strip() and seen[lines[k], lines[k + 1]] != (i, k, t)}
+            want.append((i, t if t is None else "\n".join(x for k, x in enumerate(lines) if not {k, k - 1} & bad)))
+        got = [(r.doc_id, r.text) for r in line_dedup.drop_repeated_pairs(frame).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert line_dedup.drop_repeated_pairs(none).count() == 0
+    frame = spark.createDataFrame([(i, t, len(t or "")) for i, t in made], "doc_id bigint, text string, n_chars bigint")
+    left = {r.doc_id: r for r in pipeline.line_deduplication(spark, frame, "").collect()}
+    assert all(left[i].text == f"own {i}\nend {i}" and left[i].n_chars == len(left[i].text) for i in range(1, 20)) and left[50].text == "again"
+
+
 def test_licences(docs, none):
     assert license_scan.licence_report(docs).count() == len(corpus())
     assert license_scan.licence_report(none).count() == 0
