@@ -344,6 +344,17 @@ def test_nearest_is_exact():
         assert np.allclose(like, want)
 
 
+def test_pipeline_near_from_80(spark):
+    """Two documents with 41 of 50 shingles in common (0.82) are one to the pipeline, two to op10's 0.85."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    base = words(49, 5)
+    frame = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(base[:45] + words(4, 6)))], "doc_id bigint, text string")
+    shingles = [{tuple(r.text.split()[i : i + 5]) for i in range(45)} for r in frame.orderBy("doc_id").collect()]
+    assert 0.8 <= len(shingles[0] & shingles[1]) / len(shingles[0] | shingles[1]) < 0.85
+    assert near_dedup.keep_one(frame).count() == 2
+    assert pipeline.near_deduplication(spark, frame, "").count() == 1
+
+
 def test_pipeline_stages(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
