@@ -355,6 +355,17 @@ def test_pipeline_near_from_80(spark):
     assert pipeline.near_deduplication(spark, frame, "").count() == 1
 
 
+def test_pipeline_keeps_what_quality_predicts(spark, tmp_path):
+    """Labels that no text explains give scores about their share, 0.6: op7 predicts 0 there, so they go."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    frame = spark.createDataFrame([(i, " ".join(words(30, i))) for i in range(300)], "doc_id bigint, text string")
+    spark.createDataFrame([(i, int(i % 5 < 3)) for i in range(300)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    scores = quality.quality_scores(frame, spark.read.parquet(f"{tmp_path}/labels.parquet")).collect()
+    assert any(0.5 <= r.score < 0.7 for r in scores)
+    got = {r.doc_id for r in pipeline.quality_classifier(spark, frame, str(tmp_path)).collect()}
+    assert got == {r.doc_id for r in scores if r.predicted == 1}
+
+
 def test_pipeline_stages(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
