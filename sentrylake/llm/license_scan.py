@@ -6,6 +6,11 @@ one space). A normalised sentence that a ``SENTENCES`` pattern matches whole bec
 identifier; other sentences become nothing. The sequence of a text's identifiers is then matched
 against the ordered ``RULES``: the first rule whose sequence occurs, in order and next to each other,
 names the licence at that place, and its sentences serve no later rule.
+
+The published notices of the same licences are found too. Lines that no pattern matches alone are joined
+with the rest of their sentence (to its end or a blank line), and such sentences, wrapped or not, are
+also held against ``PUBLISHED`` and, if wrapped, may start with other words. The registered SQL knows
+lines and ``SENTENCES`` only; ``n_sentences`` counts as it does.
 """
 
 from __future__ import annotations
@@ -35,6 +40,36 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("copyright", r"copyright( c)? ([0-9]{4}.*|by .*)"),
 )
 
+_WORK, _CC, _END = r"(?:.* )?(?:is|are) ", r"(?:an? |the )?(?:cc|creative commons) ", r"(?: licen[cs]e)?(?: .*)?"
+
+#: Fixed values: (identifier of SENTENCES, pattern of the whole normalised sentence), tried after SENTENCES.
+PUBLISHED: tuple[tuple[str, str], ...] = (
+    ("apache-2.0-grant", r"spdx license identifier apache 2\.0"),
+    ("mit-grant", r"spdx license identifier mit"),
+    ("gpl-3.0-grant", r"spdx license identifier gpl 3\.0(?: only| or later)?"),
+    ("gpl-2.0-grant", r"spdx license identifier gpl 2\.0(?: only| or later)?"),
+    ("lgpl-grant", r"spdx license identifier lgpl (?:2\.0|2\.1|3\.0)(?: only| or later)?"),
+    ("bsd-redistribution", r"spdx license identifier bsd [23] clause"),
+    ("mpl-2.0-grant", r"spdx license identifier mpl 2\.0"),
+    ("cc-by-nc-4.0-grant", r"spdx license identifier cc by nc 4\.0"),
+    ("cc-by-sa-4.0-grant", r"spdx license identifier cc by sa 4\.0"),
+    ("cc-by-4.0-grant", r"spdx license identifier cc by 4\.0"),
+    ("cc0-1.0-grant", r"spdx license identifier cc0 1\.0"),
+    ("apache-2.0-grant", rf"(?:{_WORK})?licensed under (?:the )?apache license (?:version )?2\.0(?: the license)?"),
+    ("apache-2.0-use", r"you may not use (?:this|these) (?:file|files|work|software) except in compliance with the license"),
+    ("apache-2.0-asis", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis.*"),
+    ("mit-grant", rf"(?:{_WORK})?(?:released|licensed|distributed) under (?:the )?(?:terms of the )?mit license"),
+    ("lgpl-grant", r"(?:this (?:library|program) is free software )?you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license.*"),
+    ("lgpl-grant", rf"{_WORK}licensed under the gnu lesser general public license.*"),
+    ("gpl-redistribute", r"(?:.* is free software )?you can redistribute it and or modify it under the terms of the gnu general public license.*"),
+    ("mpl-2.0-grant", r".*subject to the terms of the mozilla public license v(?:ersion)? ?2\.0.*"),
+    ("cc-by-nc-4.0-grant", rf"(?:{_WORK})?licensed under {_CC}(?:by nc|attribution non ?commercial) 4\.0(?: international)?{_END}"),
+    ("cc-by-sa-4.0-grant", rf"(?:{_WORK})?licensed under {_CC}(?:by sa|attribution share ?alike) 4\.0(?: international)?{_END}"),
+    ("cc-by-4.0-grant", rf"(?:{_WORK})?licensed under {_CC}(?:by|attribution) 4\.0(?: international)?{_END}"),
+    ("cc0-1.0-grant", r"to the extent possible under law .*waived all copyright and related or neighbou?ring rights.*"),
+    ("cc0-1.0-grant", rf"{_WORK}(?:released|dedicated) (?:under|to) (?:cc0|the public domain).*"),
+)
+
 #: Fixed values: (licence, category, sequence of sentence identifiers); earlier rules go first.
 RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("Apache-2.0", "permissive", ("apache-2.0-grant", "apache-2.0-use", "apache-2.0-asis")),
@@ -60,8 +95,14 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
 #: A text without any of these words, in any case, has no sentence that a pattern matches.
 TRIGGER = "(?i)licen|permission|as is|redistribut|rights reserved|copyright|public domain|cc0"
 
+#: The same in sentences whose words any run of white space or punctuation parts.
+_WIDE_TRIGGER = r"(?i)licen|permission|as\W+is|redistribut|rights\W+reserved|copyright|public\W+domain|cc0"
+
 _BREAK = r"[\n\r]+|(?<=[.!?;])\s+"
 
+#: Sentences over wrapped lines end at a blank line or after a stop that is not that of "v. 2.0"; so each holds whole pieces of _BREAK.
+_LONG_BREAK = r"(?>\r\n|\n|\r)[^\S\n\r]*[\n\r]\s*|(?<=[.!?;])(?<!\bv\.)\s+"
+
 
 def normalised(sentence: Column) -> Column:
     """Lower case; runs of anything but letters, digits and dots between digits become one space."""
@@ -69,14 +110,28 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(kept, r"[^\p{L}\p{N}.]+", " "))
 
 
-def sentence_id(sentence: Column) -> Column:
-    """The identifier of a normalised sentence, null where no pattern matches it."""
+def sentence_id(sentence: Column, start: str = "") -> Column:
+    """The identifier of a normalised sentence, null where no pattern matches it; ``start`` is what may stand before."""
     out = F.lit(None).cast("string")
-    for name, pattern in reversed(SENTENCES):
-        out = F.when(sentence.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
+    for name, pattern in reversed(SENTENCES + PUBLISHED):
+        out = F.when(sentence.rlike(f"^{start}(?:{pattern})$"), F.lit(name)).otherwise(out)
     return out
 
 
+def _long_ids(long: Column) -> Column:
+    """Identifiers of a sentence over lines: those of its lines, then that of the lines after the last of them, joined."""
+    lines = F.filter(F.split(long, _BREAK), lambda s: F.trim(s) != "")
+    tried = F.transform(lines, lambda s: F.when(s.rlike(_WIDE_TRIGGER), sentence_id(normalised(s))))
+
+    def both(x: Column) -> Column:
+        last = F.array_max(F.transform(x["ids"], lambda name, i: F.when(name.isNotNull(), i + 1).otherwise(0)))
+        rest = F.array_join(F.slice(x["lines"], last + 1, F.greatest(F.size(x["lines"]) - last, F.lit(0))), "\n")
+        wrapped = F.when((F.size(x["lines"]) - last > 1) & rest.rlike(_WIDE_TRIGGER), sentence_id(normalised(rest), "(?:.* )?(?<!not )"))
+        return F.concat(x["ids"], F.array(wrapped))
+
+    return F.element_at(F.transform(F.array(F.struct(lines.alias("lines"), tried.alias("ids"))), both), 1)
+
+
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_sentences, sentence_ids, licences, categories.
 
@@ -86,14 +141,12 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     frame = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    # only the sentences that hold a trigger are normalised and tested
     raw = F.filter(F.split("text", _BREAK), lambda s: F.trim(s) != "")
-    frame = frame.select("doc_id", raw.alias("raw"))
-    ids = F.filter(
-        F.transform("raw", lambda s: F.when(s.rlike(TRIGGER), sentence_id(normalised(s))).otherwise(F.lit(None).cast("string"))),
-        lambda s: s.isNotNull(),
-    )
-    frame = frame.select("doc_id", F.size("raw").cast("bigint").alias("n_sentences"), ids.alias("sentence_ids"))
+    # only the sentences that hold a trigger are normalised and tested
+    long = F.filter(F.split("text", _LONG_BREAK), lambda s: s.rlike(_WIDE_TRIGGER))
+    frame = frame.select("doc_id", F.size(raw).cast("bigint").alias("n_sentences"), long.alias("long"))
+    ids = F.array_compact(F.flatten(F.transform("long", _long_ids)))
+    frame = frame.select("doc_id", "n_sentences", ids.alias("sentence_ids"))
     # identifiers are joined as ",a,b,": a rule takes its places out, later rules see a gap there
     line = F.concat(F.lit(","), F.array_join("sentence_ids", ",,"), F.lit(","))
     frame = frame.withColumn("line", F.when(F.size("sentence_ids") > 0, line).otherwise(F.lit("")))

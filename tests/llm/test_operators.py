@@ -300,6 +300,66 @@ def test_licences(docs, none):
     assert (row.n_sentences, row.licences, row.categories, row.restricted) == (5, "Apache-2.0,Proprietary", "permissive,restricted", True)
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of
+charge, to any person obtaining a copy of this software, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF
+ANY KIND, EXPRESS OR IMPLIED."""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+CC = """This work is licensed under a Creative Commons Attribution{} 4.0 International
+License. To view a copy of this license, visit http://creativecommons.org/licenses/."""
+CC0 = """To the extent possible under law, Some One has waived all copyright and
+related or neighboring rights to This Work."""
+
+
+NOTICES = [
+    (APACHE, "Apache-2.0"), (MIT, "MIT"), (GPL3, "GPL"), (GPL3.replace("software:", "software;"), "GPL"), (LGPL, "LGPL"), (MPL, "MPL-2.0"), (BSD, "BSD"),
+    (CC.format(""), "CC-BY-4.0"), (CC.format("-NonCommercial"), "CC-BY-NC-4.0"), (CC.format("-ShareAlike"), "CC-BY-SA-4.0"), (CC.format("-NoDerivatives"), ""), (CC0, "CC0-1.0"),
+    ("SPDX-License-Identifier: MIT", "MIT"), ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("All rights\nreserved.", "Proprietary"),
+    ("It is not licensed under the\nMIT License.", ""), ("He spoke as is\nhis habit with permission", ""),
+]
+
+
+def test_published_licences(spark):
+    """Each notice wrapped, in comments of two kinds, and on one line."""
+    rows = []
+    for text, names in NOTICES:
+        flat = text.replace("\n\n", "\0").replace("\n", " ").replace("\0", "\n\n")
+        for way in (text, "\n".join(f"# {x}" for x in text.split("\n")), "\r\n".join(f" * {x}" for x in text.split("\n")), f"Some words.\n\n{flat}"):
+            rows.append((len(rows), way, names))
+    got = license_scan.licence_report(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string").coalesce(1)).collect()
+    by = {r.doc_id: r for r in got}
+    assert [(way, by[i].licences) for i, way, _ in rows] == [(way, names) for _, way, names in rows]
+    assert {by[i].sentence_ids for i in range(4)} == {"apache-2.0-grant,apache-2.0-use,apache-2.0-asis"}
+
+
 @pytest.mark.parametrize("score", [quality.quality_scores, toxicity.toxicity_scores])
 def test_scores(spark, docs, none, score):
     got = score(docs, labels(spark)).collect()
