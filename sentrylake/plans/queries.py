@@ -198,9 +198,27 @@ def changelog_classify(spark, d):
     return rows.where("entry IS NOT NULL").select("doc_id", text.entry_category(F.col("line"), F.col("entry")).alias("category"))
 
 
+_BULLETS = "array('- Fixed ', '- Added ', '* Deprecated ', '- ', '- Security: ', '- Documentation for ', '')"
+
+
+@_query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i FROM documents),
+p AS (SELECT doc_id, ['- Fixed ', '- Added ', '* Deprecated ', '- ', '- Security: ', '- Documentation for ', ''][(doc_id + i) % 7 + 1] || t AS line FROM l),
+e AS (SELECT doc_id, line, regexp_extract(line, '^\s*[-*]\s+(.+)$', 1) AS entry FROM p)
+SELECT doc_id, CASE WHEN regexp_matches(entry, '(?i)\b(CVE|GHSA|vulnerability|vulnerabilities|security)\b') THEN 'security' WHEN regexp_matches(entry, '(?i)\bdeprecat') THEN 'deprecation'
+ WHEN regexp_matches(line, '(?i)^\s*[-*]\s+(Bugfix|Bug|Fix|Fixed)\b') THEN 'bugfix' WHEN regexp_matches(entry, '(?i)\bdoc(umentation|s)?\b') THEN 'documentation'
+ WHEN regexp_matches(line, '(?i)^\s*[-*]\s+(Added|New|Support|Implement)') THEN 'feature' ELSE 'other' END AS category, count(*) AS n_entries FROM e WHERE trim(entry) <> '' GROUP BY 1, 2""")
+def changelog_line_classify(spark, d):
+    # every line of the whole texts, bullets planted before all but each seventh
+    planted = F.concat(F.expr(f"element_at({_BULLETS}, CAST((doc_id + i) % 7 AS int) + 1)"), "t")
+    rows = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "t")).select("doc_id", planted.alias("line"))
+    found = rows.withColumn("entry", text.entry_text(F.col("line"))).where("entry IS NOT NULL")
+    return found.groupBy("doc_id", text.entry_category(F.col("line"), F.col("entry")).alias("category")).agg(F.count("*").alias("n_entries"))
+
+
 @_query("SELECT doc_id, list_sort(list_distinct(list_filter(['CVE-2024-' || lpad((doc_id % 977)::VARCHAR, 4, '0'), CASE WHEN doc_id % 3 = 0 THEN '#' || doc_id END, CASE WHEN doc_id % 4 = 0 THEN 'GHSA-ab12-cd34-' || lpad((doc_id % 50)::VARCHAR, 4, 'x') END], lambda x: x IS NOT NULL)))::VARCHAR AS refs FROM documents")
 def reference_extract(spark, d):
-    planted = F.expr("concat('See CVE-2024-', lpad(CAST(doc_id % 977 AS string), 4, '0'), if(doc_id % 3 = 0, concat(' and #', doc_id), ''), if(doc_id % 4 = 0, concat(' GHSA-ab12-cd34-', lpad(CAST(doc_id % 50 AS string), 4, 'x')), ''), ' in the log')")
+    # the whole text with planted references appended; the SQL lists the planted ones, as no supplied text has any
+    planted = F.expr("concat(coalesce(text, ''), '\\nSee CVE-2024-', lpad(CAST(doc_id % 977 AS string), 4, '0'), if(doc_id % 3 = 0, concat(' and #', doc_id), ''), if(doc_id % 4 = 0, concat(' GHSA-ab12-cd34-', lpad(CAST(doc_id % 50 AS string), 4, 'x')), ''), ' in the log')")
     rows = _t(spark, d, "documents").select("doc_id", text.references(planted).alias("refs"))
     return rows.select("doc_id", F.concat(F.lit("["), F.array_join("refs", ", "), F.lit("]")).alias("refs"))
 
