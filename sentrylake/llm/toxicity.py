@@ -1,11 +1,15 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are a text's lower-case words and their beginnings (4 to 6 bytes), so inflected forms meet.
-Only terms that tell the labels of a bounded training sample apart make up the vectors; their
-inverse document frequencies are counted over all documents. The examples' index is cut into blocks;
-a query visits blocks by falling upper bound and stops at the first that cannot reach its k-th
-neighbour, so the neighbours are exact. Votes are weighted by similarity and class size and
-calibrated by a logistic fit on leave-one-out votes of the training sample.
+Terms are a text's lower-case words and their beginnings (4 to 6 bytes), so inflected forms meet. The
+vector space is every term of a bounded training sample, none left out: a term weighs its inverse
+document frequency, counted over all documents, times ``FLOOR`` plus how far the sample's labels
+differ by it (log odds), so telling terms count more and no term counts nothing. Terms that no example
+has cannot meet one and are no part of the space.
+
+The examples' postings are cut into blocks, each term's largest weight in a block beside them. A batch
+of texts bounds every block at once, scores its two best blocks exactly, and then only those blocks
+whose bound reaches a text's k-th neighbour, so the neighbours are exact. Votes are weighted by
+squared similarity and class size and calibrated by a logistic fit on leave-one-out votes.
 """
 
 from __future__ import annotations
@@ -24,6 +28,10 @@ from sentrylake.llm.quality import held_out
 from sentrylake.session import materialise
 
 _HEADS = (4, 5, 6)
+#: What a term weighs, times its inverse document frequency, that both labels have alike.
+FLOOR = 0.02
+#: Expanded index entries that a worker holds at once.
+_ENTRIES = 2_000_000
 
 
 def term_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,118 +50,211 @@ def term_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(out_rows), np.concatenate(out_terms)
 
 
-_COUNTS = pa.schema([("term", pa.int64()), ("n", pa.int64()), ("hits", pa.int64())])
+def _counted(rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, count) of the distinct pairs, in order of row, then term."""
+    order = np.lexsort((terms, rows))
+    r, t = rows[order], terms[order]
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (t[1:] != t[:-1])
+    at = np.flatnonzero(new)
+    return r[at], t[at], np.diff(np.append(at, len(r)))
+
+
+_EXAMPLES = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 
 
-def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per term: texts and label-1 texts with it; (text, label) batches, combined by batch."""
+def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, label and all terms of the whole text with their counts; (text, doc_id, label) batches."""
     for batch in batches:
-        labels = np.asarray(batch.column(1)).astype(np.int64)
-        rows, terms = [], []
-        for lo, _, data, offsets in slices(batch.column(0)):
-            r, t = term_rows(data, offsets)
-            order = np.lexsort((t, r))
-            r, t = r[order], t[order]
-            new = np.ones(len(r), bool)
-            new[1:] = (r[1:] != r[:-1]) | (t[1:] != t[:-1])
-            rows.append(r[new] + lo)
-            terms.append(t[new])
-        if terms and sum(map(len, terms)):
-            uniq, inverse = np.unique(np.concatenate(terms), return_inverse=True)
-            hit = labels[np.concatenate(rows)]
-            yield pa.RecordBatch.from_arrays([pa.array(uniq.view(np.int64)), pa.array(np.bincount(inverse)), pa.array(np.bincount(inverse, hit).astype(np.int64))], schema=_COUNTS)
-
-
-_VECTORS = pa.schema([("doc_id", pa.int64()), ("terms", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
-
-
-def _vectorise(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
-    """doc_id and the vocabulary terms of its whole text with their counts."""
+        for lo, hi, data, offsets in slices(batch.column(0)):
+            rows, terms, counts = _counted(*term_rows(data, offsets))
+            ends = pa.array(np.searchsorted(rows, np.arange(hi - lo + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v)).cast(pa.list_(pa.int64())) for v in (terms.view(np.int64), counts.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), *lists], schema=_EXAMPLES)
+
+
+def _known(terms: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which terms the vocabulary has, their places in it)."""
+    if not len(vocabulary):
+        return np.zeros(len(terms), bool), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(vocabulary, terms), len(vocabulary) - 1)
+    hit = vocabulary[at] == terms
+    return hit, at[hit]
+
+
+_FREQUENCIES = pa.schema([("term", pa.int32()), ("n", pa.int64())])
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
+    """(place in the vocabulary, texts that have it), combined over a whole task."""
     known = vocabulary.value
+    total = np.zeros(len(known), np.int64)
     for batch in batches:
-        for lo, hi, data, offsets in slices(batch.column(1)):
+        for _, hi, data, offsets in slices(batch.column(0)):
             rows, terms = term_rows(data, offsets)
-            at = np.minimum(np.searchsorted(known, terms), max(len(known) - 1, 0))
-            hit = known[at] == terms if len(known) else np.zeros(len(terms), bool)
-            pair, count = np.unique(rows[hit].astype(np.int64) * (len(known) + 1) + at[hit], return_counts=True)
-            ends = np.searchsorted(pair // (len(known) + 1), np.arange(hi - lo + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v.astype(np.int32))).cast(pa.list_(pa.int32())) for v in (pair % (len(known) + 1), count)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *lists], schema=_VECTORS)
+            hit, at = _known(terms, known)
+            pairs = np.unique(rows[hit].astype(np.int64) * (len(known) + 1) + at)
+            total += np.bincount(pairs % (len(known) + 1), minlength=len(known))[: len(known)]
+    seen = np.flatnonzero(total)
+    for k in range(0, len(seen), 100_000):
+        some = seen[k : k + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], schema=_FREQUENCIES)
+
+
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, one run after another."""
+    return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
 
 
 @dataclass
 class Index:
-    """Unit vectors of examples in blocks; ``upper`` holds each term's largest weight in each block."""
+    """Unit vectors of examples as postings, by term, then block, then example.
+
+    ``entry_*`` has a row per term and block that meet: the block, the term's largest weight in it and
+    where its postings start; ``first_entry`` says where a term's entries start.
+    """
 
-    idf: np.ndarray
+    weight: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
-    upper: np.ndarray
-    place: list[dict[int, int]]
-    weights: list[np.ndarray]
     block: int
+    first_entry: np.ndarray
+    entry_block: np.ndarray
+    entry_max: np.ndarray
+    entry_start: np.ndarray
+    post_place: np.ndarray
+    post_weight: np.ndarray
     odds: float
     empty: float
-    fit: tuple[float, float]
-
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[terms]
-        return w / np.sqrt((w**2).sum()) if len(w) else w
-
-    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, similarities) of the k nearest with any term in common; ``skip`` is left out."""
-        bound = q @ self.upper[terms]
-        best_s, best_e = np.zeros(0), np.zeros(0, np.int64)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best_s) == k and bound[b] < best_s[-1]):
-                break
-            rows = [(self.place[b][t], x) for t, x in zip(terms.tolist(), q.tolist()) if t in self.place[b]]
-            s = np.array([x for _, x in rows]) @ self.weights[b][[r for r, _ in rows]]
-            e = np.arange(len(s)) + b * self.block
-            ok = (s > 0) & (e != skip)
-            s, e = np.concatenate([best_s, s[ok]]), np.concatenate([best_e, e[ok]])
-            order = np.lexsort((e, -s))[:k]
-            best_s, best_e = s[order], e[order]
-        return best_e, best_s
-
-    def votes(self, terms: np.ndarray, counts: np.ndarray, k: int, skip: int = -1) -> tuple[float, np.ndarray]:
-        """(log-odds of the weighted votes, the neighbours)."""
-        near, like = self.nearest(terms, self.vector(terms, counts), k, skip)
-        toxic = self.labels[near] == 1
-        yes, no = (like[toxic] ** 2).sum(), (like[~toxic] ** 2).sum() * self.odds
-        return float(np.log((yes + 0.02) / (no + 0.02 * self.odds))), near
-
-
-def build_index(ids, labels, vectors: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, odds: float, k: int, block: int = 64) -> Index:
+    fit: tuple[float, float] = (1.0, 0.0)
+
+    def vectors(self, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+        """Unit TF-IDF weights of (row, term, count) triples of n texts."""
+        w = (1 + np.log(counts)) * self.weight[terms]
+        norm = np.sqrt(np.bincount(rows, w * w, minlength=n))
+        return w / np.maximum(norm, 1e-300)[rows]
+
+    def nearest(self, rows: np.ndarray, terms: np.ndarray, q: np.ndarray, n: int, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, example, similarity) of each text's k nearest with any term in common, nearest first.
+
+        Of equal similarities the earlier example goes first. ``skip`` names an example per text
+        that is left out (-1: none). Triples are in order of row.
+        """
+        blocks = -(-len(self.ids) // self.block)
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        if not blocks:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        cost = np.concatenate([[0], np.cumsum(self.first_entry[terms + 1] - self.first_entry[terms])])
+        first = np.searchsorted(rows, np.arange(n + 1))
+        lo = 0
+        while lo < n:
+            # as many texts as fit, one at least
+            hi = max(lo + 1, int(np.searchsorted(cost[first], cost[first[lo]] + _ENTRIES, "right")) - 1)
+            some = slice(first[lo], first[hi])
+            found = self._chunk(rows[some] - lo, terms[some], q[some], hi - lo, blocks, k, None if skip is None else skip[lo:hi])
+            out.append((found[0] + lo, found[1], found[2]))
+            lo = hi
+        return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+
+    def _chunk(self, rows, terms, q, n, blocks, k, skip):
+        lengths = self.first_entry[terms + 1] - self.first_entry[terms]
+        entry = _runs(self.first_entry[terms], lengths)
+        cell = np.repeat(rows, lengths) * blocks + self.entry_block[entry]
+        weight = np.repeat(q, lengths)
+        bound = np.bincount(cell, weight * self.entry_max[entry], minlength=n * blocks).reshape(n, blocks)
+        first = np.zeros((n, blocks), bool)
+        best = np.argsort(-bound, axis=1, kind="stable")[:, :2]
+        np.put_along_axis(first, best, np.take_along_axis(bound, best, 1) > 0, 1)
+        r, e, s = self._top(*self._scored(first, cell, entry, weight, blocks, skip), k)
+        # the k-th best so far; blocks that cannot reach it hold none of the k nearest
+        count = np.bincount(r, minlength=n)
+        least = np.zeros(n)
+        least[count == k] = s[np.cumsum(count)[count == k] - 1]
+        rest = (bound > 0) & (bound >= least[:, None]) & ~first
+        r2, e2, s2 = self._scored(rest, cell, entry, weight, blocks, skip)
+        return self._top(np.concatenate([r, r2]), np.concatenate([e, e2]), np.concatenate([s, s2]), k)
+
+    def _scored(self, mask, cell, entry, weight, blocks, skip):
+        """(row, example, similarity) of all examples of the chosen (row, block) cells with a term in common."""
+        pairs = np.flatnonzero(mask.ravel())
+        number = np.cumsum(mask.ravel()) - 1
+        on = mask.ravel()[cell]
+        entry, cell, weight = entry[on], cell[on], weight[on]
+        lengths = self.entry_start[entry + 1] - self.entry_start[entry]
+        at = _runs(self.entry_start[entry], lengths)
+        place = np.repeat(number[cell] * self.block, lengths) + self.post_place[at]
+        s = np.bincount(place, np.repeat(weight, lengths) * self.post_weight[at], minlength=len(pairs) * self.block)
+        some = np.flatnonzero(s > 0)
+        row, block = np.divmod(pairs[some // self.block], blocks)
+        example = block * self.block + some % self.block
+        if skip is not None:
+            other = example != skip[row]
+            return row[other], example[other], s[some][other]
+        return row, example, s[some]
+
+    @staticmethod
+    def _top(r, e, s, k):
+        order = np.lexsort((e, -s, r))
+        r, e, s = r[order], e[order], s[order]
+        start = np.searchsorted(r, r, "left")
+        keep = np.arange(len(r)) - start < k
+        return r[keep], e[keep], s[keep]
+
+    def votes(self, rows, terms, counts, n: int, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log-odds of the weighted votes of each text, the neighbours' rows, the neighbours)."""
+        r, e, s = self.nearest(rows, terms, self.vectors(rows, terms, counts, n), n, k, skip)
+        toxic = self.labels[e] == 1
+        yes = np.bincount(r[toxic], s[toxic] ** 2, minlength=n)
+        no = np.bincount(r[~toxic], s[~toxic] ** 2, minlength=n) * self.odds
+        return np.log((yes + 0.02) / (no + 0.02 * self.odds)), r, e
+
+    def score(self, rows, terms, counts, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(probability of label 1 of each text, the neighbours' rows, the neighbours)."""
+        x, r, e = self.votes(rows, terms, counts, n, k)
+        p = 1 / (1 + np.exp(-(self.fit[0] * x + self.fit[1])))
+        return np.where(np.bincount(rows, minlength=n) > 0, p, self.empty), r, e
+
+
+def build_index(ids: np.ndarray, labels: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], weight: np.ndarray, odds: float, k: int, block: int = 64) -> Index:
     """odds: label-0 rows that a label-0 example stands for, against those of a label-1 example."""
-    full = [i for i, (t, _) in enumerate(vectors) if len(t)]
-    void = [i for i, (t, _) in enumerate(vectors) if not len(t)]
-    hits = sum(labels[i] for i in void)
+    sizes = np.array([len(t) for t, _ in vectors], np.int64)
+    void = np.flatnonzero(sizes == 0)
+    hits = float(sum(labels[i] for i in void))
     empty = (hits + 0.5) / (hits + (len(void) - hits) * odds + 1)
-    index = Index(idf, np.array([ids[i] for i in full], np.int64), np.array([labels[i] for i in full], np.int64), np.zeros((len(idf), 0), np.float32), [], [], block, odds, float(empty), (1.0, 0.0))
-    unit = {i: index.vector(*vectors[i]) for i in full}
+    full = np.flatnonzero(sizes > 0)
+    rows = np.repeat(np.arange(len(full)), sizes[full])
+    terms = np.concatenate([vectors[i][0] for i in full]).astype(np.int64) if len(full) else np.zeros(0, np.int64)
+    counts = np.concatenate([vectors[i][1] for i in full]).astype(np.float64) if len(full) else np.zeros(0)
+    none = np.zeros(0, np.int64)
+    index = Index(weight, none, none, block, none, none, np.zeros(0), none, none, np.zeros(0), odds, float(empty))
+    unit = index.vectors(rows, terms, counts, len(full))
     # examples with the same heaviest term lie together, so blocks have tight bounds
-    full.sort(key=lambda i: (int(vectors[i][0][int(np.argmax(unit[i]))]), ids[i]))
-    index.ids, index.labels = np.array([ids[i] for i in full], np.int64), np.array([labels[i] for i in full], np.int64)
-    blocks = [full[j : j + block] for j in range(0, len(full), block)]
-    index.upper = np.zeros((len(idf), max(len(blocks), 1)), np.float32)
-    for b, members in enumerate(blocks):
-        terms = sorted({int(t) for i in members for t in vectors[i][0]})
-        place = {t: r for r, t in enumerate(terms)}
-        w = np.zeros((len(terms), len(members)))
-        for c, i in enumerate(members):
-            w[[place[int(t)] for t in vectors[i][0]], c] = unit[i]
-        index.place.append(place)
-        index.weights.append(w)
-        index.upper[terms, b] = w.max(1) * 1.000001
-    x = np.array([index.votes(*vectors[i], k, skip=j)[0] for j, i in enumerate(full)])
-    y = index.labels.astype(float)
-    weight = np.where(y == 1, 1.0, odds)
+    heavy = np.lexsort((terms, -unit, rows))
+    lead = terms[heavy[np.searchsorted(rows, np.arange(len(full)))]] if len(full) else none
+    order = np.lexsort((np.asarray(ids)[full], lead))
+    place = np.empty(len(full), np.int64)
+    place[order] = np.arange(len(full))
+    index.ids, index.labels = np.asarray(ids)[full][order], np.asarray(labels)[full][order]
+    at = place[rows]
+    by = np.lexsort((at, terms))
+    t, e, w = terms[by], at[by], unit[by]
+    new = np.ones(len(t), bool)
+    new[1:] = (t[1:] != t[:-1]) | (e[1:] // block != e[:-1] // block)
+    start = np.flatnonzero(new)
+    index.entry_start = np.append(start, len(t))
+    index.entry_block = (e[start] // block).astype(np.int32)
+    # a little more than the largest weight, so that rounding never hides a block
+    index.entry_max = (np.maximum.reduceat(w, start) * 1.000001).astype(np.float32) * np.float32(1.000001) if len(start) else np.zeros(0, np.float32)
+    index.first_entry = np.searchsorted(t[start], np.arange(len(weight) + 1))
+    index.post_place, index.post_weight = (e % block).astype(np.int32), w
+    x, _, _ = index.votes(rows, terms, counts, len(full), k, skip=place)
+    y = np.asarray(labels)[full].astype(float)
+    size = np.where(y == 1, 1.0, odds)
     a, b = 1.0, 0.0
     for _ in range(30 if len(x) and 0 < y.sum() < len(y) else 0):  # Newton steps of a logistic fit
         p = 1 / (1 + np.exp(-(a * x + b)))
-        g = np.array([(weight * (y - p) * x).sum() - 0.01 * (a - 1), (weight * (y - p)).sum() - 0.01 * b])
-        h = weight * p * (1 - p)
+        g = np.array([(size * (y - p) * x).sum() - 0.01 * (a - 1), (size * (y - p)).sum() - 0.01 * b])
+        h = size * p * (1 - p)
         m = np.array([[(h * x * x).sum() + 0.01, (h * x).sum()], [(h * x).sum(), h.sum() + 0.01]])
         step = np.linalg.solve(m, g)
         a, b = a + float(np.clip(step[0], -1, 1)), b + float(np.clip(step[1], -1, 1))
@@ -164,60 +265,70 @@ def build_index(ids, labels, vectors: list[tuple[np.ndarray, np.ndarray]], idf:
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence", pa.list_(pa.int64()))])
 
 
-def _score(batches: Iterator[pa.RecordBatch], index, k: int) -> Iterator[pa.RecordBatch]:
-    made = index.value
+def _score(batches: Iterator[pa.RecordBatch], vocabulary, index, k: int) -> Iterator[pa.RecordBatch]:
+    known, made = vocabulary.value, index.value
     for batch in batches:
-        scores, evidence = [], []
-        for terms, counts in zip(batch.column(1), batch.column(2)):
-            t = np.asarray(terms.values)
-            if not len(t):
-                scores.append(made.empty)
-                evidence.append([])
-                continue
-            x, near = made.votes(t, np.asarray(counts.values), k)
-            scores.append(float(1 / (1 + np.exp(-(made.fit[0] * x + made.fit[1])))))
-            evidence.append(made.ids[near].tolist())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], schema=_SCORES)
-
-
-def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, k: int = 15, most_rows: int = 6_000, most_terms: int = 2_048) -> DataFrame:
+        for lo, hi, data, offsets in slices(batch.column(1)):
+            rows, terms = term_rows(data, offsets)
+            hit, at = _known(terms, known)
+            scores, r, e = made.score(*_counted(rows[hit], at), hi - lo, k)
+            ends = pa.array(np.searchsorted(r, np.arange(hi - lo + 1)).astype(np.int32))
+            near = pa.ListArray.from_arrays(ends, pa.array(made.ids[e], pa.int64())).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(scores), near], schema=_SCORES)
+
+
+def training_sample(texts: DataFrame, labels: DataFrame, most_rows: int) -> tuple[DataFrame, dict[int, int]]:
+    """(text, doc_id, label) of at most most_rows distinct texts, and how many ids have each label.
+
+    Half of each label, the ids of least hash. An id that repeats stands by its least text; a text that
+    repeats by its least id; an id with both labels counts as label 1.
+    """
+    marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
+    marked = marked.where(~held_out(F.col("doc_id"), 5, 0)).where("label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
+    totals = {r[0]: r[1] for r in marked.groupBy("label").count().where("label IN (0, 1)").collect()}
+    halves = [marked.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows // 2) for label in (0, 1)]
+    sample = halves[0].unionByName(halves[1])
+    by_id = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    once = by_id.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("label").alias("label"))
+    return materialise(once.select("text", "doc_id", "label"), "toxic-training"), totals
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, k: int = 15, most_rows: int = 6_000) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, evidence (ids of the nearest examples).
 
-    Labels are learnt only from ids whose crc32 mod 5 is not 0, from at most most_rows rows: half of
-    each label, those of least id hash, each distinct text once. Texts without a term of the
-    vocabulary, empty and null texts among them, get the smoothed share of label 1 among such
-    training texts. A null id is scored and never a training row. Empty tables give an empty result.
+    Labels are learnt only from ids whose crc32 mod 5 is not 0, from at most most_rows rows (see
+    ``training_sample``); all terms of those whole texts make up the vectors. Texts without any of
+    them, empty and null texts among them, get the smoothed share of label 1 among such training
+    texts. Texts of any length are read whole. Equal texts get equal scores; of examples at equal
+    similarity the one that lies first in the index goes first. Repeated rows are scored each by
+    itself. A null id is scored and never a training row. Other columns are ignored whatever their
+    names. Without labels of both kinds the votes stay uncalibrated. Empty tables give an empty result.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
-    marked = marked.where(~held_out(F.col("doc_id"), 5, 0)).where("label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
-    totals = {r[0]: r[1] for r in marked.groupBy("label").count().collect()}
-    half = most_rows // 2
-    sample = None
-    for label in (0, 1):
-        some = marked.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(half)
-        sample = some if sample is None else sample.unionByName(some)
-    once = texts.join(F.broadcast(sample), "doc_id").groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id"), F.max("label").alias("label"), F.min("text").alias("text"))
-    training = materialise(once.select("text", "label", "doc_id"), "toxic-training")
-    n, n1 = training.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    n0 = n - n1
-    counted = training.select("text", "label").mapInArrow(_label_counts, "term bigint, n bigint, hits bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).where("n >= 5")
-    # smoothed shares of the texts of each label that have the term
-    yes = (F.col("hits") + 0.5) / (n1 + 1.0)
-    no = (F.col("n") - F.col("hits") + 0.5) / (n0 + 1.0)
-    gain = F.abs(F.log(yes / no)) * (F.abs(yes - no))
-    chosen = counted.where(F.abs(F.log(yes / no)) >= 1.2).orderBy(gain.desc(), "term").limit(most_terms).select("term").collect()
-    known = np.sort(np.array([r[0] for r in chosen], np.int64).view(U64))
-    vectors = materialise(texts.mapInArrow(partial(_vectorise, vocabulary=spark.sparkContext.broadcast(known)), "doc_id bigint, terms array<int>, counts array<int>"), "toxic-vectors")
-    total = vectors.count()
-    idf = np.full(len(known), np.log(1.0 + total))
-    for term, df in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # at most most_terms rows
-        idf[term] = np.log((1.0 + total) / (1.0 + df)) + 1.0
-    rows = training.select("doc_id", "label").join(vectors, "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.min(F.struct("terms", "counts")).alias("v")).orderBy("doc_id").collect()
-    odds = (totals.get(0, 0) / max(n0, 1)) / max(totals.get(1, 0) / max(n1, 1), 1e-9) if n0 and n1 else 1.0
-    index = build_index([r["doc_id"] for r in rows], [r["label"] for r in rows], [(np.array(r["v"]["terms"], np.int64), np.array(r["v"]["counts"], np.int64)) for r in rows], idf, odds, k)
-    scored = vectors.mapInArrow(partial(_score, index=spark.sparkContext.broadcast(index), k=k), "doc_id bigint, score double, evidence array<bigint>")
+    training, totals = training_sample(texts, labels, most_rows)
+    rows = training.mapInArrow(_example_terms, "doc_id bigint, label int, terms array<bigint>, counts array<bigint>").toArrow().sort_by("doc_id")
+    ids, marks = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy()
+    lists = [[np.asarray(x.values, np.int64) for x in rows.column(c)] for c in ("terms", "counts")]
+    every = np.concatenate(lists[0]).view(U64) if lists[0] else np.zeros(0, U64)
+    owner = np.repeat(np.arange(len(ids)), [len(x) for x in lists[0]])
+    known, place = np.unique(every, return_inverse=True)
+    ends = np.cumsum([0] + [len(x) for x in lists[0]])
+    vectors = [(place[a:b], c) for a, b, c in zip(ends[:-1], ends[1:], lists[1])]
+    n1 = int(marks.sum())
+    n0 = len(marks) - n1
+    has = np.bincount(place, minlength=len(known))
+    yes = np.bincount(place, marks[owner].astype(float), minlength=len(known))
+    vocabulary = spark.sparkContext.broadcast(known)
+    counted = texts.select("text").mapInArrow(partial(_frequencies, vocabulary=vocabulary), "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(len(known))
+    frequency[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
+    total = texts.count()
+    told = np.abs(np.log(((yes + 1) / (n1 + 2)) / ((has - yes + 1) / (n0 + 2)))) if n0 and n1 else np.zeros(len(known))
+    weight = (np.log((1 + total) / (1 + frequency)) + 1) * (FLOOR + told)
+    odds = (totals.get(0, 0) / n0) / max(totals.get(1, 0) / n1, 1e-9) if n0 and n1 else 1.0
+    index = spark.sparkContext.broadcast(build_index(ids, marks, vectors, weight, odds, k))
+    scored = texts.mapInArrow(partial(_score, vocabulary=vocabulary, index=index, k=k), "doc_id bigint, score double, evidence array<bigint>")
     return scored.select(
         "doc_id",
         F.coalesce(held_out(F.col("doc_id"), 5, 0), F.lit(False)).alias("held_out"),

@@ -388,20 +388,108 @@ def test_trees_learn():
     assert ((model.score(x[1500:]) > 0.5) == y[1500:]).mean() > 0.93
 
 
-def test_nearest_is_exact():
+def sparse(vectors):
+    rows = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+    return rows, np.concatenate([t for t, _ in vectors]), np.concatenate([c for _, c in vectors]).astype(float)
+
+
+@pytest.mark.parametrize("block, pool", [(16, 300), (7, 40), (64, 2000)])
+def test_nearest_is_exact(block, pool):
+    """All neighbours of every query, in order, ties by example, against dense cosines; also with one left out."""
     rng = np.random.default_rng(4)
-    vectors = [(np.sort(rng.choice(300, rng.integers(1, 30), replace=False)), rng.integers(1, 5, 30)) for _ in range(500)]
+    vectors = [(np.sort(rng.choice(pool, rng.integers(1, 30), replace=False)), rng.integers(1, 5, 30)) for _ in range(400)]
     vectors = [(t, c[: len(t)]) for t, c in vectors]
-    index = toxicity.build_index(list(range(500)), [i % 2 for i in range(500)], vectors, rng.uniform(0.5, 3, 300), 1.0, 10, block=16)
-    dense = np.zeros((500, 300))
-    at = {int(i): k for k, i in enumerate(index.ids)}
-    for i, (t, c) in enumerate(vectors):
-        dense[at[i], t] = index.vector(t, c)
-    for t, c in vectors[:60]:
-        q = index.vector(t, c)
-        near, like = index.nearest(t, q, 10)
-        want = np.sort(dense[:, t] @ q)[::-1][: len(like)]
-        assert np.allclose(like, want)
+    vectors += vectors[:30] + [(np.zeros(0, np.int64), np.zeros(0, np.int64))]  # ties, and an example without terms
+    weight = rng.uniform(0.01, 3, pool) ** 2
+    index = toxicity.build_index(np.arange(len(vectors)), np.arange(len(vectors)) % 2, vectors, weight, 1.0, 10, block=block)
+    assert len(index.ids) == len(vectors) - 1
+    dense = np.zeros((len(index.ids), pool))
+    for e, i in enumerate(index.ids):
+        t, c = vectors[i]
+        dense[e, t] = (1 + np.log(c)) * weight[t]
+    dense /= np.sqrt((dense**2).sum(1))[:, None]
+    rows, terms, counts = sparse(vectors)
+    n = len(vectors)
+    place = np.array([int(np.flatnonzero(index.ids == i)[0]) if i in index.ids else -1 for i in range(n)])
+    for skip in (None, place):
+        r, e, s = index.nearest(rows, terms, index.vectors(rows, terms, counts, n), n, 10, skip)
+        for i in range(n):
+            if not len(vectors[i][0]):
+                assert not (r == i).any()
+                continue
+            like = dense @ dense[place[i]]
+            if skip is not None:
+                like[place[i]] = 0
+            want = np.sort(like[like > 1e-12])[::-1][:10]
+            got = s[r == i]
+            assert len(got) == len(want) and np.allclose(got, want)
+            assert np.allclose(like[e[r == i]], got) and len(set(e[r == i].tolist())) == len(want)
+
+
+def test_toxicity_equals_brute_force(spark):
+    """Scores, votes and evidence of 300 documents against a plain computation over all terms of the sample."""
+    rng = np.random.default_rng(8)
+    pool = words(400, 77)
+    texts = [" ".join(pool[j] for j in rng.integers(0, 400, rng.integers(3, 60))) for _ in range(300)]
+    bad = set(range(0, 300, 4))
+    texts = [t + (" nasty foul" if i in bad and i % 8 else "") for i, t in enumerate(texts)]
+    texts[20], texts[21], texts[22] = "", None, texts[40]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    marks = spark.createDataFrame([(i, int(i in bad)) for i in range(300)], "doc_id bigint, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(frame, marks, k=7).collect()}
+
+    def terms(text):
+        out = Counter()
+        for w in re.findall(rb"[a-z0-9\x80-\xff]+", (text or "").encode().lower()):
+            out[w] += 1
+            for h in (4, 5, 6):
+                if len(w) > h:
+                    out[h, w[:h]] += 1
+        return out
+
+    train = {}
+    for i in range(300):
+        if zlib.crc32(str(i).encode()) % 5:
+            slot = train.setdefault(texts[i] or "", [i, 0])
+            slot[1] = max(slot[1], int(i in bad))
+    rows = sorted((i, y, terms(t)) for t, (i, y) in train.items())
+    ids_of = [sum(1 for i in range(300) if zlib.crc32(str(i).encode()) % 5 and (i in bad) == flag) for flag in (False, True)]
+    n1 = sum(y for _, y, _ in rows)
+    n0 = len(rows) - n1
+    has, yes, df = Counter(), Counter(), Counter()
+    for _, y, t in rows:
+        has.update(t.keys())
+        yes.update(t.keys() if y else ())
+    for t in texts:
+        df.update(terms(t).keys())
+    weight = {w: (np.log(301 / (1 + df[w])) + 1) * (toxicity.FLOOR + abs(np.log(((yes[w] + 1) / (n1 + 2)) / ((has[w] - yes[w] + 1) / (n0 + 2))))) for w in has}
+
+    def unit(t):
+        v = {w: (1 + np.log(c)) * weight[w] for w, c in t.items() if w in weight}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    examples = [(i, y, unit(t)) for i, y, t in rows if t]
+    odds = (ids_of[0] / n0) / (ids_of[1] / n1)
+    for i, t in enumerate(texts):
+        q = unit(terms(t))
+        like = sorted(((sum(x * e.get(w, 0) for w, x in q.items()), j, y) for j, y, e in examples), reverse=True)[:7] if q else []
+        assert len(got[i].evidence) == len([s for s, _, _ in like if s > 1e-12])
+        by = {j: s for s, j, _ in like}
+        kth = like[-1][0] if like else 0
+        assert all(by.get(j, kth) == pytest.approx(kth) or j in by for j in got[i].evidence)
+        assert got[i].predicted == int(got[i].score >= 0.5)
+    x, y = [], []
+    for i, t in enumerate(texts):
+        q = unit(terms(t))
+        if q:
+            like = sorted(((sum(v * e.get(w, 0) for w, v in q.items()), y_) for _, y_, e in examples), reverse=True)[:7]
+            up, down = sum(s * s for s, y_ in like if y_), odds * sum(s * s for s, y_ in like if not y_)
+            x.append(np.log((up + 0.02) / (down + 0.02 * odds)))
+            y.append(np.log(got[i].score / (1 - got[i].score)))
+    a, b = np.polyfit(x, y, 1)  # the calibration is a line in log-odds
+    assert np.abs(np.array(y) - (a * np.array(x) + b)).max() < 1e-6 and a > 0
+    assert got[20].score == got[21].score and got[20].evidence == []
 
 
 def test_pipeline_near_from_80(spark):
