@@ -1,6 +1,6 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are a text's lower-case words and their beginnings (4 to 6 bytes), so inflected forms meet. The
+Terms are a text's lower-case words and their beginnings (5 bytes), so inflected forms meet. The
 vector space is every term of a bounded training sample, none left out: a term weighs its inverse
 document frequency, counted over all documents, times ``FLOOR`` plus how far the sample's labels
 differ by it (log odds), so telling terms count more and no term counts nothing. Terms that no example
@@ -27,37 +27,54 @@ from sentrylake.llm.arrays import LOWER, U64, mix, slices, word_hashes, word_spa
 from sentrylake.llm.quality import held_out
 from sentrylake.session import materialise
 
-_HEADS = (4, 5, 6)
+#: Bytes of a longer word's beginning.
+HEAD = 5
 #: What a term weighs, times its inverse document frequency, that both labels have alike.
 FLOOR = 0.02
 #: Expanded index entries that a worker holds at once.
-_ENTRIES = 2_000_000
+_ENTRIES = 500_000
+#: Texts that a worker scores at once, at most.
+_TEXTS = 512
+#: A term of more than one example in so many is a dense column.
+_COMMON = 16
 
 
-def term_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, term hash) of every word and of the beginnings of longer words."""
+def _pairs(rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, count) of the distinct pairs, in order of row, then term; terms are under ``width``."""
+    keys = rows * width + terms
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    row, term = np.divmod(keys[at], width)
+    return row, term, np.add.reduceat(counts[order], at) if len(at) else np.zeros(0, np.int64)
+
+
+def text_terms(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(terms, row, place in terms, count): every word and the beginning of every longer word of each text.
+
+    ``terms`` are sorted hashes: those of the vocabulary where one is given, else all that occur. Each
+    distinct word is looked at once, whatever the number of its places.
+    """
     data = LOWER[data]
     # words here end at any ASCII byte that is no letter or digit
     keep = (data >= 128) | ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57))
     data = np.where(keep, data, np.uint8(32))
     starts, ends, first = word_spans(data, offsets)
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    out_rows, out_terms = [rows], [word_hashes(data, starts, ends)]
-    for k in _HEADS:
-        long = ends - starts > k
-        out_rows.append(rows[long])
-        out_terms.append(mix(word_hashes(data, starts[long], starts[long] + k) + U64(k)))
-    return np.concatenate(out_rows), np.concatenate(out_terms)
-
-
-def _counted(rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, count) of the distinct pairs, in order of row, then term."""
-    order = np.lexsort((terms, rows))
-    r, t = rows[order], terms[order]
-    new = np.ones(len(r), bool)
-    new[1:] = (r[1:] != r[:-1]) | (t[1:] != t[:-1])
-    at = np.flatnonzero(new)
-    return r[at], t[at], np.diff(np.append(at, len(r)))
+    word, at, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    begin, size = starts[at], (ends - starts)[at]
+    row, place, count = _pairs(rows, inverse, np.ones(len(rows), np.int64), max(len(word), 1))
+    long = size > HEAD
+    head = mix(word_hashes(data, begin[long], begin[long] + HEAD) + U64(HEAD))
+    terms = np.unique(np.concatenate([word, head])) if vocabulary is None else vocabulary
+    of_word, of_head = np.full(len(word), -1), np.full(len(word), -1)
+    for out, where, hashes in ((of_word, slice(None), word), (of_head, long, head)):
+        near = np.minimum(np.searchsorted(terms, hashes), max(len(terms) - 1, 0))
+        out[where] = np.where(terms[near] == hashes, near, -1) if len(terms) else -1
+    row, count = np.concatenate([row, row]), np.concatenate([count, count])
+    place = np.concatenate([of_word[place], of_head[place]])
+    some = place >= 0
+    return terms, *_pairs(row[some], place[some], count[some], max(len(terms), 1))
 
 
 _EXAMPLES = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
@@ -67,21 +84,12 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """doc_id, label and all terms of the whole text with their counts; (text, doc_id, label) batches."""
     for batch in batches:
         for lo, hi, data, offsets in slices(batch.column(0)):
-            rows, terms, counts = _counted(*term_rows(data, offsets))
+            terms, rows, place, counts = text_terms(data, offsets)
             ends = pa.array(np.searchsorted(rows, np.arange(hi - lo + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(v)).cast(pa.list_(pa.int64())) for v in (terms.view(np.int64), counts.astype(np.int64))]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v)).cast(pa.list_(pa.int64())) for v in (terms[place].view(np.int64), counts)]
             yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), *lists], schema=_EXAMPLES)
 
 
-def _known(terms: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(which terms the vocabulary has, their places in it)."""
-    if not len(vocabulary):
-        return np.zeros(len(terms), bool), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, terms), len(vocabulary) - 1)
-    hit = vocabulary[at] == terms
-    return hit, at[hit]
-
-
 _FREQUENCIES = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 
 
@@ -90,11 +98,9 @@ def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.R
     known = vocabulary.value
     total = np.zeros(len(known), np.int64)
     for batch in batches:
-        for _, hi, data, offsets in slices(batch.column(0)):
-            rows, terms = term_rows(data, offsets)
-            hit, at = _known(terms, known)
-            pairs = np.unique(rows[hit].astype(np.int64) * (len(known) + 1) + at)
-            total += np.bincount(pairs % (len(known) + 1), minlength=len(known))[: len(known)]
+        for _, _, data, offsets in slices(batch.column(0)):
+            _, _, place, _ = text_terms(data, offsets, known)
+            total += np.bincount(place, minlength=len(known))
     seen = np.flatnonzero(total)
     for k in range(0, len(seen), 100_000):
         some = seen[k : k + 100_000]
@@ -108,24 +114,29 @@ def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Unit vectors of examples as postings, by term, then block, then example.
+    """Unit vectors of examples in blocks.
 
-    ``entry_*`` has a row per term and block that meet: the block, the term's largest weight in it and
-    where its postings start; ``first_entry`` says where a term's entries start.
+    A term that many examples have is a dense column of each block (``dense``: blocks x common terms x
+    examples, ``dense_max``: its largest weight in each block). Other terms have postings, by term, then
+    block, then example: ``entry_*`` has a row per term and block that meet, with the block, the term's
+    largest weight in it and where its postings start; ``first_entry`` says where a term's entries start.
     """
 
     weight: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     block: int
-    first_entry: np.ndarray
-    entry_block: np.ndarray
-    entry_max: np.ndarray
-    entry_start: np.ndarray
-    post_place: np.ndarray
-    post_weight: np.ndarray
     odds: float
     empty: float
+    common: np.ndarray | None = None
+    dense: np.ndarray | None = None
+    dense_max: np.ndarray | None = None
+    first_entry: np.ndarray | None = None
+    entry_block: np.ndarray | None = None
+    entry_max: np.ndarray | None = None
+    entry_start: np.ndarray | None = None
+    post_place: np.ndarray | None = None
+    post_weight: np.ndarray | None = None
     fit: tuple[float, float] = (1.0, 0.0)
 
     def vectors(self, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
@@ -140,42 +151,44 @@ class Index:
         Of equal similarities the earlier example goes first. ``skip`` names an example per text
         that is left out (-1: none). Triples are in order of row.
         """
-        blocks = -(-len(self.ids) // self.block)
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if not blocks:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         cost = np.concatenate([[0], np.cumsum(self.first_entry[terms + 1] - self.first_entry[terms])])
         first = np.searchsorted(rows, np.arange(n + 1))
         lo = 0
-        while lo < n:
+        while lo < n and len(self.ids):
             # as many texts as fit, one at least
-            hi = max(lo + 1, int(np.searchsorted(cost[first], cost[first[lo]] + _ENTRIES, "right")) - 1)
+            hi = min(max(lo + 1, int(np.searchsorted(cost[first], cost[first[lo]] + _ENTRIES, "right")) - 1), lo + _TEXTS)
             some = slice(first[lo], first[hi])
-            found = self._chunk(rows[some] - lo, terms[some], q[some], hi - lo, blocks, k, None if skip is None else skip[lo:hi])
+            found = self._chunk(rows[some] - lo, terms[some], q[some], hi - lo, k, None if skip is None else skip[lo:hi])
             out.append((found[0] + lo, found[1], found[2]))
             lo = hi
         return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
 
-    def _chunk(self, rows, terms, q, n, blocks, k, skip):
+    def _chunk(self, rows, terms, q, n, k, skip):
+        blocks = len(self.dense)
+        much = self.common[terms] >= 0
+        dense = np.zeros((n, self.dense.shape[1]))
+        dense[rows[much], self.common[terms[much]]] = q[much]
+        rows, terms, q = rows[~much], terms[~much], q[~much]
         lengths = self.first_entry[terms + 1] - self.first_entry[terms]
         entry = _runs(self.first_entry[terms], lengths)
         cell = np.repeat(rows, lengths) * blocks + self.entry_block[entry]
         weight = np.repeat(q, lengths)
-        bound = np.bincount(cell, weight * self.entry_max[entry], minlength=n * blocks).reshape(n, blocks)
+        bound = np.bincount(cell, weight * self.entry_max[entry], minlength=n * blocks).reshape(n, blocks) + dense @ self.dense_max
         first = np.zeros((n, blocks), bool)
         best = np.argsort(-bound, axis=1, kind="stable")[:, :2]
         np.put_along_axis(first, best, np.take_along_axis(bound, best, 1) > 0, 1)
-        r, e, s = self._top(*self._scored(first, cell, entry, weight, blocks, skip), k)
+        least = np.zeros(n)
+        r, e, s = self._top(*self._scored(first, dense, cell, entry, weight, least, skip), k)
         # the k-th best so far; blocks that cannot reach it hold none of the k nearest
         count = np.bincount(r, minlength=n)
-        least = np.zeros(n)
         least[count == k] = s[np.cumsum(count)[count == k] - 1]
         rest = (bound > 0) & (bound >= least[:, None]) & ~first
-        r2, e2, s2 = self._scored(rest, cell, entry, weight, blocks, skip)
+        r2, e2, s2 = self._scored(rest, dense, cell, entry, weight, least, skip)
         return self._top(np.concatenate([r, r2]), np.concatenate([e, e2]), np.concatenate([s, s2]), k)
 
-    def _scored(self, mask, cell, entry, weight, blocks, skip):
-        """(row, example, similarity) of all examples of the chosen (row, block) cells with a term in common."""
+    def _scored(self, mask, dense, cell, entry, weight, least, skip):
+        """(row, example, similarity) of the examples in the chosen (row, block) cells that reach ``least`` of their row."""
         pairs = np.flatnonzero(mask.ravel())
         number = np.cumsum(mask.ravel()) - 1
         on = mask.ravel()[cell]
@@ -183,14 +196,18 @@ class Index:
         lengths = self.entry_start[entry + 1] - self.entry_start[entry]
         at = _runs(self.entry_start[entry], lengths)
         place = np.repeat(number[cell] * self.block, lengths) + self.post_place[at]
-        s = np.bincount(place, np.repeat(weight, lengths) * self.post_weight[at], minlength=len(pairs) * self.block)
-        some = np.flatnonzero(s > 0)
-        row, block = np.divmod(pairs[some // self.block], blocks)
-        example = block * self.block + some % self.block
+        s = np.bincount(place, np.repeat(weight, lengths) * self.post_weight[at], minlength=len(pairs) * self.block).reshape(len(pairs), self.block).astype(np.float64, copy=False)
+        row, block = np.divmod(pairs, mask.shape[1])
+        for b in range(mask.shape[1]):
+            mine = np.flatnonzero(block == b)
+            if len(mine):
+                s[mine] += dense[row[mine]] @ self.dense[b]
+        pair, example = np.nonzero((s >= least[row][:, None]) & (s > 0))
+        s, row, example = s[pair, example], row[pair], block[pair] * self.block + example
         if skip is not None:
             other = example != skip[row]
-            return row[other], example[other], s[some][other]
-        return row, example, s[some]
+            return row[other], example[other], s[other]
+        return row, example, s
 
     @staticmethod
     def _top(r, e, s, k):
@@ -225,28 +242,33 @@ def build_index(ids: np.ndarray, labels: np.ndarray, vectors: list[tuple[np.ndar
     rows = np.repeat(np.arange(len(full)), sizes[full])
     terms = np.concatenate([vectors[i][0] for i in full]).astype(np.int64) if len(full) else np.zeros(0, np.int64)
     counts = np.concatenate([vectors[i][1] for i in full]).astype(np.float64) if len(full) else np.zeros(0)
-    none = np.zeros(0, np.int64)
-    index = Index(weight, none, none, block, none, none, np.zeros(0), none, none, np.zeros(0), odds, float(empty))
+    index = Index(weight, np.asarray(ids)[full], np.asarray(labels)[full], block, odds, float(empty))
     unit = index.vectors(rows, terms, counts, len(full))
     # examples with the same heaviest term lie together, so blocks have tight bounds
     heavy = np.lexsort((terms, -unit, rows))
-    lead = terms[heavy[np.searchsorted(rows, np.arange(len(full)))]] if len(full) else none
-    order = np.lexsort((np.asarray(ids)[full], lead))
+    lead = terms[heavy[np.searchsorted(rows, np.arange(len(full)))]]
+    order = np.lexsort((index.ids, lead))
     place = np.empty(len(full), np.int64)
     place[order] = np.arange(len(full))
-    index.ids, index.labels = np.asarray(ids)[full][order], np.asarray(labels)[full][order]
-    at = place[rows]
-    by = np.lexsort((at, terms))
+    index.ids, index.labels = index.ids[order], index.labels[order]
+    blocks = -(-len(full) // block)
+    much = np.flatnonzero(np.bincount(terms, minlength=len(weight)) * _COMMON > len(full))
+    index.common = np.full(len(weight), -1)
+    index.common[much] = np.arange(len(much))
+    index.dense = np.zeros((blocks, len(much), block))
+    at, column = place[rows], index.common[terms]
+    on = column >= 0
+    index.dense[at[on] // block, column[on], at[on] % block] = unit[on]
+    # a little more than the largest weight, so that rounding never hides a block
+    index.dense_max = index.dense.max(2, initial=0).T * (1 + 1e-9)
+    by = np.flatnonzero(~on)[np.lexsort((at[~on], terms[~on]))]
     t, e, w = terms[by], at[by], unit[by]
-    new = np.ones(len(t), bool)
-    new[1:] = (t[1:] != t[:-1]) | (e[1:] // block != e[:-1] // block)
-    start = np.flatnonzero(new)
+    start = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (e[1:] // block != e[:-1] // block))) if len(t) else np.zeros(0, np.int64)
     index.entry_start = np.append(start, len(t))
-    index.entry_block = (e[start] // block).astype(np.int32)
-    # a little more than the largest weight, so that rounding never hides a block
-    index.entry_max = (np.maximum.reduceat(w, start) * 1.000001).astype(np.float32) * np.float32(1.000001) if len(start) else np.zeros(0, np.float32)
+    index.entry_block = e[start] // block
+    index.entry_max = np.maximum.reduceat(w, start) * (1 + 1e-9) if len(start) else np.zeros(0)
     index.first_entry = np.searchsorted(t[start], np.arange(len(weight) + 1))
-    index.post_place, index.post_weight = (e % block).astype(np.int32), w
+    index.post_place, index.post_weight = e % block, w
     x, _, _ = index.votes(rows, terms, counts, len(full), k, skip=place)
     y = np.asarray(labels)[full].astype(float)
     size = np.where(y == 1, 1.0, odds)
@@ -269,9 +291,8 @@ def _score(batches: Iterator[pa.RecordBatch], vocabulary, index, k: int) -> Iter
     known, made = vocabulary.value, index.value
     for batch in batches:
         for lo, hi, data, offsets in slices(batch.column(1)):
-            rows, terms = term_rows(data, offsets)
-            hit, at = _known(terms, known)
-            scores, r, e = made.score(*_counted(rows[hit], at), hi - lo, k)
+            _, *vectors = text_terms(data, offsets, known)
+            scores, r, e = made.score(*vectors, hi - lo, k)
             ends = pa.array(np.searchsorted(r, np.arange(hi - lo + 1)).astype(np.int32))
             near = pa.ListArray.from_arrays(ends, pa.array(made.ids[e], pa.int64())).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(scores), near], schema=_SCORES)
