@@ -6,10 +6,11 @@ document frequency, counted over all documents, times ``FLOOR`` plus how far the
 differ by it (log odds), so telling terms count more and no term counts nothing. Terms that no example
 has cannot meet one and are no part of the space.
 
-The examples' postings are cut into blocks, each term's largest weight in a block beside them. A batch
-of texts bounds every block at once, scores its two best blocks exactly, and then only those blocks
-whose bound reaches a text's k-th neighbour, so the neighbours are exact. Votes are weighted by
-squared similarity and class size and calibrated by a logistic fit on leave-one-out votes.
+The examples lie in blocks. Terms that few of them have add up exactly from postings; for the common
+ones, whose lists are long, each block has every term's largest weight. So a batch of texts bounds
+every block at once, scores its two best blocks exactly, and then only those blocks whose bound
+reaches a text's k-th neighbour, so the neighbours are exact. Votes are weighted by squared similarity
+and class size and calibrated by a logistic fit on leave-one-out votes.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +33,10 @@ from sentrylake.session import materialise
 HEAD = 5
 #: What a term weighs, times its inverse document frequency, that both labels have alike.
 FLOOR = 0.02
-#: Expanded index entries that a worker holds at once.
-_ENTRIES = 500_000
+#: Postings that a worker expands at once.
+_POSTINGS = 1_000_000
 #: Texts that a worker scores at once, at most.
-_TEXTS = 512
+_TEXTS = 256
 #: A term of more than one example in so many is a dense column.
 _COMMON = 16
 
@@ -77,7 +79,7 @@ def text_terms(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray | N
     return terms, *_pairs(row[some], place[some], count[some], max(len(terms), 1))
 
 
-_EXAMPLES = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+_EXAMPLES = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
 
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +88,7 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for lo, hi, data, offsets in slices(batch.column(0)):
             terms, rows, place, counts = text_terms(data, offsets)
             ends = pa.array(np.searchsorted(rows, np.arange(hi - lo + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(v)).cast(pa.list_(pa.int64())) for v in (terms[place].view(np.int64), counts)]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v)).cast(f.type) for v, f in zip((terms[place].view(np.int64), counts.astype(np.int32)), list(_EXAMPLES)[2:])]
             yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), *lists], schema=_EXAMPLES)
 
 
@@ -117,9 +119,8 @@ class Index:
     """Unit vectors of examples in blocks.
 
     A term that many examples have is a dense column of each block (``dense``: blocks x common terms x
-    examples, ``dense_max``: its largest weight in each block). Other terms have postings, by term, then
-    block, then example: ``entry_*`` has a row per term and block that meet, with the block, the term's
-    largest weight in it and where its postings start; ``first_entry`` says where a term's entries start.
+    examples) with its largest weight there (``dense_max``). Other terms have postings, by term, then
+    example; ``first_post`` says where a term's postings start.
     """
 
     weight: np.ndarray
@@ -131,10 +132,7 @@ class Index:
     common: np.ndarray | None = None
     dense: np.ndarray | None = None
     dense_max: np.ndarray | None = None
-    first_entry: np.ndarray | None = None
-    entry_block: np.ndarray | None = None
-    entry_max: np.ndarray | None = None
-    entry_start: np.ndarray | None = None
+    first_post: np.ndarray | None = None
     post_place: np.ndarray | None = None
     post_weight: np.ndarray | None = None
     fit: tuple[float, float] = (1.0, 0.0)
@@ -152,12 +150,12 @@ class Index:
         that is left out (-1: none). Triples are in order of row.
         """
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        cost = np.concatenate([[0], np.cumsum(self.first_entry[terms + 1] - self.first_entry[terms])])
+        cost = np.concatenate([[0], np.cumsum(self.first_post[terms + 1] - self.first_post[terms])])
         first = np.searchsorted(rows, np.arange(n + 1))
         lo = 0
         while lo < n and len(self.ids):
             # as many texts as fit, one at least
-            hi = min(max(lo + 1, int(np.searchsorted(cost[first], cost[first[lo]] + _ENTRIES, "right")) - 1), lo + _TEXTS)
+            hi = min(max(lo + 1, int(np.searchsorted(cost[first], cost[first[lo]] + _POSTINGS, "right")) - 1), lo + _TEXTS)
             some = slice(first[lo], first[hi])
             found = self._chunk(rows[some] - lo, terms[some], q[some], hi - lo, k, None if skip is None else skip[lo:hi])
             out.append((found[0] + lo, found[1], found[2]))
@@ -165,49 +163,36 @@ class Index:
         return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
 
     def _chunk(self, rows, terms, q, n, k, skip):
-        blocks = len(self.dense)
+        blocks, width = len(self.dense), len(self.dense) * self.block
         much = self.common[terms] >= 0
         dense = np.zeros((n, self.dense.shape[1]))
         dense[rows[much], self.common[terms[much]]] = q[much]
         rows, terms, q = rows[~much], terms[~much], q[~much]
-        lengths = self.first_entry[terms + 1] - self.first_entry[terms]
-        entry = _runs(self.first_entry[terms], lengths)
-        cell = np.repeat(rows, lengths) * blocks + self.entry_block[entry]
-        weight = np.repeat(q, lengths)
-        bound = np.bincount(cell, weight * self.entry_max[entry], minlength=n * blocks).reshape(n, blocks) + dense @ self.dense_max
+        lengths = self.first_post[terms + 1] - self.first_post[terms]
+        at = _runs(self.first_post[terms], lengths)
+        # what the other terms add is exact for every example; the common ones are bounded block by block
+        s = np.bincount(np.repeat(rows * width, lengths) + self.post_place[at], np.repeat(q, lengths) * self.post_weight[at], minlength=n * width).astype(np.float64, copy=False).reshape(n, blocks, self.block)
+        if skip is not None:
+            left_out = np.flatnonzero(skip >= 0)
+            s[left_out, skip[left_out] // self.block, skip[left_out] % self.block] = -np.inf
+        bound = np.maximum(s.max(2), 0) + dense @ self.dense_max
         first = np.zeros((n, blocks), bool)
-        best = np.argsort(-bound, axis=1, kind="stable")[:, :2]
-        np.put_along_axis(first, best, np.take_along_axis(bound, best, 1) > 0, 1)
-        least = np.zeros(n)
-        r, e, s = self._top(*self._scored(first, dense, cell, entry, weight, least, skip), k)
+        best = np.argpartition(-bound, 1, axis=1)[:, :2] if blocks > 2 else np.broadcast_to(np.arange(blocks), (n, blocks))
+        np.put_along_axis(first, best, True, 1)
+        self._add_common(s, dense, first)
+        tried = np.take_along_axis(s, best[:, :, None], 1).reshape(n, -1)
         # the k-th best so far; blocks that cannot reach it hold none of the k nearest
-        count = np.bincount(r, minlength=n)
-        least[count == k] = s[np.cumsum(count)[count == k] - 1]
+        least = np.maximum(np.partition(tried, -k, axis=1)[:, -k], 0) if tried.shape[1] >= k else np.zeros(n)
         rest = (bound > 0) & (bound >= least[:, None]) & ~first
-        r2, e2, s2 = self._scored(rest, dense, cell, entry, weight, least, skip)
-        return self._top(np.concatenate([r, r2]), np.concatenate([e, e2]), np.concatenate([s, s2]), k)
-
-    def _scored(self, mask, dense, cell, entry, weight, least, skip):
-        """(row, example, similarity) of the examples in the chosen (row, block) cells that reach ``least`` of their row."""
-        pairs = np.flatnonzero(mask.ravel())
-        number = np.cumsum(mask.ravel()) - 1
-        on = mask.ravel()[cell]
-        entry, cell, weight = entry[on], cell[on], weight[on]
-        lengths = self.entry_start[entry + 1] - self.entry_start[entry]
-        at = _runs(self.entry_start[entry], lengths)
-        place = np.repeat(number[cell] * self.block, lengths) + self.post_place[at]
-        s = np.bincount(place, np.repeat(weight, lengths) * self.post_weight[at], minlength=len(pairs) * self.block).reshape(len(pairs), self.block).astype(np.float64, copy=False)
-        row, block = np.divmod(pairs, mask.shape[1])
-        for b in range(mask.shape[1]):
-            mine = np.flatnonzero(block == b)
-            if len(mine):
-                s[mine] += dense[row[mine]] @ self.dense[b]
-        pair, example = np.nonzero((s >= least[row][:, None]) & (s > 0))
-        s, row, example = s[pair, example], row[pair], block[pair] * self.block + example
-        if skip is not None:
-            other = example != skip[row]
-            return row[other], example[other], s[other]
-        return row, example, s
+        self._add_common(s, dense, rest)
+        row, block, place = np.nonzero((s >= least[:, None, None]) & (s > 0) & (first | rest)[:, :, None])
+        return self._top(row, block * self.block + place, s[row, block, place], k)
+
+    def _add_common(self, s, dense, mask):
+        """What the common terms add to the examples of the chosen (row, block) cells."""
+        for b in np.flatnonzero(mask.any(0)):
+            mine = np.flatnonzero(mask[:, b])
+            s[mine, b] += dense[mine] @ self.dense[b]
 
     @staticmethod
     def _top(r, e, s, k):
@@ -232,29 +217,48 @@ class Index:
         return np.where(np.bincount(rows, minlength=n) > 0, p, self.empty), r, e
 
 
-def build_index(ids: np.ndarray, labels: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], weight: np.ndarray, odds: float, k: int, block: int = 64) -> Index:
-    """odds: label-0 rows that a label-0 example stands for, against those of a label-1 example."""
-    sizes = np.array([len(t) for t, _ in vectors], np.int64)
-    void = np.flatnonzero(sizes == 0)
-    hits = float(sum(labels[i] for i in void))
+def _clusters(x: np.ndarray, most: int = 16, rounds: int = 8) -> np.ndarray:
+    """The cluster of each row, by k-means over directions; centres start as rows far from each other."""
+    x = x / np.maximum(np.sqrt((x * x).sum(1)), 1e-9)[:, None]
+    if not x.size:
+        return np.zeros(len(x), np.int64)
+    centres, near = x[:1], x @ x[0]
+    for _ in range(most - 1):
+        far = int(np.argmin(near))
+        centres, near = np.vstack([centres, x[far]]), np.maximum(near, x @ x[far])
+    for _ in range(rounds):
+        own = np.argmax(x @ centres.T, axis=1)
+        centres = np.stack([x[own == c].sum(0) if (own == c).any() else centres[c] for c in range(most)])
+        centres = centres / np.maximum(np.sqrt((centres * centres).sum(1)), 1e-9)[:, None]
+    return np.argmax(x @ centres.T, axis=1)
+
+
+def build_index(ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, weight: np.ndarray, odds: float, k: int, block: int = 64) -> Index:
+    """The index of examples given as (row, term, count) triples in order of row, then term.
+
+    odds: label-0 rows that a label-0 example stands for, against those of a label-1 example.
+    """
+    sizes = np.bincount(rows, minlength=len(ids))
+    void, full = np.flatnonzero(sizes == 0), np.flatnonzero(sizes > 0)
+    hits = float(labels[void].sum())
     empty = (hits + 0.5) / (hits + (len(void) - hits) * odds + 1)
-    full = np.flatnonzero(sizes > 0)
-    rows = np.repeat(np.arange(len(full)), sizes[full])
-    terms = np.concatenate([vectors[i][0] for i in full]).astype(np.int64) if len(full) else np.zeros(0, np.int64)
-    counts = np.concatenate([vectors[i][1] for i in full]).astype(np.float64) if len(full) else np.zeros(0)
-    index = Index(weight, np.asarray(ids)[full], np.asarray(labels)[full], block, odds, float(empty))
+    rows = np.searchsorted(full, rows)
+    index = Index(weight, ids[full], labels[full], block, odds, float(empty))
     unit = index.vectors(rows, terms, counts, len(full))
-    # examples with the same heaviest term lie together, so blocks have tight bounds
+    much = np.flatnonzero(np.bincount(terms, minlength=len(weight)) * _COMMON > len(full))
+    index.common = np.full(len(weight), -1)
+    index.common[much] = np.arange(len(much))
+    # examples alike in their common words (so, in language), then in their heaviest term, lie together: blocks have tight bounds
+    on = index.common[terms] >= 0
+    said = np.zeros((len(full), len(much)), np.float32)
+    said[rows[on], index.common[terms[on]]] = 1
     heavy = np.lexsort((terms, -unit, rows))
     lead = terms[heavy[np.searchsorted(rows, np.arange(len(full)))]]
-    order = np.lexsort((index.ids, lead))
+    order = np.lexsort((index.ids, lead, _clusters(said)))
     place = np.empty(len(full), np.int64)
     place[order] = np.arange(len(full))
     index.ids, index.labels = index.ids[order], index.labels[order]
     blocks = -(-len(full) // block)
-    much = np.flatnonzero(np.bincount(terms, minlength=len(weight)) * _COMMON > len(full))
-    index.common = np.full(len(weight), -1)
-    index.common[much] = np.arange(len(much))
     index.dense = np.zeros((blocks, len(much), block))
     at, column = place[rows], index.common[terms]
     on = column >= 0
@@ -262,15 +266,10 @@ def build_index(ids: np.ndarray, labels: np.ndarray, vectors: list[tuple[np.ndar
     # a little more than the largest weight, so that rounding never hides a block
     index.dense_max = index.dense.max(2, initial=0).T * (1 + 1e-9)
     by = np.flatnonzero(~on)[np.lexsort((at[~on], terms[~on]))]
-    t, e, w = terms[by], at[by], unit[by]
-    start = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (e[1:] // block != e[:-1] // block))) if len(t) else np.zeros(0, np.int64)
-    index.entry_start = np.append(start, len(t))
-    index.entry_block = e[start] // block
-    index.entry_max = np.maximum.reduceat(w, start) * (1 + 1e-9) if len(start) else np.zeros(0)
-    index.first_entry = np.searchsorted(t[start], np.arange(len(weight) + 1))
-    index.post_place, index.post_weight = e % block, w
+    index.first_post = np.searchsorted(terms[by], np.arange(len(weight) + 1))
+    index.post_place, index.post_weight = at[by].astype(np.int32), unit[by]
     x, _, _ = index.votes(rows, terms, counts, len(full), k, skip=place)
-    y = np.asarray(labels)[full].astype(float)
+    y = labels[full].astype(float)
     size = np.where(y == 1, 1.0, odds)
     a, b = 1.0, 0.0
     for _ in range(30 if len(x) and 0 < y.sum() < len(y) else 0):  # Newton steps of a logistic fit
@@ -328,14 +327,20 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     training, totals = training_sample(texts, labels, most_rows)
-    rows = training.mapInArrow(_example_terms, "doc_id bigint, label int, terms array<bigint>, counts array<bigint>").toArrow().sort_by("doc_id")
-    ids, marks = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy()
-    lists = [[np.asarray(x.values, np.int64) for x in rows.column(c)] for c in ("terms", "counts")]
-    every = np.concatenate(lists[0]).view(U64) if lists[0] else np.zeros(0, U64)
-    owner = np.repeat(np.arange(len(ids)), [len(x) for x in lists[0]])
-    known, place = np.unique(every, return_inverse=True)
-    ends = np.cumsum([0] + [len(x) for x in lists[0]])
-    vectors = [(place[a:b], c) for a, b, c in zip(ends[:-1], ends[1:], lists[1])]
+    made = training.mapInArrow(_example_terms, "doc_id bigint, label int, terms array<bigint>, counts array<int>").toArrow()
+    order = np.argsort(made.column("doc_id").to_numpy())
+    ids, marks = made.column("doc_id").to_numpy()[order], made.column("label").to_numpy()[order].astype(np.int64)
+    sizes = pc.list_value_length(made.column("terms")).to_numpy().astype(np.int64)
+    at = _runs((np.cumsum(sizes) - sizes)[order], sizes[order])
+    owner = np.repeat(np.arange(len(ids)), sizes[order])
+    terms = made.column("terms").combine_chunks().flatten().to_numpy(zero_copy_only=False)[at].view(U64)
+    counts = made.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False)[at]
+    del made, at
+    known = np.unique(terms)
+    place = np.searchsorted(known, terms)
+    by = np.argsort(owner * max(len(known), 1) + place, kind="stable")
+    place, counts = place[by], counts[by]
+    del terms, by
     n1 = int(marks.sum())
     n0 = len(marks) - n1
     has = np.bincount(place, minlength=len(known))
@@ -348,7 +353,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     told = np.abs(np.log(((yes + 1) / (n1 + 2)) / ((has - yes + 1) / (n0 + 2)))) if n0 and n1 else np.zeros(len(known))
     weight = (np.log((1 + total) / (1 + frequency)) + 1) * (FLOOR + told)
     odds = (totals.get(0, 0) / n0) / max(totals.get(1, 0) / n1, 1e-9) if n0 and n1 else 1.0
-    index = spark.sparkContext.broadcast(build_index(ids, marks, vectors, weight, odds, k))
+    index = spark.sparkContext.broadcast(build_index(ids, marks, owner, place, counts, weight, odds, k))
     scored = texts.mapInArrow(partial(_score, vocabulary=vocabulary, index=index, k=k), "doc_id bigint, score double, evidence array<bigint>")
     return scored.select(
         "doc_id",

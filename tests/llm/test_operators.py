@@ -401,14 +401,14 @@ def test_nearest_is_exact(block, pool):
     vectors = [(t, c[: len(t)]) for t, c in vectors]
     vectors += vectors[:30] + [(np.zeros(0, np.int64), np.zeros(0, np.int64))]  # ties, and an example without terms
     weight = rng.uniform(0.01, 3, pool) ** 2
-    index = toxicity.build_index(np.arange(len(vectors)), np.arange(len(vectors)) % 2, vectors, weight, 1.0, 10, block=block)
+    rows, terms, counts = sparse(vectors)
+    index = toxicity.build_index(np.arange(len(vectors)), np.arange(len(vectors)) % 2, rows, terms, counts, weight, 1.0, 10, block=block)
     assert len(index.ids) == len(vectors) - 1
     dense = np.zeros((len(index.ids), pool))
     for e, i in enumerate(index.ids):
         t, c = vectors[i]
         dense[e, t] = (1 + np.log(c)) * weight[t]
     dense /= np.sqrt((dense**2).sum(1))[:, None]
-    rows, terms, counts = sparse(vectors)
     n = len(vectors)
     place = np.array([int(np.flatnonzero(index.ids == i)[0]) if i in index.ids else -1 for i in range(n)])
     for skip in (None, place):
