@@ -35,6 +35,13 @@ _BUGFIX_START = r"(?iu)^\s*[-*]\s+(?:Bugfix|Bug|Fix|Fixed)\b"
 _DOCUMENTATION = r"(?iu)\bdoc(?:umentation|s)?\b"
 _FEATURE_START = r"(?iu)^\s*[-*]\s+(?:Added|New|Support|Implement)"
 _ENTRY = r"^\s*[-*]\s+(.+)$"
+#: Fixed patterns: references in an entry.
+_CVE, _GHSA, _ISSUE = r"CVE-\d{4}-\d{4,}", r"GHSA-[a-z0-9]{4}-[a-z0-9]{4}-[a-z0-9]{4}", r"#(\d+)"
+_COMMIT = r"(?:^|\s)([0-9a-f]{7,40})(?:\s|$)"
+#: Fixed patterns: a heading's underline, a Markdown heading, the version and the date in a heading.
+UNDERLINE, MARKDOWN_HEADING = r"^[-=~^]{3,}$", r"^#{2,3}\s+(.+)$"
+_VERSION = r"(\d+\.\d+(?:\.\d+)?(?:(?:a|b|rc|\.dev|\.post)\d+)?)"
+_DATE = r"\((\d{4}-\d{2}-\d{2})\)"
 
 
 def entry_text(line: Column) -> Column:
@@ -55,9 +62,19 @@ def entry_category(line: Column, text: Column) -> Column:
 
 def references(text: Column) -> Column:
     """CVE and GHSA ids, #numbers and commit-like words, distinct and in order."""
-    issues = F.transform(F.regexp_extract_all(text, F.lit(r"#(\d+)"), 1), lambda n: F.concat(F.lit("#"), n))
-    commits = F.filter(F.regexp_extract_all(text, F.lit(r"(?:^|\s)([0-9a-f]{7,40})(?:\s|$)"), 1), lambda c: ~c.rlike("^[0-9]+$"))
-    return sorted_set(F.concat(F.regexp_extract_all(text, F.lit(r"CVE-\d{4}-\d{4,}"), 0), F.regexp_extract_all(text, F.lit(r"GHSA-[a-z0-9]{4}-[a-z0-9]{4}-[a-z0-9]{4}"), 0), issues, commits))
+    issues = F.transform(F.regexp_extract_all(text, F.lit(_ISSUE), 1), lambda n: F.concat(F.lit("#"), n))
+    commits = F.filter(F.regexp_extract_all(text, F.lit(_COMMIT), 1), lambda c: ~c.rlike("^[0-9]+$"))
+    return sorted_set(F.concat(F.regexp_extract_all(text, F.lit(_CVE), 0), F.regexp_extract_all(text, F.lit(_GHSA), 0), issues, commits))
+
+
+def heading_version(heading: Column) -> Column:
+    """The first version-like number of a heading, null if there is none."""
+    return F.nullif(F.regexp_extract(heading, _VERSION, 1), F.lit(""))
+
+
+def heading_date(heading: Column) -> Column:
+    """The first (YYYY-MM-DD) of a heading, null if there is none."""
+    return F.nullif(F.regexp_extract(heading, _DATE, 1), F.lit(""))
 
 
 # --- diffs -------------------------------------------------------------------------------------

@@ -28,21 +28,35 @@ def first_by(value: str, order: str) -> Column:
     return F.min_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
 
 
+def _union(lists: str) -> Column:
+    """The distinct values of a group's lists; equal lists are combined before the shuffle."""
+    return sorted_set(F.flatten(F.collect_set(lists)))
+
+
 def merge_clusters(records: DataFrame, component: str = "component", ordinal: str = "ordinal") -> DataFrame:
-    """One row per cluster: identifiers, first summary and severity, longest details, date span, members.
+    """One row per cluster of feed records.
 
-    Sets are unions; the first and the longest are picked by source order; conflicts are clusters with
-    two canonical GHSA identifiers or more.
+    Sets are unions; summary, severity, cvss and the package are the first in source order, details the
+    longest (the first of equal length), dates the widest span, ranges distinct in source order, sources
+    the first of each type and id. No text but the one picked is gathered. ``ghsas`` are the
+    members' own canonical GHSA identifiers.
     """
-    longest = F.max_by("details", F.struct(F.length("details"), -F.col(ordinal)))
+    longest = F.min_by("details", F.when(F.col("details").isNotNull(), F.struct(-F.length("details"), ordinal)))
+    in_order = lambda c: F.transform(F.array_sort(F.collect_set(F.struct(ordinal, c))), lambda x: x[c])
     merged = records.groupBy(component).agg(
-        sorted_set(F.flatten(F.collect_set("ids"))).alias("ids"),
-        first_by("summary", ordinal).alias("summary"),
-        first_by("severity", ordinal).alias("severity"),
-        longest.alias("details"),
-        F.min("published").alias("published"),
-        F.max("modified").alias("modified"),
-        F.count("*").alias("members"),
+        F.count("*").alias("members"), _union("ids").alias("ids"), first_by("own_id", ordinal).alias("own_id"),
+        first_by("summary", ordinal).alias("summary"), first_by("severity", ordinal).alias("severity"), first_by("cvss", ordinal).alias("cvss"),
+        longest.alias("details"), F.min("published").alias("published"), F.max("modified").alias("modified"),
+        _union("cwe").alias("cwe"), _union("references").alias("references"), _union("commits").alias("commits"),
+        _union("affected").alias("affected"), _union("fixed").alias("fixed"),
+        F.array_distinct(F.flatten(in_order("ranges"))).alias("ranges"), in_order("source").alias("sources"),
+        first_by("package_name", ordinal).alias("package_name"), first_by("ecosystem", ordinal).alias("ecosystem"),
         sorted_set(F.collect_set(F.when(F.col("canonical").startswith("GHSA-"), F.col("canonical")))).alias("ghsas"),
-    )
-    return merged.withColumn("canonical", canonical_id(F.col("ids"))).withColumn("conflict", F.size("ghsas") > 1)
+    )
+    return merged.withColumn("canonical", canonical_id(F.col("ids")))
+
+
+def conflicts(clusters: DataFrame) -> DataFrame:
+    """(canonical_id, conflicting_ids, reason) of clusters with two canonical GHSA identifiers or more."""
+    reason = F.lit("multiple distinct GHSA canonical IDs merged into single cluster")
+    return clusters.where(F.size("ghsas") > 1).select(F.col("canonical").alias("canonical_id"), F.col("ghsas").alias("conflicting_ids"), reason.alias("reason"))

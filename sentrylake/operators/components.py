@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from sentrylake.operators.ranking import join_hot
 from sentrylake.session import materialise
 
 
@@ -19,9 +20,11 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
     """(node, component) for every node that an edge touches; component is the least node reachable.
 
     Alternates the two star contractions: first every node hands its larger neighbours to its least
-    neighbour, then every node hands its smaller ones to it. Each round is two aggregations and two
-    joins on the node, so a hub costs one row per edge and nothing is gathered in one task. The
-    edge set is written to the shared folder each round; it shrinks to a star per component.
+    neighbour, then every node hands its smaller ones to it. Each round is two aggregations, combined
+    before the shuffle, and two joins on the node; nodes of more than a thousandth of the edges, so at
+    most a thousand, are broadcast (``join_hot``) and their edges stay where they are, so no hub is
+    gathered in one task. The edge set is written to the shared folder each round; it shrinks to a star
+    per component.
     Rows with a null end and self-loops add nodes but no links. Nodes may be numbers or strings.
     """
     both = materialise(edges.select(F.col(left).alias("a"), F.col(right).alias("b")), "edges")
@@ -39,14 +42,13 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
         sym = work.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             work.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            sym.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        ).distinct()
+        degree = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("c"))
+        met = join_hot(sym.where("v > u"), degree, "u", "c", 2 * before[0])
+        large = met.where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         # small star: u and its smaller neighbours are handed to the least of them
-        down = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        down = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("c"))
         small = (
-            large.join(down, "hi")
+            join_hot(large, down, "hi", "c", before[0])
             .select(F.explode(F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
             .select("e.*")
             .where("hi <> lo")
@@ -58,5 +60,6 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
         before = after
     else:
         raise RuntimeError("connected components did not settle")
+    # an edge set that has settled is stars: each node hangs on one centre
     labels = work.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component"))
     return nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from sentrylake.functions import pep440, text
 from sentrylake.functions.ident import canonical_id, commit_in_url, first_with, stable_record_id
-from sentrylake.operators.advisories import alias_components
-from sentrylake.operators.ranges import resolve_events
+from sentrylake.operators.advisories import alias_components, merge_clusters
+from sentrylake.operators.ranges import list_id, resolve_events, specifier_hits
 from sentrylake.operators.releases import preferred_tags
 
 ARTIFACT = "STRUCT<filename:STRING,url:STRING,size:BIGINT,digests:STRUCT<sha256:STRING>,packagetype:STRING,python_version:STRING,requires_python:STRING,upload_time_iso_8601:STRING,yanked:BOOLEAN,yanked_reason:STRING>"
@@ -28,6 +28,8 @@ VULN = (
 COMMIT = "sha STRING, html_url STRING, parents ARRAY<STRUCT<sha:STRING>>, files ARRAY<STRUCT<filename:STRING,status:STRING,patch:STRING>>"
 
 _NONE = "CAST(array() AS array<string>)"
+#: Releases of a project, artifacts of a release, characters of a text and of a release key, at most.
+MOST_RELEASES, MOST_ARTIFACTS, MOST_TEXT, MOST_KEY = 10_000, 1_000, 4_096, 256
 
 
 def iso_z(stamp: Column) -> Column:
@@ -55,14 +57,72 @@ def by_version(values: Column, equal_texts: bool = False) -> Column:
     return pep440.let(valid, lambda a: F.filter(a, lambda p, i: (i == 0) | (F.get(a, i - 1)["k"] != p["k"])))["t"]
 
 
+def _releases(project: DataFrame) -> DataFrame:
+    """(source, raw_version, files, v) of every release key of landed project bodies; v is null where it is no version."""
+    parsed = project.select(F.from_json("body", PROJECT).alias("p"), provenance("pypi", F.col("url")).alias("source"))
+    held = F.when(F.size("p.releases") > MOST_RELEASES, F.raise_error(F.lit(f"project body exceeds {MOST_RELEASES} releases"))).otherwise(F.col("p.releases"))
+    return parsed.select("source", F.explode(held).alias("raw_version", "files")).withColumn("v", pep440.parse(F.col("raw_version")))
+
+
+def unparsable_versions(project: DataFrame) -> DataFrame:
+    """(raw_version): the release keys that are no PEP 440 versions."""
+    return _releases(project).where("v IS NULL").select("raw_version").distinct()
+
+
+def release_problem(raw_version: Column, files: Column) -> Column:
+    """What makes a release unusable, null if nothing does: bounds, required fields, dates without a zone."""
+
+    def wrong(a: Column) -> Column:
+        name, uploaded = text.blank_to_null(a["filename"]), text.blank_to_null(a["upload_time_iso_8601"])
+        texts = [a[c] for c in ("filename", "url", "packagetype", "python_version", "requires_python", "yanked_reason")]
+        long = F.exists(F.array(*texts), lambda t: F.char_length(text.py_strip(t)) > MOST_TEXT)
+        return (
+            F.when(name.isNull(), "artifact without a filename")
+            .when(long, f"artifact text exceeds {MOST_TEXT} characters")
+            .when(a["yanked"].isNull(), "artifact yanked flag is not a boolean")
+            .when(a["size"] < 0, "artifact size is negative")
+            .when(uploaded.isNotNull() & iso_z(uploaded).isNull(), "artifact upload time is no datetime with a zone")
+        )
+
+    found = F.get(F.array_compact(F.transform(files, wrong)), F.lit(0))
+    told = (
+        F.when((raw_version == "") | (F.char_length(raw_version) > MOST_KEY), "release key is empty or too long")
+        .when(F.size(files) > MOST_ARTIFACTS, f"release exceeds {MOST_ARTIFACTS} artifacts")
+        .otherwise(found)
+    )
+    return F.when(told.isNotNull(), F.concat(F.lit("release "), F.left(raw_version, F.lit(MOST_KEY)), F.lit(": "), told))
+
+
+def require(rows: DataFrame, problem: Column) -> DataFrame:
+    """The rows; an error with the message of the first that has a problem."""
+    return rows.where(F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(F.lit(True)))
+
+
+def equal_versions(versions: DataFrame) -> DataFrame:
+    """(key, texts) of the versions that two raw keys or more share under PEP 440."""
+    rows = versions.groupBy("version.key").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("raw_version")).alias("texts"))
+    return rows.where("n > 1").select("key", "texts")
+
+
+def inventory_statistics(versions: DataFrame, unparsable: DataFrame) -> DataFrame:
+    """One row: versions, pre-releases, yanked releases, artifacts, and release keys that are no versions."""
+    one = versions.agg(
+        F.count("*").alias("total_versions"), F.count_if("is_prerelease").alias("total_prereleases"), F.count_if("is_yanked").alias("total_yanked_versions"),
+        F.coalesce(F.sum(F.size("artifacts")), F.lit(0)).cast("bigint").alias("total_artifacts"),
+    )
+    return one.crossJoin(unparsable.agg(F.count("*").alias("total_unparsable_versions")))
+
+
 def version_records(project: DataFrame, tags: DataFrame, name: str, ecosystem: str) -> DataFrame:
-    """One row per release of a landed project body, with its preferred tag. Unparsable keys are left out.
+    """One row per release of landed project bodies, with its preferred tag.
 
-    project: (body, url, retrieved_at, body_sha256); tags: (body) with the tag list.
+    project: (body, url, retrieved_at, body_sha256); tags: (body) with tag lists. Keys that are no
+    versions are in ``unparsable_versions``; keys that are equal are in ``equal_versions``, which the
+    engine refuses. A release over the bounds or with a broken artifact is an error. A project without
+    releases gives an empty table; a release without artifacts is a row without a date.
     """
-    parsed = project.select(F.from_json("body", PROJECT).alias("p"), provenance("pypi", F.col("url")).alias("source"))
-    rows = parsed.select("source", F.explode("p.releases").alias("raw_version", "files"))
-    rows = rows.withColumn("v", pep440.parse(F.col("raw_version"))).where("v IS NOT NULL")
+    rows = _releases(project).where("v IS NOT NULL")
+    rows = require(rows, release_problem(F.col("raw_version"), F.col("files")))
     clean = text.blank_to_null
     artifacts = F.array_sort(
         F.transform(
@@ -101,9 +161,11 @@ def _boundary(value: Column) -> Column:
 def advisory_records(feed: DataFrame, name: str, ecosystem: str) -> DataFrame:
     """One row per feed entry: the typed advisory with its ordinal, before alias merging.
 
-    feed: (body, retrieved_at, body_sha256) with {"vulns": [...]} bodies.
+    feed: (body, retrieved_at, body_sha256) with {"vulns": [...]} bodies, of any number. The ordinal is a
+    text that sorts in source order: when the body was retrieved, its digest, the place in it.
     """
-    rows = feed.select(F.posexplode(F.from_json("body", f"vulns ARRAY<{VULN}>")["vulns"]).alias("ordinal", "o"), "retrieved_at", "body_sha256")
+    rows = feed.select(F.posexplode(F.from_json("body", f"vulns ARRAY<{VULN}>")["vulns"]).alias("place", "o"), "retrieved_at", "body_sha256")
+    rows = rows.withColumn("ordinal", F.concat_ws(" ", iso_z(F.col("retrieved_at")), "body_sha256", F.lpad(F.col("place").cast("string"), 9, "0")))
     ids = text.sorted_set(F.transform(F.concat(F.array("o.id"), F.coalesce("o.aliases", F.expr(_NONE))), text.blank_to_null))
     mine = F.filter("o.affected", lambda a: a["package"]["name"].isNull() | (F.lower(text.py_strip(a["package"]["name"])) == name.lower()))
     rows = rows.withColumn("ids", ids).withColumn("mine", mine)
@@ -142,31 +204,30 @@ def advisory_records(feed: DataFrame, name: str, ecosystem: str) -> DataFrame:
     )
 
 
-def merged_advisories(records: DataFrame) -> DataFrame:
-    """Alias clusters merged: unions, first summary and severity, longest details, ranges in source order."""
+def clustered_advisories(records: DataFrame) -> DataFrame:
+    """Alias clusters of feed records, merged; see ``advisories.merge_clusters``."""
     parts = alias_components(records, "ordinal", "ids")
-    every = records.join(parts, F.col("ordinal") == F.col("record")).drop("record")
-    wide = every.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("ordinal", *[c for c in records.columns if c != "ordinal"]))).alias("m"))
-    first = lambda c: F.get(F.array_compact(F.col(f"m.{c}")), F.lit(0))
-    union = lambda c: text.sorted_set(F.flatten(f"m.{c}"))
-    longest = F.aggregate("m.details", F.lit(None).cast("string"), lambda a, d: F.when(d.isNotNull() & (a.isNull() | (F.length(d) > F.length(a))), d).otherwise(a))
-    sources = F.aggregate("m.source", F.expr("slice(m.source, 1, 0)"), lambda a, s: F.when(F.exists(a, lambda x: (x["source_type"] == s["source_type"]) & (x["source_id"] == s["source_id"])), a).otherwise(F.array_append(a, s)))
-    n = F.size("m")
+    return merge_clusters(records.join(parts, F.col("ordinal") == F.col("record")).drop("record"))
+
+
+def merged_advisories(clusters: DataFrame) -> DataFrame:
+    """Advisory records of merged clusters."""
+    sources = F.aggregate("sources", F.expr("slice(sources, 1, 0)"), lambda a, s: F.when(F.exists(a, lambda x: (x["source_type"] == s["source_type"]) & (x["source_id"] == s["source_id"])), a).otherwise(F.array_append(a, s)))
+    n = F.col("members")
     reason = F.when(n == 1, F.lit("Authoritative OSV vulnerability metadata")).otherwise(F.concat(F.lit("Merged "), n.cast("string"), F.lit(" alias-linked advisory records")))
-    rows = wide.withColumn("ids", union("ids")).withColumn("canonical", canonical_id(F.col("ids")))
-    own = F.when(n == 1, F.get(F.filter("ids", lambda i: F.upper(i).rlike("^(?:OSV-|PYSEC-)") | (i == F.col("m")[0]["own_id"])), F.lit(0))).otherwise(first_with(F.col("ids"), "OSV-", "PYSEC-"))
+    own = F.when(n == 1, F.get(F.filter("ids", lambda i: F.upper(i).rlike("^(?:OSV-|PYSEC-)") | (i == F.col("own_id"))), F.lit(0))).otherwise(first_with(F.col("ids"), "OSV-", "PYSEC-"))
     identifiers = F.struct(F.filter("ids", lambda i: i != F.col("canonical")).alias("aliases"), F.col("canonical").alias("canonical"), first_with(F.col("ids"), "CVE-").alias("cve"), first_with(F.col("ids"), "GHSA-").alias("ghsa"), own.alias("osv"))
     order = F.array_sort(sources, lambda a, b: F.when(F.struct(a["source_type"], a["source_id"]) < F.struct(b["source_type"], b["source_id"]), -1).otherwise(1))
-    return rows.select(
-        F.array_distinct(F.flatten("m.ranges")).alias("affected_ranges"), by_version(F.flatten("m.affected")).alias("affected_versions"),
-        F.struct(F.array(reason).alias("rationale"), F.lit(1.0).alias("score")).alias("confidence"), first("cvss").alias("cvss"), union("cwe").alias("cwe"),
-        longest.alias("detailed_impact"), by_version(F.flatten("m.fixed")).alias("fixed_versions"), identifiers.alias("identifiers"),
-        F.array_max("m.modified").alias("modified_at"),
-        F.struct(F.col("m")[0]["ecosystem"].alias("ecosystem"), F.col("m")[0]["package_name"].alias("name"), F.concat(F.lit("pkg:"), F.lower(F.col("m")[0]["ecosystem"]), F.lit("/"), F.lower(F.col("m")[0]["package_name"])).alias("purl")).alias("package"),
-        union("commits").alias("patch_commits"), order.alias("provenance"), F.array_min("m.published").alias("published_at"),
-        stable_record_id("advisory", canonical_id=F.col("canonical"), package=F.col("m")[0]["package_name"], ecosystem=F.col("m")[0]["ecosystem"]).alias("record_id"),
-        F.lit("advisory").alias("record_type"), union("references").alias("references"), F.lit("1.0").alias("schema_version"), first("severity").alias("severity"),
-        F.lit("tier_1_authoritative").alias("source_priority"), first("summary").alias("summary"), F.expr(_NONE).alias("workarounds"),
+    purl = F.concat(F.lit("pkg:"), F.lower("ecosystem"), F.lit("/"), F.lower("package_name"))
+    return clusters.select(
+        F.col("ranges").alias("affected_ranges"), by_version(F.col("affected")).alias("affected_versions"),
+        F.struct(F.array(reason).alias("rationale"), F.lit(1.0).alias("score")).alias("confidence"), "cvss", "cwe",
+        F.col("details").alias("detailed_impact"), by_version(F.col("fixed")).alias("fixed_versions"), identifiers.alias("identifiers"), F.col("modified").alias("modified_at"),
+        F.struct("ecosystem", F.col("package_name").alias("name"), purl.alias("purl")).alias("package"),
+        F.col("commits").alias("patch_commits"), order.alias("provenance"), F.col("published").alias("published_at"),
+        stable_record_id("advisory", canonical_id=F.col("canonical"), package=F.col("package_name"), ecosystem=F.col("ecosystem")).alias("record_id"),
+        F.lit("advisory").alias("record_type"), "references", F.lit("1.0").alias("schema_version"), "severity",
+        F.lit("tier_1_authoritative").alias("source_priority"), "summary", F.expr(_NONE).alias("workarounds"),
     )
 
 
@@ -177,10 +238,23 @@ def resolved_advisories(merged: DataFrame, versions: DataFrame) -> tuple[DataFra
     issues are reported: its ranges, then missing fixed versions, then overlap, then unresolvable.
     """
     spans = merged.select(F.col("identifiers.canonical").alias("canonical"), F.posexplode("affected_ranges").alias("position", "r"))
-    found = resolve_events(spans.select("r.events"), versions)
-    joined = spans.join(found, spans["r"]["events"] == found["events"], "left").select(
+    raw = F.col("r.raw")
+    spec = (F.size("r.events") == 0) & pep440.is_specifier(F.coalesce(raw, F.lit("")))
+    spans = spans.withColumn("spec", F.when(spec, raw)).withColumn("id", F.when(F.size("r.events") > 0, list_id(F.col("r.events"))))
+    by_events = spans.where("id IS NOT NULL")
+    found = resolve_events(by_events.select("r.events"), versions)
+    joined = by_events.join(found, "id", "left").select(
         "canonical", "position", "r", "error", F.coalesce(F.col("resolved.text"), F.expr(_NONE)).alias("resolved")
     )
+    # ranges without events: by specifier, or not at all
+    bare = spans.where("id IS NULL")
+    fits = specifier_hits(bare.where("spec IS NOT NULL"), versions).groupBy("spec").agg(F.transform(F.array_sort(F.collect_set(F.struct("version.key", "version.text"))), lambda x: x["text"]).alias("fits"))
+    told = (
+        F.when(F.col("spec").isNotNull(), pep440.specifier_error(F.col("spec")))
+        .when(F.coalesce(F.col("r.raw"), F.lit("")) != "", F.concat(F.lit("unsupported raw range expression: '"), "r.raw", F.lit("'")))
+        .otherwise(F.lit("version range has neither events nor a parseable raw specifier"))
+    )
+    joined = joined.unionByName(bare.join(fits, "spec", "left").select("canonical", "position", "r", told.alias("error"), F.coalesce("fits", F.expr(_NONE)).alias("resolved")))
     full = F.struct(F.col("r.events").alias("events"), F.col("r.fixed_versions").alias("fixed_versions"), F.col("r.raw").alias("raw"), F.col("resolved").alias("resolved"))
     lists = joined.groupBy("canonical").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("position", full.alias("r")))), lambda x: x["r"]).alias("new_ranges"), F.count_if(F.col("error").isNull()).alias("good")
@@ -205,27 +279,63 @@ def resolved_advisories(merged: DataFrame, versions: DataFrame) -> tuple[DataFra
     return rows.drop("new_ranges", "good", "had_versions"), issues
 
 
+def _commit_problem(repository: str) -> Column:
+    """Why a landed commit body gives no patch, null if it does."""
+    names = F.transform(F.coalesce("c.files", F.expr("slice(c.files, 1, 0)")), lambda f: text.blank_to_null(f["filename"]))
+    unsafe = F.exists(F.filter(names, lambda n: n.isNotNull() & ~n.isin(".", "..")), lambda n: n.contains("..") | n.contains("\x00") | n.startswith("/"))
+    owner = F.regexp_extract("url", r"/repos/([^/]+/[^/]+)/commits/", 1)
+    files = F.get_json_object("body", "$.files")
+    return (
+        F.when(F.col("c").isNull() | ~F.trim("body").startswith("{"), "commit body is no JSON object")
+        .when((owner != "") & (owner != repository), F.concat(F.lit("commit repository "), owner, F.lit(f" does not match {repository}")))
+        .when(F.col("sha").isNull(), "commit without a valid SHA")
+        .when(F.get("c.parents", F.lit(0))["sha"].isNotNull() & _sha(F.get("c.parents", F.lit(0))["sha"]).isNull(), "commit with an invalid parent SHA")
+        .when(files.isNotNull() & ~F.trim(files).startswith("["), "commit files are no list")
+        .when(unsafe, "commit with an unsafe file name")
+    )
+
+
+def _sha(value: Column) -> Column:
+    """A commit SHA in lower case, null if it is none."""
+    clean = F.lower(text.py_strip(value))
+    return F.when(clean.rlike("^(?:[0-9a-f]{40}|[0-9a-f]{64})$"), clean)
+
+
+def _owned_commits(commits: DataFrame, advisories: DataFrame, slug: str) -> DataFrame:
+    parsed = commits.select(F.from_json("body", COMMIT).alias("c"), "body", "url", "retrieved_at", "body_sha256")
+    # the address names the commit where the body does not
+    asked = F.regexp_extract("url", r"/commits/([0-9A-Fa-f]+)$", 1)
+    parsed = parsed.withColumn("sha", _sha(F.col("c.sha"))).withColumn("problem", _commit_problem(slug)).withColumn("sha", F.coalesce("sha", _sha(asked)))
+    owners = advisories.select(F.col("identifiers.canonical").alias("canonical"), "fixed_versions", F.explode("patch_commits").alias("sha"))
+    owners = owners.groupBy("sha").agg(F.min_by(F.struct("canonical", "fixed_versions"), "canonical").alias("a"))
+    return parsed.join(owners, "sha")
+
+
+def unresolved_patches(commits: DataFrame, advisories: DataFrame, slug: str) -> DataFrame:
+    """(commit_sha, reason, advisory_ids): landed commits that an advisory names and that give no patch."""
+    return _owned_commits(commits, advisories, slug).where("problem IS NOT NULL").select(F.col("sha").alias("commit_sha"), F.col("problem").alias("reason"), F.array("a.canonical").alias("advisory_ids"))
+
+
 def patch_records(commits: DataFrame, advisories: DataFrame, versions: DataFrame, slug: str, name: str, ecosystem: str) -> DataFrame:
     """One row per landed commit that an advisory names; the least advisory that names it gets it.
 
-    commits: (body, retrieved_at, body_sha256) with commit bodies.
+    commits: (body, url, retrieved_at, body_sha256) with commit bodies. Bodies of another repository,
+    malformed ones and unsafe file names are in ``unresolved_patches``.
     """
-    parsed = commits.select(F.from_json("body", COMMIT).alias("c"), "retrieved_at", "body_sha256")
-    owners = advisories.select(F.col("identifiers.canonical").alias("canonical"), "fixed_versions", F.explode("patch_commits").alias("sha"))
-    owners = owners.groupBy("sha").agg(F.min_by(F.struct("canonical", "fixed_versions"), "canonical").alias("a"))
     tagged = versions.where("commit_sha IS NOT NULL AND git_tag IS NOT NULL").groupBy("commit_sha").agg(F.max_by("normalized_version", "version.key").alias("tagged"))
-    rows = parsed.join(owners, F.lower(F.trim("c.sha")) == F.col("sha")).join(tagged, F.col("sha") == F.col("commit_sha"), "left").drop("commit_sha")
-    files = F.filter("c.files", lambda f: text.blank_to_null(f["filename"]).isNotNull())
+    rows = _owned_commits(commits, advisories, slug).where("problem IS NULL").join(tagged, F.col("sha") == F.col("commit_sha"), "left").drop("commit_sha")
+    files = F.filter("c.files", lambda f: text.blank_to_null(f["filename"]).isNotNull() & ~text.py_strip(f["filename"]).isin(".", ".."))
     paths = F.transform(files, lambda f: F.replace(text.py_strip(f["filename"]), F.lit("\\"), F.lit("/")))
     diffs = F.array_compact(F.transform(files, lambda f: f["patch"]))
+    page = F.when(F.col("c.html_url").contains("/commit/"), F.regexp_replace("c.html_url", "/commit/[^/]*$", "")).otherwise(F.lit(f"https://github.com/{slug}"))
     return rows.select(
         text.sorted_set(F.flatten(F.transform(diffs, text.diff_guards))).alias("added_guards"), F.array("a.canonical").alias("advisory_ids"), F.expr(_NONE).alias("behavioral_differences"),
         text.sorted_set(paths).alias("changed_files"), text.sorted_set(F.flatten(F.transform(diffs, text.diff_symbols))).alias("changed_symbols"), F.col("sha").alias("commit_sha"),
         F.struct(F.array(F.lit("official repository commit with extracted diff evidence")).alias("rationale"), F.lit(0.95).alias("score")).alias("confidence"),
         by_version(F.array_compact(F.concat("a.fixed_versions", F.array("tagged")))).alias("fixed_versions"), package(name, ecosystem).alias("package"),
-        F.lower(F.get("c.parents", F.lit(0))["sha"]).alias("parent_sha"), F.array(provenance("github_commit", F.concat(F.lit(slug + "@"), "c.sha"))).alias("provenance"),
+        _sha(F.get("c.parents", F.lit(0))["sha"]).alias("parent_sha"), F.array(provenance("github_commit", F.concat(F.lit(slug + "@"), "c.sha"))).alias("provenance"),
         stable_record_id("patch", commit_sha=F.col("sha"), package=F.lit(name), ecosystem=F.lit(ecosystem)).alias("record_id"), F.lit("patch").alias("record_type"),
-        text.sorted_set(F.filter(paths, text.is_regression_test)).alias("regression_tests"), F.regexp_replace("c.html_url", "/commit/[^/]*$", "").alias("repository_url"), F.lit("1.0").alias("schema_version"),
+        text.sorted_set(F.filter(paths, text.is_regression_test)).alias("regression_tests"), page.alias("repository_url"), F.lit("1.0").alias("schema_version"),
     )
 
 

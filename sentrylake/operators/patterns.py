@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sentrylake.functions.ident import stable_record_id
 from sentrylake.functions.text import list_section, sorted_set
-from sentrylake.operators.evidence import detection_type, usefulness
+from sentrylake.operators.evidence import detection_type, ratio, usefulness
 from sentrylake.operators.normalise import by_version
 
 _NONE = "CAST(array() AS array<string>)"
@@ -226,11 +226,10 @@ def _bullets(*lines: Column) -> Column:
     return F.array_join(F.array_compact(F.array(*lines)), "\n")
 
 
-def kb_documents(patterns: DataFrame, advisories: DataFrame, patches: DataFrame, deduplicate: bool = True) -> DataFrame:
+def made_documents(patterns: DataFrame, advisories: DataFrame, patches: DataFrame) -> DataFrame:
     """Five retrieval documents per pattern; the patch topic only where there is evidence.
 
-    Of documents with equal content the first by (least advisory id, title, record id) stays. A
-    document over MOST_BYTES is an error.
+    A document over MOST_BYTES is an error.
     """
     p = patterns.select(F.col("identifiers.canonical").alias("canonical"), F.struct(*patterns.columns).alias("p"))
     a = advisories.select(F.col("identifiers.canonical").alias("canonical"), F.struct("summary", "detailed_impact", "record_id", "provenance").alias("a"))
@@ -282,12 +281,24 @@ def kb_documents(patterns: DataFrame, advisories: DataFrame, patches: DataFrame,
     sources = _provenance(F.col("p.provenance"), F.coalesce("a.provenance", empty), F.coalesce("patch.provenance", empty))
     docs = rows.select("p.package", F.col("p.record_id").alias("pattern_id"), metadata.alias("metadata"), sources.alias("provenance"), F.explode(F.array_compact(F.array(*made))).alias("d"))
     bounded = F.when(F.octet_length("d.content") > MOST_BYTES, F.raise_error(F.lit(f"document content exceeds {MOST_BYTES} bytes"))).otherwise(F.col("d.content"))
-    out = docs.select(
+    return docs.select(
         bounded.alias("content"), F.col("d.document_type").alias("document_type"), "metadata", "package", "provenance",
         stable_record_id("kb_document", source_record_id=F.col("pattern_id"), topic=F.col("d.topic")).alias("record_id"), F.lit("kb_document").alias("record_type"),
         F.lit("1.0").alias("schema_version"), F.col("d.sources").alias("source_record_ids"), F.col("d.title").alias("title"),
     )
-    if not deduplicate:
-        return out
-    first = out.groupBy(F.sha2("content", 256).alias("h")).agg(F.min(F.struct(F.col("metadata.advisory_ids")[0], "title", "record_id"))["record_id"].alias("kept"))
-    return out.join(first, out["record_id"] == first["kept"], "left_semi")
+
+
+def keep_first_content(documents: DataFrame) -> DataFrame:
+    """Of documents with equal content the first by (least advisory id, title, record id).
+
+    Contents are compared by SHA-256; copies are combined before the shuffle.
+    """
+    first = documents.groupBy(F.sha2("content", 256).alias("h")).agg(F.min(F.struct(F.col("metadata.advisory_ids")[0], "title", "record_id"))["record_id"].alias("kept"))
+    return documents.join(first, documents["record_id"] == first["kept"], "left_semi")
+
+
+def document_statistics(made: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row: documents attempted, written, skipped as duplicates, and the duplicates' share (0.0 of none)."""
+    row = made.agg(F.count("*").alias("documents_attempted")).crossJoin(kept.agg(F.count("*").alias("documents_written")))
+    row = row.withColumn("duplicates_skipped", F.col("documents_attempted") - F.col("documents_written"))
+    return row.withColumn("duplicate_rate", ratio(F.col("duplicates_skipped"), F.col("documents_attempted"), 0.0))

@@ -5,14 +5,15 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrylake.functions import pep440
-from sentrylake.operators import normalise, patterns, validation
+from sentrylake.operators import advisories, changelog, normalise, patterns, releases, validation
 from sentrylake.operators.evidence import ratio
+from sentrylake.operators.ranges import range_statistics
 from sentrylake.session import materialise
 from sentrylake.sources.files import write_atomically
 from sentrylake.sources.landing import raw_store
@@ -28,6 +29,14 @@ class Bundle:
     patterns: DataFrame
     documents: DataFrame
     issues: DataFrame
+    #: Side tables: release keys that are no versions, clusters of several GHSA identifiers, commits that
+    #: gave no patch, and versions with tag, release and changelog entries.
+    unparsable: DataFrame | None = None
+    conflicts: DataFrame | None = None
+    unresolved: DataFrame | None = None
+    correlations: DataFrame | None = None
+    #: One row of counters each: inventory, ranges, correlations, documents.
+    counters: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def families(self) -> dict[str, tuple[DataFrame, list[Column]]]:
@@ -51,24 +60,61 @@ def landed(spark: SparkSession, path: str) -> DataFrame:
 
 def commit_refs(spark: SparkSession, path: str, name: str, ecosystem: str = "PyPI") -> DataFrame:
     """(sha): the commits that landed advisories name, each once."""
-    feed = landed(spark, path).where("url LIKE '%/v1/query'")
+    feed = landed(spark, path).where("url LIKE '%/v1/query%'")
     return normalise.advisory_records(feed, name, ecosystem).select(F.explode("commits").alias("sha")).distinct()
 
 
 def build(spark: SparkSession, path: str, name: str, slug: str, ecosystem: str = "PyPI", drop_tests: bool = False) -> Bundle:
-    """All families from a landing folder. Of several project bodies the one retrieved last counts."""
-    raw = materialise(landed(spark, path), "landed")
-    project = raw.where(F.col("url").endswith(f"/pypi/{name}/json"))
-    latest = project.join(project.agg(F.max("retrieved_at").alias("retrieved_at")), "retrieved_at", "left_semi")
-    versions = materialise(normalise.version_records(latest, raw.where("url LIKE '%/tags%'"), name, ecosystem), "versions")
-    records = materialise(normalise.advisory_records(raw.where("url LIKE '%/v1/query'"), name, ecosystem), "feed")
-    merged = materialise(normalise.merged_advisories(records), "merged")
+    """All families from a landing folder. Of several project bodies those retrieved last count."""
+    return build_from(materialise(landed(spark, path), "landed"), name, slug, ecosystem, drop_tests)
+
+
+def build_from(raw: DataFrame, name: str, slug: str, ecosystem: str = "PyPI", drop_tests: bool = False) -> Bundle:
+    """The same of landed bodies: (body, url, retrieved_at, body_sha256), told apart by their addresses."""
+    project, tags, feed, commits = project_bodies(raw, name), raw.where("url LIKE '%/tags%'"), raw.where("url LIKE '%/v1/query%'"), raw.where("url LIKE '%/commits/%'")
+    versions = materialise(normalise.version_records(project, tags, name, ecosystem), "versions")
+    refuse(normalise.equal_versions(versions), "release keys are equal as versions")
+    unparsable = materialise(normalise.unparsable_versions(project), "unparsable")
+    correlations, counted = correlated(raw, versions)
+    clusters = materialise(normalise.clustered_advisories(materialise(normalise.advisory_records(feed, name, ecosystem), "feed")), "clusters")
+    merged = materialise(normalise.merged_advisories(clusters), "merged")
     resolved, issues = normalise.resolved_advisories(merged, versions)
     resolved, issues = materialise(resolved, "advisories"), materialise(issues, "issues")
-    commits = raw.where("url LIKE '%/commits/%'")
     patches = materialise(normalise.patch_records(commits, resolved, versions, slug, name, ecosystem), "patches")
     found = materialise(patterns.security_patterns(resolved, patches, name, drop_tests), "patterns")
-    return Bundle(versions, resolved, patches, found, materialise(patterns.kb_documents(found, resolved, patches), "documents"), issues)
+    made = materialise(patterns.made_documents(found, resolved, patches), "made-documents")
+    refuse(made.groupBy("record_id").count().where("count > 1"), "documents share a record id")
+    kept = materialise(patterns.keep_first_content(made), "documents")
+    counters = {
+        "inventory": normalise.inventory_statistics(versions, unparsable), "ranges": range_statistics(resolved, issues),
+        "correlations": counted, "documents": patterns.document_statistics(made, kept),
+    }
+    return Bundle(versions, resolved, patches, found, kept, issues, unparsable, advisories.conflicts(clusters), normalise.unresolved_patches(commits, resolved, slug), correlations, counters)
+
+
+def project_bodies(raw: DataFrame, name: str) -> DataFrame:
+    """The project bodies that were retrieved last."""
+    project = raw.where(F.col("url").endswith(f"/pypi/{name}/json"))
+    return project.join(project.agg(F.max("retrieved_at").alias("retrieved_at")), "retrieved_at", "left_semi")
+
+
+def correlated(raw: DataFrame, versions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(versions with tag, release and changelog entries; one row of counters). Changelogs ending in .md are Markdown."""
+    tag_rows = raw.where("url LIKE '%/tags%'").select(F.explode(F.from_json("body", normalise.TAGS)).alias("t")).select("t.name", F.col("t.commit.sha").alias("sha"))
+    tags = materialise(releases.preferred_tags(tag_rows), "tags")
+    told = materialise(releases.release_rows(raw.where("url RLIKE '/releases(?:[?]|$)'")), "releases")
+    files = raw.where("url LIKE 'https://raw.githubusercontent.com/%'")
+    parsed = [changelog.parse_changelogs(files.where(F.col("url").endswith(".md") == (kind == "markdown")), "url", "body", kind) for kind in changelog.FORMATS]
+    entries = materialise(changelog.by_version(parsed[0].unionByName(parsed[1])), "changelog")
+    rows = materialise(releases.correlate(versions, tags, told, entries), "correlations")
+    return rows, releases.correlation_statistics(rows, tags, told, entries)
+
+
+def refuse(rows: DataFrame, message: str) -> None:
+    """An error with the first of the rows, if there are any."""
+    first = rows.head(1)
+    if first:
+        raise ValueError(f"{message}: {first[0].asDict()}")
 
 
 def findings(bundle: Bundle, name: str | None = None, ecosystem: str = "PyPI", range_issues: bool = True, release_checks: bool = True) -> DataFrame:
@@ -203,6 +249,10 @@ def export_records(bundle: Bundle, folder: str, *only: str) -> dict[str, str]:
     made = {}
     for path, (records, order) in bundle.families.items():
         if not only or path.startswith(only):
+            if path.endswith("/versions.jsonl"):
+                first = validation.schema_findings(records, "version").head(1)
+                if first:
+                    raise ValueError(f"{first[0].record_id}: {first[0].reason}")
             lines = [r.line for r in normalise.json_lines(records, *order).toLocalIterator()]
             made[path] = ("\n".join(lines) + "\n").encode() if lines else b""
     return _write_all(made, folder)
@@ -217,7 +267,8 @@ def export_findings(found: DataFrame, folder: str) -> dict[str, str]:
 def export_schemas(bundle: Bundle, folder: str) -> dict[str, str]:
     """One JSON Schema a family."""
     families = {"version": bundle.versions, "advisory": bundle.advisories, "patch": bundle.patches, "security_pattern": bundle.patterns, "kb_document": bundle.documents}
-    return _write_all({f"schemas/{f}.schema.json": _pretty(validation.json_schema(r, f)) for f, r in families.items()}, folder)
+    made = {f: validation.json_schema(r, f) for f, r in families.items()} | {"provenance": validation.provenance_schema()}
+    return _write_all({f"schemas/{f}.schema.json": _pretty(s) for f, s in made.items()}, folder)
 
 
 def export_manifest(spark: SparkSession, folder: str) -> dict[str, str]:

@@ -30,11 +30,14 @@ def build_session(app: str = "sentrylake", cores: str = "*", shuffle: int = 8, *
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session leaves it unset (local tests) a temporary folder of this process is set.
+    Where a local session leaves it unset (tests) a temporary folder of this process is used; on a
+    cluster, where machines share no such folder, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = "file://" + tempfile.mkdtemp(prefix=f"sentrylake-{os.getpid()}-")

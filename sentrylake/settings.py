@@ -131,8 +131,8 @@ def parse(data: Any) -> Settings:
     return Settings(**{n: _section(SECTIONS[n], n, v) for n, v in data.items()})
 
 
-def load(path: str | Path) -> Settings:
-    """A JSON file, or a YAML file where a YAML reader is there; links and files over 1 MiB are refused."""
+def _document(path: str | Path) -> object:
+    """What a JSON file holds, or a YAML file where a YAML reader is there; links and files over 1 MiB are refused."""
     path = Path(path)
     if path.is_symlink():
         raise SettingsError("the configuration must not be a link")
@@ -143,19 +143,32 @@ def load(path: str | Path) -> Settings:
     text = path.read_text(encoding="utf-8")
     try:
         if path.suffix == ".json":
-            return parse(json.loads(text))
+            return json.loads(text)
         try:
             import yaml
         except ModuleNotFoundError as lost:
             raise SettingsError("reading YAML needs the yaml package; JSON does not") from lost
         try:
-            return parse(yaml.safe_load(text))
+            return yaml.safe_load(text)
         except yaml.YAMLError as bad:
             raise SettingsError(f"{path} is not YAML") from bad
     except json.JSONDecodeError as bad:
         raise SettingsError(f"{path} is not JSON") from bad
 
 
+def load(path: str | Path) -> Settings:
+    """The settings of a file, every section checked."""
+    return parse(_document(path))
+
+
+def load_crawl(path: str | Path) -> Crawl:
+    """The crawl section alone, checked; the file's other sections are not looked at."""
+    data = _document(path)
+    if not isinstance(data, dict):
+        raise SettingsError("the configuration must be an object")
+    return _section(Crawl, "crawl", data.get("crawl", {}))
+
+
 _ASSIGNMENT = re.compile(r"^\s*(?:export\s+)?([A-Za-z_][A-Za-z0-9_]*)\s*=\s*(.*?)\s*$")
 
 

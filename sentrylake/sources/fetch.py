@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import logging
 import os
 import re
 import time
@@ -25,10 +26,15 @@ from sentrylake.sources.files import write_atomically
 from sentrylake.settings import Crawl
 from sentrylake.sources.landing import KEPT_HEADERS, TRANSIENT
 
+_LOG = logging.getLogger(__name__)
+
 Transport = Callable[[str, str, dict[str, str], bytes | None, float], tuple[int, dict[str, str], Iterable[bytes]]]
 
 #: The only host that is shown the token.
 TOKEN_HOST = "api.github.com"
+#: Characters of a header's name, of its value and of all headers of a request, at most.
+MOST_HEADER = (256, 4_096, 16_384)
+#: Headers that callers may not set.
 _SECRET_HEADERS = ("authorization", "cookie", "proxy-authorization", "set-cookie")
 
 
@@ -146,6 +152,10 @@ class Fetcher:
             raise FetchError("the provider asks for a longer wait than is allowed")
         return max(self._backoff(attempt), asked or 0.0)
 
+    def _pause(self, named: dict, host: str | None, attempt: int, delay: float, reason: str) -> None:
+        _LOG.warning("asking again: request=%s host=%s attempt=%d delay_seconds=%.3f reason=%s", named["key"][:12], host, attempt, delay, reason)
+        self.sleep(delay)
+
     def _backoff(self, attempt: int) -> float:
         return min(self.limits.initial_backoff_seconds * 2.0 ** max(0, attempt - 1), self.limits.max_retry_delay_seconds)
 
@@ -163,8 +173,10 @@ class Fetcher:
         if self.limits.cache_enabled and (known := self.landed(named["key"])):
             return known
         sent = {k.replace("_", "-"): v for k, v in headers.items()}
-        if any(k.lower() in _SECRET_HEADERS or re.search(r"[\r\n]", k + v) for k, v in sent.items()):
+        if any(k.strip().lower() in _SECRET_HEADERS or re.search(r"[\r\n]", k + v) for k, v in sent.items()):
             raise FetchError("that header may not be sent")
+        if any(len(k) > MOST_HEADER[0] or len(v) > MOST_HEADER[1] for k, v in sent.items()) or sum(len(k) + len(v) for k, v in sent.items()) > MOST_HEADER[2]:
+            raise FetchError("the headers are longer than allowed")
         host = urlsplit(named["url"]).hostname
         if self.token and host == TOKEN_HOST:
             sent["Authorization"] = f"Bearer {self.token}"
@@ -175,12 +187,12 @@ class Fetcher:
             except OSError as broken:
                 if attempt > self.limits.max_retries:
                     raise FetchError(f"no answer after {attempt} attempts") from broken
-                self.sleep(self._backoff(attempt))
+                self._pause(named, host, attempt, self._backoff(attempt), "no answer")
                 continue
             wait = self._wait(status, {k.lower(): v for k, v in got.items()}, host, attempt)
             if wait is None:
                 break
-            self.sleep(wait)
+            self._pause(named, host, attempt, wait, f"status {status}")
         record = self.land(named, status, got, content) if status == 200 else {"response": {"status_code": status}}
         return content, record
 

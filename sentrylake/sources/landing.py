@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sentrylake.functions.ident import request_key
 
 #: The headers that are kept.
-KEPT_HEADERS = ("cache-control", "content-encoding", "content-length", "content-type", "date", "etag", "last-modified", "link", "retry-after", "x-ratelimit-remaining", "x-ratelimit-reset")
+KEPT_HEADERS = ("cache-control", "content-type", "date", "etag", "expires", "last-modified", "retry-after", "x-ratelimit-limit", "x-ratelimit-remaining", "x-ratelimit-reset", "x-ratelimit-resource")
 #: Statuses worth another attempt.
 TRANSIENT = (429, 500, 502, 503, 504)
 
@@ -41,10 +41,10 @@ def integrity(content: Column, size: Column, sha256: Column) -> Column:
 
 
 def retry_after_seconds(header: Column, now: Column) -> Column:
-    """A Retry-After header as seconds from ``now``: a count, or a date in GMT; null if it is neither or negative."""
+    """A Retry-After header as seconds from ``now``: a whole number, or a date in GMT; null if it is neither or negative."""
     day = F.regexp_extract(header, r"(\d{1,2} [A-Z][a-z]{2} \d{4} \d\d:\d\d:\d\d) GMT$", 1)
     until = F.try_to_timestamp(F.concat(day, F.lit(" +0000")), F.lit("d MMM yyyy HH:mm:ss Z"))
-    count = F.trim(header).try_cast("double")
+    count = F.when(header.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(header).try_cast("double"))
     wait = F.when(until.isNotNull(), F.greatest(F.lit(0.0), until.cast("double") - now.cast("double")))
     return F.when(count.isNotNull(), F.when(count >= 0, count)).otherwise(wait)
 
@@ -62,7 +62,7 @@ def retry_decision(status: Column, attempt: Column, asked: Column, limited: Colu
         F.when(~F.coalesce(passing, F.lit(False)), "permanent_status")
         .when(attempt > most, "attempts_exhausted")
         .when(asked > cap, "wait_over_bound")
-        .when(asked.isNotNull(), F.when(spent, "rate_limit").otherwise("retry_after"))
+        .when(asked.isNotNull(), F.when(spent, "github_rate_limit").otherwise("retry_after"))
         .otherwise("transient_status")
     )
     again = ~reason.isin("permanent_status", "attempts_exhausted", "wait_over_bound")
