@@ -6,29 +6,17 @@ on both sides; every query covers its whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrylake.functions import ident, pep440, text
-from sentrylake.operators import advisories, evidence, ranges, releases
+from sentrylake.operators import advisories, changelog, evidence, ranges, releases
+from sentrylake.operators.ranking import running_total
+from sentrylake.plans.registry import ORACLES, QUERIES, query
 from sentrylake.sources import landing
 from sentrylake.streaming.replay import replay_counts
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def _query(sql: str):
-    def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        ORACLES[function.__name__] = sql
-        return function
-
-    return add
-
+__all__ = ["ORACLES", "QUERIES"]
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
@@ -44,22 +32,17 @@ def _versions(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "part").select("p_partkey", F.expr(_RAW).alias("raw")).withColumn("version", pep440.parse(F.col("raw")))
 
 
-@_query(f"SELECT p_partkey, {_RAW_SQL} AS raw, {_NORM_SQL} AS normalized, p_partkey % 5 IN (1, 3) AS is_prerelease FROM part")
+@query(f"SELECT p_partkey, {_RAW_SQL} AS raw, {_NORM_SQL} AS normalized, p_partkey % 5 IN (1, 3) AS is_prerelease FROM part")
 def version_normalize(spark, d):
     return _versions(spark, d).select("p_partkey", "raw", F.col("version.text").alias("normalized"), F.col("version.is_prerelease").alias("is_prerelease"))
 
 
-@_query(f"SELECT DISTINCT {_NORM_SQL} AS normalized, dense_rank() OVER (ORDER BY p_size % 4, p_partkey % 12, {_CLASS_SQL}) AS version_rank FROM part")
+@query(f"SELECT DISTINCT {_NORM_SQL} AS normalized, dense_rank() OVER (ORDER BY p_size % 4, p_partkey % 12, {_CLASS_SQL}) AS version_rank FROM part")
 def version_order_rank(spark, d):
-    # ranks are over distinct versions, not rows: what meets in one task is the inventory
+    # the first text of each key counts one, so equal versions share a rank; no task holds the inventory
     stock = _versions(spark, d).select(F.col("version.key").alias("key"), F.col("version.text").alias("normalized")).distinct()
-    return stock.select("normalized", F.dense_rank().over(Window.orderBy("key")).cast("bigint").alias("version_rank"))
-
-
-@_query("SELECT l_partkey, min(l_shipdate) AS release_date, count(*) AS n_artifacts, bool_and(l_returnflag = 'R') AS is_yanked, CASE WHEN count(DISTINCT l_linestatus) = 1 THEN min(l_linestatus) END AS agreed FROM lineitem GROUP BY 1")
-def version_inventory(spark, d):
-    rows = _t(spark, d, "lineitem").select("l_partkey", "l_shipdate", (F.col("l_returnflag") == "R").alias("yanked"), "l_linestatus")
-    return evidence.release_inventory(rows, "l_partkey", "l_shipdate", "yanked", "l_linestatus")
+    keys = running_total(stock.select("key").distinct(), F.lit(1), "key").withColumnRenamed("total", "version_rank")
+    return stock.join(keys, "key").select("normalized", "version_rank")
 
 
 _EVENTS = """array(named_struct('introduced', concat(o_orderkey % 4, '.', o_orderkey % 12), 'fixed', CAST(NULL AS string), 'last_affected', CAST(NULL AS string), 'limit', CAST(NULL AS string)),
@@ -72,41 +55,20 @@ hit AS (SELECT ia, ib, fa, fb, count(*) AS n_affected, string_agg(v, ',' ORDER B
 
 def _orders_resolved(spark, d):
     rows = _t(spark, d, "orders").withColumn("events", F.expr(_EVENTS))
-    return rows.join(ranges.resolve_events(rows, _versions(spark, d)), "events", "left")
+    return rows.withColumn("id", ranges.list_id(F.col("events"))).join(ranges.resolve_events(rows, _versions(spark, d)), "id", "left")
 
 
-@_query(f"WITH {_RESOLVED_SQL} SELECT o_orderkey, coalesce(n_affected, 0)::BIGINT AS n_affected, sha256(coalesce(l, '')) AS affected_sha256 FROM orders LEFT JOIN hit ON ia = o_orderkey % 4 AND ib = o_orderkey % 12 AND fa = o_custkey % 4 + 1 AND fb = o_custkey % 7")
+@query(f"WITH {_RESOLVED_SQL} SELECT o_orderkey, coalesce(n_affected, 0)::BIGINT AS n_affected, sha256(coalesce(l, '')) AS affected_sha256 FROM orders LEFT JOIN hit ON ia = o_orderkey % 4 AND ib = o_orderkey % 12 AND fa = o_custkey % 4 + 1 AND fb = o_custkey % 7")
 def range_event_resolve(spark, d):
     found = F.coalesce(F.array_size("resolved"), F.lit(0)).cast("bigint")
     listed = F.sha2(F.coalesce(F.array_join(F.col("resolved.text"), ","), F.lit("")), 256)
     return _orders_resolved(spark, d).select("o_orderkey", found.alias("n_affected"), listed.alias("affected_sha256"))
 
 
-_STOCK_SQL = "stock AS (SELECT DISTINCT (p_size % 4) AS a, p_partkey % 12 AS b FROM part WHERE p_partkey % 5 IN (0, 4))"
-
-
-def _fixed_issues(spark, d):
-    fixed = _t(spark, d, "orders").select("o_orderkey", F.expr("concat(o_custkey % 4 + 1, '.', o_custkey % 7)").alias("fixed"))
-    stock = _versions(spark, d).select(F.col("version.key").alias("key")).distinct()
-    return fixed.withColumn("key", pep440.parse(F.col("fixed"))["key"]).join(stock, "key", "left_anti").select("o_orderkey", F.concat(F.lit("fixed version not present in inventory: "), "fixed").alias("message"))
-
-
-@_query(f"WITH {_STOCK_SQL} SELECT o_orderkey, 'fixed version not present in inventory: ' || (o_custkey % 4 + 1) || '.' || (o_custkey % 7) AS message FROM orders WHERE NOT EXISTS (SELECT 1 FROM stock WHERE a = o_custkey % 4 + 1 AND b = o_custkey % 7)")
-def range_issues(spark, d):
-    return _fixed_issues(spark, d)
-
-
-@_query(f"WITH {_RESOLVED_SQL}, {_STOCK_SQL.replace('stock', 'known')}, j AS (SELECT o_orderkey, n_affected, NOT EXISTS (SELECT 1 FROM known WHERE known.a = o_custkey % 4 + 1 AND known.b = o_custkey % 7) AS missing FROM orders LEFT JOIN hit ON ia = o_orderkey % 4 AND ib = o_orderkey % 12 AND fa = o_custkey % 4 + 1 AND fb = o_custkey % 7) SELECT count(*) AS total_ranges, count(n_affected) AS matched_ranges, count(*) FILTER (missing) AS missing_fixed_versions, round(count(n_affected) / count(*), 6) AS coverage_ratio FROM j")
-def range_stats(spark, d):
-    resolved = _orders_resolved(spark, d).agg(F.count("*").alias("total_ranges"), F.count("resolved").alias("matched_ranges"))
-    missing = _fixed_issues(spark, d).agg(F.count("*").alias("missing_fixed_versions"))
-    return resolved.crossJoin(missing).withColumn("coverage_ratio", evidence.ratio(F.col("matched_ranges"), F.col("total_ranges")))
-
-
 _SPECS = (">=1.2,<3.0", "~=2.3", "==1.*", "!=2.4.0", "<=0.5.post2")
 
 
-@_query(f"WITH s AS (SELECT DISTINCT p_size % 4 AS a, p_partkey % 12 AS b, {_CLASS_SQL} AS c, {_NORM_SQL} AS v FROM part), n AS (SELECT *, a * 1000 + b * 10 + c AS n FROM s) SELECT '>=1.2,<3.0' AS spec, v AS version FROM n WHERE n >= 1022 AND n < 3000 UNION ALL SELECT '~=2.3', v FROM n WHERE a = 2 AND n >= 2032 UNION ALL SELECT '==1.*', v FROM n WHERE a = 1 UNION ALL SELECT '!=2.4.0', v FROM n WHERE n <> 2042 UNION ALL SELECT '<=0.5.post2', v FROM n WHERE n <= 53")
+@query(f"WITH s AS (SELECT DISTINCT p_size % 4 AS a, p_partkey % 12 AS b, {_CLASS_SQL} AS c, {_NORM_SQL} AS v FROM part), n AS (SELECT *, a * 1000 + b * 10 + c AS n FROM s) SELECT '>=1.2,<3.0' AS spec, v AS version FROM n WHERE n >= 1022 AND n < 3000 UNION ALL SELECT '~=2.3', v FROM n WHERE a = 2 AND n >= 2032 UNION ALL SELECT '==1.*', v FROM n WHERE a = 1 UNION ALL SELECT '!=2.4.0', v FROM n WHERE n <> 2042 UNION ALL SELECT '<=0.5.post2', v FROM n WHERE n <= 53")
 def specifier_resolve(spark, d):
     specs = spark.range(1).select(F.explode(F.array(*map(F.lit, _SPECS))).alias("spec"))
     return ranges.specifier_hits(specs, _versions(spark, d)).select("spec", F.col("version.text").alias("version"))
@@ -115,7 +77,7 @@ def specifier_resolve(spark, d):
 _IDS = "array_compact(array(if(c_custkey % 2 = 0, concat('cve-2024-', c_custkey), NULL), if(c_custkey % 3 = 0, concat('GHSA-', c_custkey), NULL), if(c_custkey % 5 = 0, concat('PYSEC-', c_custkey), NULL), concat('X-', c_custkey)))"
 
 
-@_query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'GHSA-' WHEN c_custkey % 2 = 0 THEN 'cve-2024-' WHEN c_custkey % 5 = 0 THEN 'PYSEC-' ELSE 'X-' END || c_custkey AS canonical, CASE WHEN c_custkey % 2 = 0 THEN 'cve-2024-' || c_custkey END AS cve FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'GHSA-' WHEN c_custkey % 2 = 0 THEN 'cve-2024-' WHEN c_custkey % 5 = 0 THEN 'PYSEC-' ELSE 'X-' END || c_custkey AS canonical, CASE WHEN c_custkey % 2 = 0 THEN 'cve-2024-' || c_custkey END AS cve FROM customer")
 def canonical_identifier(spark, d):
     rows = _t(spark, d, "customer").select("c_custkey", F.expr(_IDS).alias("ids"))
     return rows.select("c_custkey", ident.canonical_id(F.col("ids")).alias("canonical"), ident.first_with(F.col("ids"), "CVE-").alias("cve"))
@@ -132,26 +94,11 @@ def _records(spark, d):
 _COMPONENT_SQL = "min(o_orderkey) OVER (PARTITION BY o_custkey, quarter(o_orderdate))"
 
 
-@_query(f"SELECT o_orderkey AS record, {_COMPONENT_SQL} AS component FROM orders")
+@query(f"SELECT o_orderkey AS record, {_COMPONENT_SQL} AS component FROM orders")
 def alias_components(spark, d):
     return advisories.alias_components(_records(spark, d), "o_orderkey", "aliases")
 
 
-@_query(f"""WITH r AS (SELECT *, {_COMPONENT_SQL} AS component, 'GHSA-' || (o_custkey % 100) || '-' || (o_orderkey % 2) AS ghsa, CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority END AS severity, repeat('x', (o_orderkey % 7)::INT) || o_orderkey AS details FROM orders)
-SELECT component, count(*) AS members, min(o_orderdate) AS published, max(o_orderdate) AS modified, min(ghsa) AS canonical, count(DISTINCT ghsa) > 1 AS conflict, arg_min(severity, o_orderkey) FILTER (severity IS NOT NULL) AS severity,
- arg_max(details, length(details) * 1000000000 - o_orderkey) AS details FROM r GROUP BY 1""")
-def alias_merge(spark, d):
-    rows = _records(spark, d)
-    parts = advisories.alias_components(rows, "o_orderkey", "aliases")
-    ghsa = F.expr("concat('GHSA-', o_custkey % 100, '-', o_orderkey % 2)")
-    full = rows.join(parts, F.col("o_orderkey") == F.col("record")).select(
-        "component", F.col("o_orderkey").alias("ordinal"), F.array(ghsa).alias("ids"), ghsa.alias("canonical"), F.lit(None).cast("string").alias("summary"),
-        F.when(F.col("o_orderstatus") != "O", F.col("o_orderpriority")).alias("severity"), F.expr("concat(repeat('x', CAST(o_orderkey % 7 AS int)), o_orderkey)").alias("details"),
-        F.col("o_orderdate").alias("published"), F.col("o_orderdate").alias("modified"),
-    )
-    return advisories.merge_clusters(full).select("component", "members", "published", "modified", "canonical", "conflict", "severity", "details")
-
-
 _TAGS = "element_at(array('v', 'release-', ''), CAST(p_partkey % 3 AS int) + 1)"
 _TAG_SQL = "['v', 'release-', ''][p_partkey % 3 + 1] || (p_size % 4) || '.' || (p_partkey % 12)"
 _PICK_SQL = f"""tags AS (SELECT {_TAG_SQL} AS name, (p_size % 4) || '.' || (p_partkey % 12) AS v, lpad(p_partkey::VARCHAR, 40, '0') AS sha, [3, 1, 2][p_partkey % 3 + 1] AS rank FROM part),
@@ -162,46 +109,32 @@ def _tags(spark, d):
     return _t(spark, d, "part").select(F.expr(f"concat({_TAGS}, p_size % 4, '.', p_partkey % 12)").alias("name"), F.expr("lpad(CAST(p_partkey AS string), 40, '0')").alias("sha"))
 
 
-@_query(f"WITH {_PICK_SQL} SELECT v AS normalized_version, name AS git_tag, sha AS commit_sha, ['release_prefix', 'exact', 'v_prefix'][rank] AS match_type, CASE WHEN rank = 1 THEN 0.8::DOUBLE ELSE 1.0::DOUBLE END AS confidence FROM best")
+@query(f"WITH {_PICK_SQL} SELECT v AS normalized_version, name AS git_tag, sha AS commit_sha, ['release_prefix', 'exact', 'v_prefix'][rank] AS match_type, CASE WHEN rank = 1 THEN 0.8::DOUBLE ELSE 1.0::DOUBLE END AS confidence FROM best")
 def tag_preference(spark, d):
     return releases.preferred_tags(_tags(spark, d))
 
 
-@_query(f"WITH {_PICK_SQL}, versions AS (SELECT s_suppkey, (s_suppkey % 5) || '.' || (s_suppkey % 12) AS v FROM supplier) SELECT s_suppkey, versions.v AS normalized_version, name AS git_tag, sha AS commit_sha, n_name AS release_url FROM versions LEFT JOIN best USING (v) LEFT JOIN (SELECT name AS tag, arg_max(n_name, n_nationkey) AS n_name FROM nation JOIN (SELECT 'v' || (i % 4) || '.' || (i % 12) AS name, i FROM range(25) t(i)) ON i = n_nationkey GROUP BY 1) r ON r.tag = best.name")
-def release_correlation(spark, d):
-    versions = _t(spark, d, "supplier").select("s_suppkey", F.expr("concat(s_suppkey % 5, '.', s_suppkey % 12)").alias("normalized_version"))
-    named = _t(spark, d, "nation").select(F.expr("concat('v', n_nationkey % 4, '.', n_nationkey % 12)").alias("tag_name"), F.col("n_name").alias("release_url"), F.col("n_nationkey").alias("ordinal"))
-    return releases.correlate(versions, _tags(spark, d), named).select("s_suppkey", "normalized_version", "git_tag", "commit_sha", "release_url")
-
-
-_LINES = "concat('Release ', doc_id, '\n', repeat('=', 3), '\n- ', replace(text, '\n', '\n* '))"
-_LINES_SQL = "'Release ' || doc_id || chr(10) || repeat('=', 3) || chr(10) || '- ' || replace(text, chr(10), chr(10) || '* ')"
-
-
-@_query(f"""WITH l AS (SELECT doc_id, unnest(string_split({_LINES_SQL}, chr(10))) AS line, unnest(generate_series(1, len(string_split({_LINES_SQL}, chr(10))))) AS i FROM documents),
-h AS (SELECT *, coalesce(regexp_matches(lead(line) OVER (PARTITION BY doc_id ORDER BY i), '^[-=~^]{{3,}}$'), false) AS is_heading FROM l),
-s AS (SELECT *, last_value(CASE WHEN is_heading THEN line END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS section FROM h)
-SELECT doc_id, section, count(*) AS n_lines, count(*) FILTER (regexp_matches(line, '^\\s*[-*]\\s+.*\\S')) AS n_entries FROM s GROUP BY 1, 2""")
-def changelog_sections(spark, d):
-    numbered = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split(F.expr(_LINES.replace("\n", "\\n")), "\n")).alias("i", "line"))
-    found = evidence.headings(numbered, "doc_id", "i", "line")
-    return found.groupBy("doc_id", "section").agg(F.count("*").alias("n_lines"), F.count(text.entry_text(F.col("line"))).alias("n_entries"))
+_HEAD = "concat('Release ', doc_id % 9, '.', doc_id, if(doc_id % 2 = 0, ' (2024-02-03)', ''))"
+_HEAD_SQL = "'Release ' || (doc_id % 9) || '.' || doc_id || CASE WHEN doc_id % 2 = 0 THEN ' (2024-02-03)' ELSE '' END"
 
 
-_PLANT = "concat(element_at(array('- Fixed ', '- Added ', '* Deprecated ', '- ', '- Security: ', '- Documentation for '), CAST(doc_id % 6 AS int) + 1), substr(text, 1, 40))"
-_PLANT_SQL = "['- Fixed ', '- Added ', '* Deprecated ', '- ', '- Security: ', '- Documentation for '][doc_id % 6 + 1] || substr(text, 1, 40)"
-
-
-@_query(f"SELECT doc_id, ['bugfix', 'feature', 'deprecation', 'other', 'security', 'documentation'][doc_id % 6 + 1] AS category FROM documents WHERE trim(split_part(substr(text, 1, 40), chr(10), 1)) <> ''")
-def changelog_classify(spark, d):
-    rows = _t(spark, d, "documents").select("doc_id", F.split(F.expr(_PLANT), "\n")[0].alias("line")).withColumn("entry", text.entry_text(F.col("line")))
-    return rows.where("entry IS NOT NULL").select("doc_id", text.entry_category(F.col("line"), F.col("entry")).alias("category"))
+@query(rf"""WITH l AS (SELECT doc_id, trim(regexp_replace(unnest(regexp_split_to_array(text, '\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{{85}}\x{{2028}}\x{{2029}}]')), '^[\s\x0B]+|[\s\x0B]+$', '', 'g')) AS line FROM documents)
+SELECT doc_id, (doc_id % 9) || '.' || doc_id AS version, CASE WHEN doc_id % 2 = 0 THEN '2024-02-03' END AS date, count(*) FILTER (line <> '') AS n_entries, coalesce(sum(length(line)), 0)::BIGINT AS n_letters FROM l WHERE doc_id % 9 < 10 GROUP BY 1""")
+def changelog_parse(spark, d):
+    # every line of the whole text as an entry under one heading: reStructuredText for odd ids, Markdown for even ones
+    docs = _t(spark, d, "documents").where("text IS NOT NULL")
+    bullets = F.concat(F.lit("* "), F.regexp_replace("text", "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]", "\n* "))
+    rst = docs.where("doc_id % 2 = 1").select("doc_id", F.concat(F.lit("Title\n=====\n* lost\n"), F.expr(_HEAD), F.lit("\n----\n"), bullets, F.lit("\nno version\n~~~\n* lost")).alias("log"))
+    markdown = docs.where("doc_id % 2 = 0").select("doc_id", F.concat(F.lit("# Title\n* lost\n## "), F.expr(_HEAD), F.lit("\n"), bullets, F.lit("\n### no version\n* lost")).alias("log"))
+    found = changelog.parse_changelogs(rst, "doc_id", "log").unionByName(changelog.parse_changelogs(markdown, "doc_id", "log", "markdown"))
+    letters = F.aggregate("entries", F.lit(0).cast("bigint"), lambda n, e: n + F.char_length(e["text"]))
+    return found.select(F.col("doc").alias("doc_id"), "version", "date", F.size("entries").cast("bigint").alias("n_entries"), letters.alias("n_letters"))
 
 
 _BULLETS = "array('- Fixed ', '- Added ', '* Deprecated ', '- ', '- Security: ', '- Documentation for ', '')"
 
 
-@_query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i FROM documents),
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i FROM documents),
 p AS (SELECT doc_id, ['- Fixed ', '- Added ', '* Deprecated ', '- ', '- Security: ', '- Documentation for ', ''][(doc_id + i) % 7 + 1] || t AS line FROM l),
 e AS (SELECT doc_id, line, regexp_extract(line, '^\s*[-*]\s+(.+)$', 1) AS entry FROM p)
 SELECT doc_id, CASE WHEN regexp_matches(entry, '(?i)\b(CVE|GHSA|vulnerability|vulnerabilities|security)\b') THEN 'security' WHEN regexp_matches(entry, '(?i)\bdeprecat') THEN 'deprecation'
@@ -215,7 +148,7 @@ def changelog_line_classify(spark, d):
     return found.groupBy("doc_id", text.entry_category(F.col("line"), F.col("entry")).alias("category")).agg(F.count("*").alias("n_entries"))
 
 
-@_query("SELECT doc_id, list_sort(list_distinct(list_filter(['CVE-2024-' || lpad((doc_id % 977)::VARCHAR, 4, '0'), CASE WHEN doc_id % 3 = 0 THEN '#' || doc_id END, CASE WHEN doc_id % 4 = 0 THEN 'GHSA-ab12-cd34-' || lpad((doc_id % 50)::VARCHAR, 4, 'x') END], lambda x: x IS NOT NULL)))::VARCHAR AS refs FROM documents")
+@query("SELECT doc_id, list_sort(list_distinct(list_filter(['CVE-2024-' || lpad((doc_id % 977)::VARCHAR, 4, '0'), CASE WHEN doc_id % 3 = 0 THEN '#' || doc_id END, CASE WHEN doc_id % 4 = 0 THEN 'GHSA-ab12-cd34-' || lpad((doc_id % 50)::VARCHAR, 4, 'x') END], lambda x: x IS NOT NULL)))::VARCHAR AS refs FROM documents")
 def reference_extract(spark, d):
     # the whole text with planted references appended; the SQL lists the planted ones, as no supplied text has any
     planted = F.expr("concat(coalesce(text, ''), '\\nSee CVE-2024-', lpad(CAST(doc_id % 977 AS string), 4, '0'), if(doc_id % 3 = 0, concat(' and #', doc_id), ''), if(doc_id % 4 = 0, concat(' GHSA-ab12-cd34-', lpad(CAST(doc_id % 50 AS string), 4, 'x')), ''), ' in the log')")
@@ -223,13 +156,7 @@ def reference_extract(spark, d):
     return rows.select("doc_id", F.concat(F.lit("["), F.array_join("refs", ", "), F.lit("]")).alias("refs"))
 
 
-@_query("SELECT page_id, url, regexp_matches(url, '^https?://') AS has_scheme, url LIKE 'https:%' AND url NOT LIKE '%?%' AND url NOT LIKE '%#%' AS artifact_ok FROM pages")
-def url_predicates(spark, d):
-    url = F.col("url")
-    return _t(spark, d, "pages").select("page_id", "url", url.rlike("^https?://").alias("has_scheme"), (url.startswith("https:") & ~url.contains("?") & ~url.contains("#")).alias("artifact_ok"))
-
-
-@_query("""WITH p AS (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS u FROM pages), q AS (SELECT *, CASE WHEN position('?' IN u) > 0 THEN substr(u, position('?' IN u) + 1) ELSE '' END AS s FROM p)
+@query("""WITH p AS (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS u FROM pages), q AS (SELECT *, CASE WHEN position('?' IN u) > 0 THEN substr(u, position('?' IN u) + 1) ELSE '' END AS s FROM p)
 SELECT page_id, sha256('{"body_sha256":null,"method":"GET","url":"' || CASE WHEN s = '' THEN rtrim(u, '?') ELSE split_part(u, '?', 1) || '?' || array_to_string(list_sort(string_split(s, '&')), '&') END || '"}') AS request_key,
 CASE WHEN url NOT LIKE 'https://%' THEN 'URL is not https with a host' END AS problem FROM q""")
 def request_identity(spark, d):
@@ -237,24 +164,29 @@ def request_identity(spark, d):
     return _t(spark, d, "pages").select("page_id", ident.request_key(method, url).alias("request_key"), ident.request_problem(method, url).alias("problem"))
 
 
-@_query("""WITH r AS (SELECT event_id, [200, 429, 500, 404, 503, 403][event_id % 6 + 1] AS status, user_id % 6 + 1 AS attempt, CASE WHEN event_id % 7 = 0 THEN event_id % 50 END AS after, event_id % 4 = 1 AS spent FROM events),
-d AS (SELECT *, CASE WHEN NOT (status IN (429, 500, 502, 503, 504) OR (status = 403 AND spent)) THEN 'permanent_status' WHEN attempt > 4 THEN 'attempts_exhausted' WHEN after > 30 THEN 'wait_over_bound' WHEN after IS NOT NULL THEN CASE WHEN status = 403 THEN 'rate_limit' ELSE 'retry_after' END ELSE 'transient_status' END AS reason FROM r)
-SELECT event_id, status, reason, reason IN ('retry_after', 'rate_limit', 'transient_status') AS retry, CASE WHEN reason IN ('retry_after', 'rate_limit', 'transient_status') THEN greatest(least(0.5 * 2 ** (attempt - 1), 30), coalesce(after, 0))::DOUBLE END AS delay FROM d""")
+@query("""WITH r AS (SELECT event_id, [200, 429, 500, 404, 503, 403][event_id % 6 + 1] AS status, user_id % 6 + 1 AS attempt, CASE WHEN event_id % 7 = 0 AND event_id % 3 <> 0 THEN event_id % 50 END AS after, event_id % 4 = 1 AS spent FROM events),
+d AS (SELECT *, CASE WHEN NOT (status IN (429, 500, 502, 503, 504) OR (status = 403 AND spent)) THEN 'permanent_status' WHEN attempt > 4 THEN 'attempts_exhausted' WHEN after > 30 THEN 'wait_over_bound' WHEN after IS NOT NULL THEN CASE WHEN status = 403 THEN 'github_rate_limit' ELSE 'retry_after' END ELSE 'transient_status' END AS reason FROM r)
+SELECT event_id, status, reason, reason IN ('retry_after', 'github_rate_limit', 'transient_status') AS retry, CASE WHEN reason IN ('retry_after', 'github_rate_limit', 'transient_status') THEN greatest(least(0.5 * 2 ** (attempt - 1), 30), coalesce(after, 0))::DOUBLE END AS delay FROM d""")
 def retry_decision(spark, d):
     status = "element_at(array(200, 429, 500, 404, 503, 403), CAST(event_id % 6 AS int) + 1)"
-    rows = _t(spark, d, "events").select("event_id", F.expr(status).alias("status"), F.expr("user_id % 6 + 1").alias("attempt"), F.expr("if(event_id % 7 = 0, CAST(event_id % 50 AS string), NULL)").alias("after"), F.expr("event_id % 4 = 1").alias("spent"))
+    rows = _t(spark, d, "events").select("event_id", F.expr(status).alias("status"), F.expr("user_id % 6 + 1").alias("attempt"), F.expr("CASE WHEN event_id % 21 = 0 THEN concat(event_id % 50, '.5') WHEN event_id % 7 = 0 THEN concat(' ', event_id % 50) END").alias("after"), F.expr("event_id % 4 = 1").alias("spent"))
     asked = landing.retry_after_seconds(F.col("after"), F.lit("2026-01-01 00:00:00").cast("timestamp"))
     return rows.withColumn("r", landing.retry_decision(F.col("status"), F.col("attempt"), asked, F.col("spent"))).select("event_id", "status", "r.reason", "r.retry", "r.delay")
 
 
-@_query("SELECT event_id, 'content-type=' || event_type || ';etag=' || substr(repeat(props, 300), 1, 2048) AS headers FROM events")
+_NAMES = "Cache-Control,Content-Type,Date,ETag,Expires,Last-Modified,Retry-After,X-RateLimit-Limit,X-RateLimit-Remaining,X-RateLimit-Reset,X-RateLimit-Resource"
+
+
+@query(f"SELECT event_id, list_aggregate(list_transform(string_split('{_NAMES}', ','), lambda n: lower(n) || '=' || CASE n WHEN 'ETag' THEN substr(repeat(props, 300), 1, 2048) WHEN 'Content-Type' THEN event_type ELSE n || event_id END), 'string_agg', ';') AS headers FROM events")
 def header_sanitize(spark, d):
-    headers = F.create_map(F.lit("ETag"), F.expr("repeat(props, 300)"), F.lit("Content-Type"), F.col("event_type"), F.lit("Authorization"), F.lit("secret"))
+    value = lambda n: F.expr("repeat(props, 300)") if n == "ETag" else F.col("event_type") if n == "Content-Type" else F.concat(F.lit(n), "event_id")
+    given = [*_NAMES.split(","), "Authorization", "Content-Length", "Content-Encoding", "Link", "Set-Cookie"]
+    headers = F.create_map(*[c for n in given for c in (F.lit(n), value(n))])
     rows = _t(spark, d, "events").select("event_id", landing.kept_headers(headers).alias("h"))
     return rows.select("event_id", F.array_join(F.transform("h", lambda e: F.concat(e["k"], F.lit("="), e["v"])), ";").alias("headers"))
 
 
-@_query("SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'half of a pair is missing' WHEN doc_id % 7 = 0 THEN 'size differs' WHEN doc_id % 5 = 0 THEN 'digest differs' END AS problem FROM documents")
+@query("SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'half of a pair is missing' WHEN doc_id % 7 = 0 THEN 'size differs' WHEN doc_id % 5 = 0 THEN 'digest differs' END AS problem FROM documents")
 def raw_integrity(spark, d):
     body = F.encode("text", "UTF-8")
     size = F.expr("if(doc_id % 11 = 0, NULL, octet_length(text) + if(doc_id % 7 = 0, 1, 0))")
@@ -262,7 +194,7 @@ def raw_integrity(spark, d):
     return _t(spark, d, "documents").select("doc_id", landing.integrity(body, size, digest).alias("problem"))
 
 
-@_query("""SELECT doc_id, 'advisory:' || sha256('{"doc":' || doc_id || ',"source":"' || source || '"}') AS record_id FROM documents""")
+@query("""SELECT doc_id, 'advisory:' || sha256('{"doc":' || doc_id || ',"source":"' || source || '"}') AS record_id FROM documents""")
 def stable_record_id(spark, d):
     return _t(spark, d, "documents").select("doc_id", ident.stable_record_id("advisory", source=F.col("source"), doc=F.col("doc_id")).alias("record_id"))
 
@@ -274,125 +206,47 @@ def _patches(spark, d):
     return _t(spark, d, "part").select("p_partkey", F.expr(_PATCH).alias("patch"), F.expr("concat(if(p_partkey % 3 = 0, 'tests/', 'src/'), if(p_partkey % 2 = 0, 'test_', 'mod_'), p_partkey, '.py')").alias("path"))
 
 
-@_query("SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter(['f' || (p_partkey % 50), 'C' || p_size, CASE WHEN p_partkey % 2 = 0 THEN 'g' END], lambda x: x IS NOT NULL))), ',') AS symbols FROM part")
+@query("SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter(['f' || (p_partkey % 50), 'C' || p_size, CASE WHEN p_partkey % 2 = 0 THEN 'g' END], lambda x: x IS NOT NULL))), ',') AS symbols FROM part")
 def diff_symbols(spark, d):
     return _patches(spark, d).select("p_partkey", F.array_join(text.diff_symbols(F.col("patch")), ",").alias("symbols"))
 
 
-@_query("SELECT p_partkey, 'assert ok,if x is None:,raise ValueError' || (p_partkey % 3) AS guards FROM part")
+@query("SELECT p_partkey, 'assert ok,if x is None:,raise ValueError' || (p_partkey % 3) AS guards FROM part")
 def diff_guards(spark, d):
     return _patches(spark, d).select("p_partkey", F.array_join(text.diff_guards(F.col("patch")), ",").alias("guards"))
 
 
-@_query("SELECT p_partkey, p_partkey % 2 = 0 AS is_test FROM part")
+@query("SELECT p_partkey, p_partkey % 2 = 0 AS is_test FROM part")
 def regression_tests(spark, d):
     return _patches(spark, d).select("p_partkey", text.is_regression_test(F.col("path")).alias("is_test"))
 
 
-@_query("SELECT l_partkey AS commit, min(l_orderkey) AS advisory, max(l_orderkey) AS last_advisory FROM lineitem GROUP BY 1")
-def patch_link(spark, d):
-    links = _t(spark, d, "lineitem").select(F.col("l_partkey").alias("commit"), F.col("l_orderkey").alias("advisory"))
-    return evidence.first_claims(links, "commit", "advisory").join(links.groupBy("commit").agg(F.max("advisory").alias("last_advisory")), "commit")
-
-
-_RULES = [(r"(?i)\blicensed\b", "license"), (r"\bidiot\b|\bmoron\b|\bscum\b", "abuse"), (r"\|", "table"), (r"[%$&*]{3}", "symbols"), (r"(?i)\bthe\b", "article")]
-
-
-@_query("SELECT doc_id, array_to_string(list_sort(list_filter([CASE WHEN regexp_matches(text, '(?i)\\blicensed\\b') THEN 'license' END, CASE WHEN regexp_matches(text, '\\bidiot\\b|\\bmoron\\b|\\bscum\\b') THEN 'abuse' END, CASE WHEN text LIKE '%|%' THEN 'table' END, CASE WHEN regexp_matches(text, '[%$&*]{3}') THEN 'symbols' END, CASE WHEN regexp_matches(text, '(?i)\\bthe\\b') THEN 'article' END], lambda x: x IS NOT NULL)), ',') AS labels FROM documents".replace("\\\\", "\\"))
-def rule_labels(spark, d):
-    return _t(spark, d, "documents").select("doc_id", F.array_join(text.rule_labels(F.col("text"), _RULES), ",").alias("labels"))
-
-
 _FLAGS = "n_chars > 500 AS api, doc_id % 3 = 0 AS config, quality = 1 AS flow"
 
 
-@_query(f"WITH f AS (SELECT doc_id, {_FLAGS} FROM documents JOIN labels USING (doc_id)) SELECT doc_id, 'version' || CASE WHEN api AND config AND flow THEN '_api_configuration_dataflow' WHEN api AND flow THEN '_api_dataflow' WHEN api AND config THEN '_api_configuration' WHEN api THEN '_api' ELSE '_only' END AS detection_type FROM f")
+@query(f"WITH f AS (SELECT doc_id, {_FLAGS} FROM documents JOIN labels USING (doc_id)) SELECT doc_id, 'version' || CASE WHEN api AND config AND flow THEN '_api_configuration_dataflow' WHEN api AND flow THEN '_api_dataflow' WHEN api AND config THEN '_api_configuration' WHEN api THEN '_api' ELSE '_only' END AS detection_type FROM f")
 def detection_type(spark, d):
     rows = _t(spark, d, "documents").select("doc_id", "n_chars").join(_t(spark, d, "labels"), "doc_id")
     return rows.selectExpr("doc_id", *[x.strip() for x in _FLAGS.split(",")]).select("doc_id", evidence.detection_type(F.col("api"), F.col("config"), F.col("flow")).alias("detection_type"))
 
 
-@_query("SELECT doc_id, round(((n_chars > 500)::INT + (doc_id % 3 = 0)::INT + quality + toxic + (lang = 'en')::INT + (doc_id % 2)::INT + (n_chars > 2000)::INT + 1) / 8, 4) AS score FROM documents JOIN labels USING (doc_id)")
+@query("SELECT doc_id, round(((n_chars > 500)::INT + (doc_id % 3 = 0)::INT + quality + toxic + (lang = 'en')::INT + (doc_id % 2)::INT + (n_chars > 2000)::INT + 1) / 8, 4) AS score FROM documents JOIN labels USING (doc_id)")
 def usefulness_score(spark, d):
     rows = _t(spark, d, "documents").drop("text").join(_t(spark, d, "labels"), "doc_id")
     parts = [F.expr(x) for x in ("n_chars > 500", "doc_id % 3 = 0", "quality = 1", "toxic = 1", "lang = 'en'", "doc_id % 2 = 1", "n_chars > 2000", "true")]
     return rows.select("doc_id", evidence.usefulness(*parts).alias("score"))
 
 
-@_query("SELECT s_suppkey, topic, '# ' || topic || ': ' || s_name || chr(10) || chr(10) || CASE WHEN s_suppkey % 3 = 0 THEN '## Items' || chr(10) || chr(10) || '(none documented in source evidence)' ELSE '## Items' || chr(10) || chr(10) || '- ' || s_name || chr(10) || '- ' || topic END AS content FROM supplier, (VALUES ('Vulnerability overview'), ('Detection guidance'), ('Negative conditions'), ('Remediation guidance'), ('Patch evidence')) t(topic)")
-def kb_fanout(spark, d):
-    topics = F.explode(F.array(*map(F.lit, ("Vulnerability overview", "Detection guidance", "Negative conditions", "Remediation guidance", "Patch evidence")))).alias("topic")
-    rows = _t(spark, d, "supplier").select("s_suppkey", "s_name", topics)
-    items = F.when(F.col("s_suppkey") % 3 == 0, F.expr("CAST(array() AS array<string>)")).otherwise(F.array("s_name", "topic"))
-    return rows.select("s_suppkey", "topic", F.concat(F.lit("# "), "topic", F.lit(": "), "s_name", F.lit("\n\n"), text.list_section(F.lit("## Items"), items)).alias("content"))
-
-
-@_query("SELECT sha256(text) AS content_sha256, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text")
-def kb_dedup(spark, d):
-    return evidence.keep_first_content(_t(spark, d, "documents").select("doc_id", "text"), "text", "doc_id")
-
-
-@_query("SELECT doc_id, octet_length(encode(text))::BIGINT AS bytes, octet_length(encode(text)) > 32768 AS too_large FROM documents")
-def content_size_guard(spark, d):
-    size = F.octet_length("text").cast("bigint")
-    return _t(spark, d, "documents").select("doc_id", size.alias("bytes"), (size > 32768).alias("too_large"))
-
-
-@_query("SELECT conv_id, count(*) AS rows_with_id FROM conversations GROUP BY 1 HAVING count(*) > 1")
-def duplicate_ids(spark, d):
-    return _t(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("rows_with_id")).where("rows_with_id > 1")
-
-
-@_query("SELECT l_partkey AS alias, count(DISTINCT l_orderkey) AS canonicals, min(l_orderkey) AS least FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_orderkey) > 1")
-def alias_collisions(spark, d):
-    rows = _t(spark, d, "lineitem").select(F.col("l_partkey").alias("alias"), F.col("l_orderkey").alias("canonical"))
-    return rows.groupBy("alias").agg(F.count_distinct("canonical").alias("canonicals"), F.min("canonical").alias("least")).where("canonicals > 1")
-
-
-@_query("SELECT 'schema' AS check_name, 'order:' || o_orderkey AS record_id, 'status is not F or O' AS reason FROM orders WHERE o_orderstatus NOT IN ('F', 'O') UNION ALL SELECT 'range', 'line:' || l_orderkey || '/' || l_linenumber, 'discount over 0.09' FROM lineitem WHERE l_discount > 0.09 UNION ALL SELECT 'reference', 'order:' || l_orderkey, 'line without an order' FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))")
-def validation_findings(spark, d):
-    orders, lines_ = _t(spark, d, "orders"), _t(spark, d, "lineitem")
-    row = lambda check, key, reason: (F.lit(check).alias("check_name"), key.alias("record_id"), F.lit(reason).alias("reason"))
-    status = orders.where(~F.col("o_orderstatus").isin("F", "O")).select(*row("schema", F.concat(F.lit("order:"), "o_orderkey"), "status is not F or O"))
-    bounds = lines_.where("l_discount > 0.09").select(*row("range", F.concat(F.lit("line:"), "l_orderkey", F.lit("/"), "l_linenumber"), "discount over 0.09"))
-    lost = lines_.select("l_orderkey").distinct().join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").select(*row("reference", F.concat(F.lit("order:"), "l_orderkey"), "line without an order"))
-    return status.unionByName(bounds).unionByName(lost)
-
-
-@_query("SELECT (SELECT count(*) FROM orders) AS total_orders, (SELECT count(*) FROM lineitem) AS total_lines, (SELECT round(count(*) FILTER (o_orderstatus = 'F') / count(*), 6) FROM orders) AS filled_rate, (SELECT round(count(*) FILTER (l_returnflag = 'R') / count(*), 6) FROM lineitem) AS yanked_rate, (SELECT round(avg(quality), 6) FROM labels) AS average_quality")
-def pipeline_stats(spark, d):
-    one = _t(spark, d, "orders").agg(F.count("*").alias("total_orders"), evidence.ratio(F.count_if(F.col("o_orderstatus") == "F"), F.count("*")).alias("filled_rate"))
-    two = _t(spark, d, "lineitem").agg(F.count("*").alias("total_lines"), evidence.ratio(F.count_if(F.col("l_returnflag") == "R"), F.count("*")).alias("yanked_rate"))
-    three = _t(spark, d, "labels").agg(F.round(F.avg("quality"), 6).alias("average_quality"))
-    return one.crossJoin(two).crossJoin(three)
-
-
-@_query(f"WITH {_RESOLVED_SQL} SELECT o_orderkey, CASE WHEN list_contains(string_split(coalesce(l, ''), ','), '2.4') THEN 'yes' ELSE 'no' END AS affected, (o_custkey % 4 + 1) || '.' || (o_custkey % 7) AS fixed_version, coalesce(nullif(trim(o_orderpriority), ''), 'unknown') AS severity FROM orders LEFT JOIN hit ON ia = o_orderkey % 4 AND ib = o_orderkey % 12 AND fa = o_custkey % 4 + 1 AND fb = o_custkey % 7")
-def knowledge_query(spark, d):
-    affected = F.when(F.coalesce(F.array_contains(F.col("resolved.text"), "2.4"), F.lit(False)), "yes").otherwise("no")
-    return _orders_resolved(spark, d).select("o_orderkey", affected.alias("affected"), F.expr("concat(o_custkey % 4 + 1, '.', o_custkey % 7)").alias("fixed_version"), F.expr("coalesce(nullif(trim(o_orderpriority), ''), 'unknown')").alias("severity"))
-
-
-@_query("SELECT lang, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(DISTINCT source) AS n_sources FROM documents GROUP BY 1")
-def provenance_merge(spark, d):
-    found = _t(spark, d, "documents").groupBy("lang").agg(F.array_sort(F.collect_set("source")).alias("s"))
-    return found.select("lang", F.array_join("s", ",").alias("sources"), F.size("s").cast("bigint").alias("n_sources"))
-
-
-@_query("""SELECT n_nationkey, '{"name":"' || n_name || '","nationkey":' || n_nationkey || ',"region":' || CASE WHEN n_regionkey = 0 THEN 'null' ELSE '"' || r_name || '"' END || '}' AS line FROM nation JOIN region ON n_regionkey = r_regionkey""")
+@query("""SELECT n_nationkey, '{"name":"' || n_name || '","nationkey":' || n_nationkey || ',"region":' || CASE WHEN n_regionkey = 0 THEN 'null' ELSE '"' || r_name || '"' END || '}' AS line FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def canonical_jsonl(spark, d):
     rows = _t(spark, d, "nation").join(F.broadcast(_t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     return rows.select("n_nationkey", ident.canonical_json(region=F.when(F.col("n_regionkey") != 0, F.col("r_name")), name=F.col("n_name"), nationkey=F.col("n_nationkey")).alias("line"))
 
 
-@_query("SELECT source AS path, count(*) AS entries, sum(octet_length(encode(text)))::BIGINT AS bytes, sum(('0x' || substr(sha256(text), 1, 8))::BIGINT)::BIGINT AS checksum FROM documents GROUP BY 1")
-def manifest(spark, d):
-    # digests are added up, so a path of any size is combined before the shuffle
-    digest = F.conv(F.substring(F.sha2("text", 256), 1, 8), 16, 10).cast("bigint")
-    return _t(spark, d, "documents").groupBy(F.col("source").alias("path")).agg(F.count("*").alias("entries"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes"), F.sum(digest).alias("checksum"))
-
-
-@_query("SELECT event_type, count(*) AS n_events, count(DISTINCT event_id)::BIGINT AS n_ids FROM events GROUP BY 1")
+@query("SELECT event_type, count(*) AS n_events, count(DISTINCT event_id)::BIGINT AS n_ids FROM events GROUP BY 1")
 def stream_replay(spark, d):
     # event ids are unique, so their count is that of the rows with one
     return replay_counts(spark, d, "events.parquet", "event_type", F.count("*").alias("n_events"), F.count("event_id").alias("n_ids"))
+
+
+from sentrylake.plans import engine_queries  # noqa: E402, F401  (registers its queries)
