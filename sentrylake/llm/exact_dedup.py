@@ -9,8 +9,10 @@ different ones), never a digest alone:
    ``salts`` reducers that each get a row per batch, not a row per copy;
 3. the salt winners meet by (digest, content).
 
-A row then finds its group by digest. Should two contents share a digest, rows of all digests are
-joined by content instead (``_by_content``), which costs a shuffle of the content.
+A row then finds its group by digest; groups of more than a thousandth of the rows, so at most a
+thousand, are broadcast and their rows stay where they are (``join_hot``), so no group of copies meets
+in one task. Should two contents share a digest, rows of all digests are joined by content instead
+(``_by_content``), which costs a shuffle of the content.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentrylake.llm.arrays import byte_view
+from sentrylake.operators.ranking import join_hot
 from sentrylake.session import materialise
 
 _WINNERS = pa.schema([("digest", pa.binary()), ("content", pa.binary()), ("best", pa.int64()), ("n", pa.int64()), ("salt", pa.int32())])
@@ -85,7 +88,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = materialise(groups.select("digest", "keep_id", "group_size"), "exact-groups")
     if classes.groupBy("digest").count().where("count > 1").isEmpty():
         members = texts.mapInArrow(partial(_members, digest_bytes=digest_bytes), "doc_id bigint, digest binary, sha string")
-        joined = members.join(classes, "digest")
+        total = classes.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+        joined = join_hot(members, classes, "digest", "group_size", total)
     else:
         joined = _by_content(texts, groups)
     return joined.select(
@@ -103,7 +107,15 @@ def _by_content(texts: DataFrame, groups: DataFrame) -> DataFrame:
     return members.join(groups.select("content", "keep_id", "group_size"), "content")
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that a larger id with an equal text replaces."""
-    stays = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__stays")).distinct()
-    return docs.join(stays, docs[id_col].eqNullSafe(stays["__stays"]), "left_semi")
+    """``docs``, all columns, without the rows that a larger id with an equal text replaces.
+
+    A row stays by its id and its text together: of two texts under one id each is judged by itself.
+    Rows that repeat an id and a text all stay.
+    """
+    stays = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__stays"), F.col("text_sha256").alias("__sha")).distinct()
+    sha = F.sha2(F.translate(F.coalesce(docs[text_col].cast("string"), F.lit("")), _UPPER, _LOWER), 256)
+    return docs.join(stays, docs[id_col].eqNullSafe(stays["__stays"]) & (sha == stays["__sha"]), "left_semi")

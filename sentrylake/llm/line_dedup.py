@@ -7,7 +7,7 @@ stay at their first place (least document, then least line) and are removed else
 
 Chunks are compared by their whole text: the grouping key of the first pass is the text, combined
 before the shuffle, so a passage that a third of the corpus shares costs a row per task. Places
-then find their group by a 64-bit key; if two different texts share a key, places find their group by
+then find their group by a 64-bit key, the commonest by a bounded broadcast; if two different texts share a key, places find their group by
 text as well.
 
 Chunks miss most short passages: a boundary must fall inside both copies, and half of the supplied texts
@@ -21,6 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentrylake.operators.ranking import join_hot
 from sentrylake.session import materialise
 
 WINDOW, EVERY, BASE, MODULUS = 3, 4, 31, 1_000_003
@@ -58,10 +59,10 @@ def chunk_spans(lines: Column) -> Column:
 
 
 def _chunks(texts: DataFrame) -> DataFrame:
-    """(doc_id, start, n, chunk, key) of every chunk of two lines or more that is not blank."""
-    lined = texts.where("text IS NOT NULL").select("doc_id", F.split("text", "\n").alias("lines"))
+    """(doc_id, version, start, n, chunk, key) of every chunk of two lines or more that is not blank."""
+    lined = texts.where("text IS NOT NULL").select("doc_id", "version", F.split("text", "\n").alias("lines"))
     pieces = F.expr("transform(spans, s -> struct(s.start AS start, s.n AS n, if(s.n > 1, array_join(slice(lines, s.start + 1, s.n), '\n'), '') AS chunk))")
-    exploded = lined.withColumn("spans", chunk_spans(F.col("lines"))).select("doc_id", F.explode(pieces).alias("c")).select("doc_id", "c.*")
+    exploded = lined.withColumn("spans", chunk_spans(F.col("lines"))).select("doc_id", "version", F.explode(pieces).alias("c")).select("doc_id", "version", "c.*")
     return exploded.where("n > 1 AND chunk RLIKE '\\\\S'").withColumn("key", F.xxhash64("chunk"))
 
 
@@ -69,26 +70,30 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of ``docs``: all its columns but the text, n_lines, n_chunks, n_removed_lines, text (what is left).
 
     A null text stays null with no lines; an empty text is one empty line and stays. A text whose
-    lines all go becomes empty. Null ids come before any other. Rows that repeat an id and a text
-    are one document: they keep and lose the same lines. An empty table gives an empty result.
+    lines all go becomes empty. Texts of any length are cut whole. Null ids come before any other.
+    Rows that repeat an id and a text are one document: they keep and lose the same lines; texts
+    under one id are told apart. Equal passages at one place in the order keep the first. A column of
+    ``docs`` that has a counter's name stays as it is, and that counter is left out. An empty table
+    gives an empty result.
     """
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct(*others).alias("rest") if others else F.lit(None).alias("rest"))
-    chunks = _chunks(base.select("doc_id", "text"))
+    plain = F.col(text_col).cast("string")
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(plain).alias("version"), plain.alias("text"), F.struct(*others).alias("rest") if others else F.lit(None).alias("rest"))
+    chunks = _chunks(base.select("doc_id", "version", "text"))
     if key_bits < 64:
         chunks = chunks.withColumn("key", F.col("key") % F.lit(1 << key_bits))
-    place = F.struct("doc_id", "start")
+    place = F.struct("doc_id", "start", "version")
     by_text = chunks.groupBy("chunk").agg(F.first("key").alias("key"), F.min(place).alias("first"), F.count("*").alias("places"))
     groups = materialise(by_text.select("key", "first", "places"), "chunk-groups")
     if groups.groupBy("key").count().where("count > 1").isEmpty():
-        repeated = groups.where("places > 1").select("key", "first")
-        found = chunks.select("doc_id", "start", "key").join(repeated, "key")
+        repeated = materialise(groups.where("places > 1"), "chunk-repeats")
+        total = groups.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
+        found = join_hot(chunks.select("doc_id", "version", "start", "key"), repeated, "key", "places", total)
     else:
         repeated = by_text.where("places > 1").select("chunk", "first")
-        found = chunks.select("doc_id", "start", "key", "chunk").join(repeated, "chunk")
-    gone = found.where(~F.col("first").eqNullSafe(place)).groupBy("doc_id").agg(F.collect_set(F.struct("start", "key")).alias("gone"))
-    gone = gone.withColumnRenamed("doc_id", "gone_id")
-    joined = base.join(gone.hint("shuffle_hash"), base["doc_id"].eqNullSafe(gone["gone_id"]), "left")
+        found = chunks.select("doc_id", "version", "start", "key", "chunk").join(repeated, "chunk")
+    gone = found.where(~F.col("first").eqNullSafe(place)).groupBy(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.collect_set(F.struct("start", "key")).alias("gone"))
+    joined = base.join(gone, base["doc_id"].eqNullSafe(gone["gone_id"]) & (base["version"] == gone["gone_version"]), "left")
     lined = joined.select("doc_id", "rest", F.split("text", "\n").alias("lines"), F.coalesce("gone", F.expr("CAST(array() AS array<struct<start:int,key:bigint>>)")).alias("gone"))
     lined = lined.withColumn("spans", F.when(F.col("lines").isNotNull(), chunk_spans(F.col("lines"))))
     bits = f" % {1 << key_bits}L" if key_bits < 64 else ""
@@ -100,14 +105,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.expr("CASE WHEN size(gone) = 0 THEN array_join(lines, '\n') ELSE array_join(flatten(transform(stays, s -> slice(lines, s.start + 1, s.n))), '\n') END")
     n_lines = F.coalesce(F.array_size("lines"), F.lit(0)).cast("bigint")
     left = F.expr("CAST(aggregate(stays, 0, (a, s) -> a + s.n) AS bigint)")
-    return kept.select(
-        "doc_id",
-        *[F.col("rest")[c].alias(c) for c in others if c not in ("n_lines", "n_chunks", "n_removed_lines")],
-        n_lines.alias("n_lines"),
-        F.coalesce(F.array_size("spans"), F.lit(0)).cast("bigint").alias("n_chunks"),
-        (n_lines - F.coalesce(left, F.lit(0))).alias("n_removed_lines"),
-        text.alias("text"),
-    )
+    counters = {"n_lines": n_lines, "n_chunks": F.coalesce(F.array_size("spans"), F.lit(0)).cast("bigint"), "n_removed_lines": n_lines - F.coalesce(left, F.lit(0))}
+    return kept.select("doc_id", *[F.col("rest")[c].alias(c) for c in others], *[v.alias(c) for c, v in counters.items() if c not in others], text.alias("text"))
 
 
 def _pairs(texts: DataFrame) -> DataFrame:
@@ -119,8 +118,8 @@ def _pairs(texts: DataFrame) -> DataFrame:
     return lined.select("doc_id", "version", F.explode(pairs).alias("p")).select("doc_id", "version", "p.start", F.unhex(F.sha2("p.pair", 256)).alias("key"))
 
 
-def drop_repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: all its columns, the text without repeats, and n_removed_lines.
+def drop_repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counter: str = "n_removed_lines") -> DataFrame:
+    """One row per row of ``docs``: all its columns, the text without repeats, and ``counter`` (which docs must not have).
 
     Every two lines next to each other that are not both blank are compared, by SHA-256, with all
     others of the corpus; both lines go unless it is their first place (least document, then least
@@ -131,17 +130,18 @@ def drop_repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = _pairs(base.select(F.col(id_col).alias("doc_id"), F.col("__version").alias("version"), F.col(text_col).cast("string").alias("text")))
     place = F.struct("doc_id", "start", "version")
     groups = pairs.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("places"))
-    repeated = materialise(groups.where("places > 1").select("key", "first"), "pair-groups")
-    found = pairs.join(repeated, "key").where(~F.col("first").eqNullSafe(place))
+    repeated = materialise(groups.where("places > 1"), "pair-groups")
+    total = repeated.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
+    found = join_hot(pairs, repeated, "key", "places", total).where(~F.col("first").eqNullSafe(place))
     gone = found.groupBy(F.col("doc_id").alias("__gone_id"), F.col("version").alias("__gone_version")).agg(F.collect_set("start").alias("__gone"))
     same = base[id_col].eqNullSafe(gone["__gone_id"]) & (base["__version"] == gone["__gone_version"])
-    joined = base.join(gone.hint("shuffle_hash"), same, "left").withColumn("__lines", F.split(F.col(text_col).cast("string"), "\n"))
+    joined = base.join(gone, same, "left").withColumn("__lines", F.split(F.col(text_col).cast("string"), "\n"))
     stays = F.expr("array_except(sequence(0, size(__lines) - 1), flatten(transform(__gone, s -> array(s, s + 1))))")
     kept = joined.withColumn("__stays", F.when(F.col("__gone").isNotNull(), stays))
     left = F.expr("array_join(transform(__stays, i -> element_at(__lines, i + 1)), '\n')")
     text = F.when(F.col("__gone").isNull(), F.col(text_col).cast("string")).otherwise(left)
     removed = F.coalesce(F.size("__lines") - F.array_size("__stays"), F.lit(0)).cast("bigint")
-    return kept.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], removed.alias("n_removed_lines"))
+    return kept.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], removed.alias(counter))
 
 
 def line_report(docs: DataFrame) -> DataFrame:

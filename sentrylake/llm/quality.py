@@ -204,10 +204,14 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def train(stats: DataFrame, labels: DataFrame, label_col: str, most_rows: int = 20_000) -> Trees:
-    """Trees from labelled statistics: the most_rows ids of least hash; conflicting labels of an id count each."""
+    """Trees from labelled statistics: the most_rows ids of least hash; conflicting labels of an id count each.
+
+    An id that repeats stands by its least statistics, so the driver gets no more than most_rows rows.
+    """
     marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL").distinct()
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most_rows)
-    rows = sample.join(stats, "doc_id").select("doc_id", "label", "stats").orderBy("doc_id", "label", "stats").toPandas()
+    once = F.broadcast(sample).join(stats, "doc_id").groupBy("doc_id", "label").agg(F.min("stats").alias("stats"))
+    rows = once.orderBy("doc_id", "label").toPandas()
     x = np.stack(rows["stats"].to_numpy()) if len(rows) else np.zeros((0, len(FEATURES)), np.float32)
     return fit_trees(x, rows["label"].to_numpy(np.float64))
 

@@ -60,12 +60,12 @@ def _owners(data: np.ndarray, offsets: np.ndarray, window: int):
     return starts, ends, first, windows, place[windows], grams
 
 
-def _own(gram: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """What a document calls a gram that its own task saw twice."""
-    return mix(gram + mix(ids.astype(U64)) * U64(3))
+def _own(gram: np.ndarray, tids: np.ndarray) -> np.ndarray:
+    """What a text calls a gram that its own task saw twice."""
+    return mix(gram + mix(tids.astype(U64)) * U64(3))
 
 
-_ANCHORS = pa.schema([("name", pa.int64()), ("doc_id", pa.int64()), ("weight", pa.int32())])
+_ANCHORS = pa.schema([("name", pa.int64()), ("tid", pa.int64()), ("weight", pa.int32())])
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -85,9 +85,9 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
         single = counts[inverse] == 1
         twice = uniq[counts > 1]
         name = np.concatenate([gram[single], _own(gram[~single], doc[~single]), twice]).view(np.int64)
-        doc_id = pa.array(np.concatenate([doc[single], doc[~single], np.zeros(len(twice), np.int64)]), mask=np.arange(len(name)) >= len(gram))
+        owner = pa.array(np.concatenate([doc[single], doc[~single], np.zeros(len(twice), np.int64)]), mask=np.arange(len(name)) >= len(gram))
         weight = np.concatenate([np.ones(int(single.sum())), np.full(len(name) - int(single.sum()), 2)]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(name), doc_id, pa.array(weight)], schema=_ANCHORS)
+        yield pa.RecordBatch.from_arrays([pa.array(name), owner, pa.array(weight)], schema=_ANCHORS)
 
 
 #: kind 0: finished text (sha, n = words); 1: text with repeated grams; 2: segment; 3: repeats start..start+n.
@@ -128,7 +128,7 @@ def _segments(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                 cut = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
                 gram = grams[who[cut]]
                 known = np.array(names, np.int64).view(U64)
-                keep = np.isin(gram, known) | np.isin(_own(gram, np.full(len(gram), doc_id)), known)
+                keep = np.isin(gram, known) | np.isin(_own(gram, np.full(len(gram), tid)), known)
                 size = np.diff(np.append(cut, len(at)))
                 for g, s, n in zip(gram[keep].view(np.int64).tolist(), at[cut[keep]].tolist(), size[keep].tolist()):
                     body = b" ".join(words[s : s + n + window - 1])
@@ -224,11 +224,12 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
         raise ValueError("window must have five words or more")
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL_ID)).alias("doc_id"), F.xxhash64(text).alias("tid"), text.alias("text"))
-    names = texts.select("doc_id", "text").mapInArrow(partial(_anchors, window=window), "name bigint, doc_id bigint, weight int")
-    seen = names.withColumn("seen", F.sum("weight").over(Window.partitionBy("name"))).where("seen > 1 AND doc_id IS NOT NULL")
-    lists = seen.groupBy("doc_id").agg(F.collect_set("name").alias("names"))
-    joined = texts.join(lists.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "tid", "text", "names")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL_ID)).alias("doc_id"), F.xxhash64(F.col(id_col).cast("bigint"), text).alias("tid"), text.alias("text"))
+    # a text is known by the hash of its id and itself, so texts without an id are told apart
+    names = texts.select("tid", "text").mapInArrow(partial(_anchors, window=window), "name bigint, tid bigint, weight int")
+    seen = names.withColumn("seen", F.sum("weight").over(Window.partitionBy("name"))).where("seen > 1 AND tid IS NOT NULL")
+    lists = seen.groupBy("tid").agg(F.collect_set("name").alias("names"))
+    joined = texts.join(lists, "tid", "left").select("doc_id", "tid", "text", "names")
     parts = materialise(joined.mapInArrow(partial(_segments, window=window), _PARTS_DDL), "segments")
     segments = parts.where("kind = 2")
     common = segments.groupBy("name").count().where(F.col("count") > most_segments).select("name")
@@ -241,7 +242,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     repeats = repeats.unionByName(parts.where("kind = 3").select("doc_id", "tid", "start", "n"))
     spans = repeats.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     open_texts = parts.where("kind = 1").select("doc_id", "tid", "body")
-    covered = open_texts.join(spans.hint("shuffle_hash"), ["doc_id", "tid"], "left").select("doc_id", "body", "spans")
+    covered = open_texts.join(spans, ["doc_id", "tid"], "left").select("doc_id", "body", "spans")
     done = covered.mapInArrow(partial(_kept, window=window, with_text=with_text), "doc_id bigint, n_words bigint, n_removed bigint, kept binary, kept_sha256 string")
     whole = parts.where("kind = 0").select("doc_id", F.col("n").alias("n_words"), F.lit(0).cast("bigint").alias("n_removed"), F.lit(None).cast("binary").alias("kept"), F.decode("body", "UTF-8").alias("kept_sha256"))
     result = whole.unionByName(done).withColumn("doc_id", F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")))
