@@ -13,8 +13,11 @@ A text's words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; its set hold
    standard deviations before a link is lost.
 3. The ties' connected components are the clusters. The members' texts go to their cluster, each
    text once, and ``_verified`` computes exact Jaccard values on full sets there through an inverted
-   index, emitting a spanning forest of true links. A cluster over ``block_shingles`` is split into
-   blocks that meet in pairs, so a task holds about two blocks.
+   index, emitting a spanning forest of true links. A cluster over ``block_shingles`` is dealt to
+   blocks by hash and verified block by block; then one leader per block and group of linked members
+   meets the others. What is then linked throughout is finished, so a hot group of near copies costs
+   one pass. Of the rest (``_unsettled``) only cells of different groups meet, and only where their
+   sets' sizes allow a link.
 4. The links' components, with the copies of each set, are the result.
 """
 
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 
 from sentrylake.llm.arrays import LOWER, U64, gram_hashes, mix, slices, word_hashes, word_spans
 from sentrylake.operators.components import connected_components
+from sentrylake.operators.ranking import join_hot, running_total
 from sentrylake.session import materialise
 
 BUCKETS, BAND, MANTISSA = 128, 5, 10
@@ -309,31 +313,94 @@ def _verified(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) ->
         yield pa.RecordBatch.from_arrays([pa.array([t[k] for t in out], pa.int64()) for k in (0, 1)], schema=_TIES)
 
 
+def _links(texts: DataFrame, dealt: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(src, dst): true links among the texts that ``dealt`` (doc_id, pair) puts together."""
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    grouped = texts.join(dealt, "doc_id").select("pair", "doc_id", "text").repartition(parts, "pair").sortWithinPartitions("pair", "doc_id")
+    return grouped.mapInArrow(partial(_verified, shingle=shingle, percent=percent), "src bigint, dst bigint")
+
+
+def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with ``part``, the least member that links lead to."""
+    found = connected_components(links).withColumnRenamed("component", "part")
+    return members.join(found, "node", "left").withColumn("part", F.coalesce("part", "node"))
+
+
+def _settled(texts: DataFrame, members: DataFrame, shingle: int, percent: int, block_shingles: int) -> DataFrame:
+    """(src, dst) links of clusters that are larger than a block; members has node, component, n, blocks.
+
+    Exact: two members end in one component exactly if links lead from one to the other. Every pair of
+    members of different groups whose sizes allow a link meets; members of one group need not.
+    """
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    members = materialise(members.withColumn("block", block), "large-members")
+    inside = materialise(_links(texts, members.select(F.col("node").alias("doc_id"), F.xxhash64("component", "block").alias("pair")), shingle, percent), "block-links")
+    # one leader of each group of a block; leaders of a cluster meet in as few blocks as hold them
+    leaders = _grouped(members, inside).groupBy("component", "block", "part").agg(F.min_by(F.struct("node", "n"), "node").alias("l")).select("component", "l.*")
+    room = leaders.groupBy("component").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("rooms"))
+    met = leaders.join(room, "component").select(F.col("node").alias("doc_id"), F.xxhash64("component", F.lit(1), F.pmod(F.xxhash64("node", F.lit(1)), "rooms")).alias("pair"))
+    between = materialise(_links(texts, met, shingle, percent), "leader-links")
+    links = inside.unionByName(between)
+    rest = _unsettled(_grouped(members, links), percent, block_shingles)
+    return links.unionByName(_links(texts, rest, shingle, percent))
+
+
+def _unsettled(members: DataFrame, percent: int, block_shingles: int) -> DataFrame:
+    """(doc_id, pair): members of clusters that are not one group yet, once for each cell that theirs must meet.
+
+    A cell holds members of one large group, or of several small ones, of one class of sizes; sets that
+    may be linked differ by one class at most. Cells of one large group do not meet.
+    """
+    several = members.groupBy("component").agg(F.count_distinct("part").alias("groups")).where("groups > 1").select("component")
+    members = materialise(members.join(several, "component"), "unsettled")
+    loads = members.groupBy("component", "part").agg(F.sum("n").alias("load"))
+    small = F.col("load") <= block_shingles // 2
+    bins = loads.groupBy("component").agg(F.greatest(F.ceil(F.sum(F.when(small, F.col("load"))) / block_shingles), F.lit(1)).alias("bins"))
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent)))) if percent < 100 else F.col("n")
+    placed = members.drop("load").join(loads, ["component", "part"]).join(bins, "component").withColumn("size", size_class.cast("bigint"))
+    owner = F.when(~small, F.col("part"))
+    slot = F.when(small, F.pmod(F.xxhash64("part"), "bins")).otherwise(F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("load") / block_shingles)))
+    placed = placed.withColumn("owner", owner).withColumn("cell", F.xxhash64("component", "owner", slot.cast("bigint"), "size"))
+    placed = materialise(placed.select("node", "component", "owner", "size", "cell"), "cells")
+    cells = placed.select("component", "owner", "size", "cell").distinct()
+    other = cells.select("component", F.col("owner").alias("owner2"), F.col("size").alias("size2"), F.col("cell").alias("cell2"))
+    pairs = cells.join(other, "component").where("cell <= cell2 AND abs(size - size2) <= 1 AND (owner IS NULL OR owner2 IS NULL OR owner <> owner2)")
+    pairs = pairs.select("cell", "cell2", F.xxhash64("cell", "cell2").alias("pair"))
+    ends = pairs.select("cell", "pair").unionByName(pairs.select(F.col("cell2").alias("cell"), "pair")).distinct()
+    return placed.select(F.col("node").alias("doc_id"), "cell").join(ends, "cell").select("doc_id", "pair")
+
+
 def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_shingles: int = 4_000_000, most_members: int = 10_000) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
     A text that is null or has no word has the empty set and is linked with nothing. component_id is
-    the least id reachable through links; kept marks it. Rows that repeat an id are one document for
-    links (any of its texts links it) and one row each in the result. Rows with a null id are left
-    alone: no links, component null, kept true. An empty table gives an empty result.
+    the least id reachable through links; kept marks it. Rows that repeat an id are one document: any
+    of its texts links it, and its rows that have words share one component. Rows with a null id are
+    left alone: no links, component null, kept true. Texts of any length are read whole; equal texts
+    are one set; other columns are ignored whatever their names. An empty table gives an empty result.
 
     ``most_members`` and ``block_shingles`` bound what a task holds, not what is found: a band with more
     members ties all of them to its first without estimates, a cluster with more shingles is verified
-    in pairs of blocks.
+    in blocks (``_settled``).
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketches = materialise(texts.mapInArrow(partial(_sketch, shingle=shingle), _SKETCH_DDL), "sketches")
     known = sketches.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     # equal sets: the least id stands for all
-    classes = materialise(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "set-classes")
+    classes = materialise(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies")), "set-classes")
+    # an id of several texts is no name for one set
+    again = known.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
+    if not again.isEmpty():
+        return _apart(docs, shingle, percent, id_col, text_col, block_shingles, most_members)
     reps = classes.select(F.col("rep").alias("doc_id"), "n", "sketch")
     # sets of so few shingles are linked to equal ones only
     least = next(k for k in range(1, 1000) if 100 * (k - 1) >= percent * k) if percent < 100 else None
     big = reps.where(F.col("n") >= (least - 1 if least else 1 << 60))
     banded = big.select("doc_id", "sketch").mapInArrow(_bands, "band bigint, doc_id bigint")
     shared = banded.groupBy("band").agg(F.count("*").alias("c"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("band", "c", "lo")
-    meet = banded.join(shared, "band")
+    shared = materialise(shared, "shared-bands")
+    meet = join_hot(banded, shared, "band", "c", BANDS * classes.count())
     wide = F.col("c") > most_members
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     placed = meet.where(~wide).join(big, "doc_id").select("band", "doc_id", "n", "sketch")
@@ -343,38 +410,63 @@ def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col
     ties = ordered.mapInArrow(partial(_tied, least=percent / 100 - 7 * spread), "src bigint, dst bigint")
     ties = ties.unionByName(meet.where(wide & (F.col("doc_id") != F.col("lo"))).select(F.col("doc_id").alias("src"), F.col("lo").alias("dst")))
     clusters = connected_components(ties)
-    members = clusters.join(reps.select(F.col("doc_id").alias("node"), "n"), "node")
-    # clusters of more than a block are few; their members are dealt by hash, the others stay where they are
-    large = materialise(members.groupBy("component").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks")).where("blocks > 1"), "large-clusters")
-    many = large.count()
-    if many:
-        members = members.join(F.broadcast(large) if many <= 100_000 else large, "component", "left")
-    members = members.withColumn("blocks", F.coalesce("blocks", F.lit(1)) if many else F.lit(1))
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = members.select("node", "component", "block", "blocks", other)
-    # a block meets itself in the pair with its neighbour; a cluster of one block is one pair
-    dealt = dealt.where("blocks = 1 OR other <> block").select(
-        F.col("node").alias("doc_id"), F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("pair")
-    )
-    held = texts.join(dealt, "doc_id").select("pair", "doc_id", "text")
-    grouped = held.repartition(parts, "pair").sortWithinPartitions("pair", "doc_id")
-    links = grouped.mapInArrow(partial(_verified, shingle=shingle, percent=percent), "src bigint, dst bigint")
+    members = materialise(clusters.join(reps.select(F.col("doc_id").alias("node"), "n"), "node"), "members")
+    blocks = members.groupBy("component").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
+    large = materialise(blocks.where("blocks > 1"), "large-clusters")
+    alone = members.join(large, "component", "left_anti")
+    links = _links(texts, alone.select(F.col("node").alias("doc_id"), F.xxhash64("component").alias("pair")), shingle, percent)
+    if not large.isEmpty():
+        links = links.unionByName(_settled(texts, members.join(large, "component"), shingle, percent, block_shingles))
+    return _named(sketches, classes, links)
+
+
+def _named(sketches: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every sketched row, from the links between classes."""
     found = connected_components(links)
-    named = classes.select("digest", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component_id")
-    )
-    joined = sketches.select("doc_id", "n", "digest").join(named, "digest", "left")
+    named = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", "copies", F.coalesce("component", "rep").alias("component_id"))
+    named = materialise(named, "named-classes")
+    total = named.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    rows = sketches.select("doc_id", "n", "digest")
+    joined = join_hot(rows.where("digest IS NOT NULL"), named, "digest", "copies", total, "left").select("doc_id", "n", "component_id")
+    joined = joined.unionByName(rows.where("digest IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id")))
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("bigint")).otherwise(F.coalesce("component_id", "doc_id"))
-    return joined.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-    )
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _apart(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, block_shingles: int, most_members: int) -> DataFrame:
+    """The way for tables in which an id has several texts: each (id, text) is a document, then ids link theirs.
+
+    Distinct (id, text) rows are numbered in order of id, so the least number stands for the least id.
+    """
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    pairs = texts.where("doc_id IS NOT NULL").select("doc_id", mark.alias("mark")).distinct()
+    numbers = materialise(running_total(pairs, F.lit(1), "doc_id", "mark").select("doc_id", "mark", F.col("total").alias("number")), "numbers")
+    once = texts.where("doc_id IS NOT NULL").withColumn("mark", mark).dropDuplicates(["doc_id", "mark"]).join(numbers, ["doc_id", "mark"])
+    made = materialise(near_components(once.select("number", "text"), shingle, percent, "number", "text", block_shingles, most_members), "numbered").withColumnRenamed("doc_id", "number")
+    full = made.join(numbers, "number")
+    edges = full.where("n_shingles > 0").select(F.col("number").alias("src"), F.col("component_id").alias("dst"))
+    ids = full.where("n_shingles > 0").groupBy("doc_id").agg(F.min("number").alias("dst"))
+    edges = edges.unionByName(full.where("n_shingles > 0").select("doc_id", "number").join(ids, "doc_id").select(F.col("number").alias("src"), "dst"))
+    found = connected_components(edges)
+    least = found.join(numbers.select(F.col("number").alias("component"), F.col("doc_id").alias("least")), "component").select(F.col("node").alias("number"), "least")
+    told = full.join(least, "number", "left").select("doc_id", "mark", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    rows = texts.withColumn("mark", mark)
+    joined = rows.where("doc_id IS NOT NULL").select("doc_id", "mark").join(told, ["doc_id", "mark"])
+    lost = sketch_sizes(rows.where("doc_id IS NULL"), shingle).select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
+    out = joined.select("doc_id", "n_shingles", "component_id").unionByName(lost)
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def sketch_sizes(texts: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, n): how many distinct shingles each text has."""
+    return texts.select("doc_id", "text").mapInArrow(partial(_sketch, shingle=shingle), _SKETCH_DDL).select("doc_id", "n")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose document stands for its component (its least id)."""
-    stays = near_components(docs, shingle, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("__stays")).distinct()
-    return docs.join(stays.hint("shuffle_hash"), docs[id_col].eqNullSafe(stays["__stays"]), "left_semi")
+    """The rows of ``docs``, all columns, whose document stands for its component (its least id).
+
+    An id goes with all its rows if it is not the least of its component; rows without an id stay.
+    """
+    goes = near_components(docs, shingle, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__goes")).distinct()
+    return docs.join(goes, docs[id_col] == goes["__goes"], "left_anti")

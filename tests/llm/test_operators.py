@@ -75,6 +75,8 @@ def test_exact(docs, none):
             best = max((i for i in groups[text] if i is not None), default=None)
             assert (r.keep_id, r.group_size, r.kept) == (best, len(groups[text]), r.doc_id == best)
     assert exact_dedup.exact_groups(none).count() == 0
+    two = docs.sparkSession.createDataFrame([(1, "a same"), (1, "b other"), (2, "A SAME"), (None, "c"), (3, None)], "doc_id bigint, text string")
+    assert sorted(map(str, exact_dedup.deduplicate(two).collect())) == sorted(["Row(doc_id=1, text='b other')", "Row(doc_id=2, text='A SAME')", "Row(doc_id=None, text='c')", "Row(doc_id=3, text=None)"])
 
 
 def test_shards(spark, docs, none):
@@ -216,7 +218,7 @@ def test_near(spark, docs, none):
                 x, y = root(a), root(b)
                 up[max(x, y)] = min(x, y)
     frame = spark.createDataFrame([*rows, (None, None), (None, rows[0][1])], "doc_id bigint, text string").withColumn("band", F.lit(1))
-    # small blocks: clusters are verified by pairs of blocks; few members: wide bands tie without estimates
+    # small blocks: clusters are verified in blocks; few members: wide bands tie without estimates
     for block, most in ((4_000_000, 10_000), (500, 10_000), (500, 1)):
         got = near_dedup.near_components(frame, block_shingles=block, most_members=most).collect()
         assert Counter(tuple(r) for r in got if r.doc_id is not None) == Counter((i, len(sets[i]), root(i), root(i) == i) for i, _ in rows)
@@ -225,6 +227,59 @@ def test_near(spark, docs, none):
     assert near_dedup.keep_one(docs).columns == docs.columns
 
 
+def test_near_large_clusters(spark):
+    """One cluster of many blocks that holds several groups, among them sets of very different sizes, against union-find."""
+    base, rows = words(400, 30), []
+    for g in range(4):
+        own = words(60 + 40 * g, 40 + g)
+        rows += [(1000 * g + k, " ".join(base[:300] + own[: len(own) - k % 6] + words(k % 6, 900 + k))) for k in range(25)]
+    rows += [(9000 + k, " ".join(base[:300] + words(90, 700 + k))) for k in range(12)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    forest = near_dedup.Forest(len(rows))
+    names = [i for i, _ in rows]
+    for x, a in enumerate(names):
+        for y in range(x):
+            if 100 * len(sets[a] & sets[names[y]]) >= 85 * len(sets[a] | sets[names[y]]):
+                forest.join(x, y)
+    want = {i: min(names[y] for y in range(len(names)) if forest.root(y) == forest.root(x)) for x, i in enumerate(names)}
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for block in (1_000, 3_000, 12_000):
+        got = {r.doc_id: r.component_id for r in near_dedup.near_components(frame, block_shingles=block, most_members=1).collect()}
+        assert got == want
+
+
+def test_near_repeated_ids(spark):
+    """Two texts under one id are one document: what either is linked with shares its component, and goes or stays with it."""
+    a, b, c = (" ".join(words(40, 60 + k)) for k in range(3))
+    rows = [(5, a), (5, b), (1, a), (9, b), (7, c), (7, c), (8, c), (6, None), (6, a), (None, a)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_components(frame).collect())
+    assert got == Counter({(5, 36, 1, False): 2, (1, 36, 1, True): 1, (9, 36, 1, False): 1, (7, 36, 7, True): 2, (8, 36, 7, False): 1, (6, 0, 6, True): 1, (6, 36, 1, False): 1, (None, 36, None, True): 1})
+    assert sorted(str(r.doc_id) for r in near_dedup.keep_one(frame).collect()) == ["1", "7", "7", "None"]
+
+
+@pytest.mark.parametrize("size", [30, 70, 300, 3000])
+def test_band_recall(size):
+    """Pairs at a similarity just over 0.85, short to long, with sets of equal and unequal size: the share that is tied."""
+    rng, tied, pairs = np.random.default_rng(size), 0, 200
+    for k in range(pairs):
+        pool = near_dedup.mix(rng.integers(0, 1 << 62, 2 * size).astype(np.uint64))
+        if k % 2:  # one set within the other
+            one, two = pool[:size], pool[: -(-85 * size // 100)]
+        else:
+            shared = -(-170 * size // 185)
+            one, two = pool[:size], np.concatenate([pool[:shared], pool[size : 2 * size - shared]])
+        sets = [np.unique(one), np.unique(two)]
+        assert 100 * len(np.intersect1d(*sets)) >= 85 * len(np.union1d(*sets))
+        regs = near_dedup.registers(sets)
+        bands = regs[:, near_dedup._ORDER].reshape(2, near_dedup.BANDS, near_dedup.BAND)
+        meets = (bands[0] == bands[1]).all(1).any()
+        spread = (0.85 * 0.15 / near_dedup._SMALL) ** 0.5
+        ties = near_dedup.band_ties(np.array([1, 2]), regs, np.array([len(x) for x in sets]), 0.85 - 7 * spread)
+        tied += bool(meets and ties)
+    assert tied >= 0.99 * pairs
+
+
 def test_spanning_links():
     rng = np.random.default_rng(5)
     for sizes, pool in (((5, 40), 60), ((1, 4), 900), ((90, 100), 104)):  # crowded, sparse, near copies
