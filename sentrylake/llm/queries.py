@@ -109,18 +109,21 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 def _op4_sql() -> str:
-    """Sentences matched one by one in SQL; the rules are walked over (position, identifier) rows."""
-    case = " ".join(f"WHEN regexp_full_match(n, '{pattern}') THEN '{name}'" for name, pattern in license_scan.SENTENCES)
+    """Sentences matched one by one in SQL; the rules are walked over (position, identifier) rows, a gap where a position is missing."""
+    case = " ".join(f"WHEN regexp_full_match(n, '{pattern}') THEN '{name}'" for name, pattern in license_scan.SENTENCES + tuple((license_scan._FILLER, x) for x in license_scan.FILLERS))
+    known = ", ".join(f"('{text}', '{name}')" for text, name in sorted(license_scan.DICTIONARY.items()))
     values = ", ".join(f"({k}, '{name}', '{kind}', [{', '.join(repr(x) for x in seq)}])" for k, (name, kind, seq) in enumerate(license_scan.RULES))
     dot = "regexp_replace(regexp_replace(lower(s), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g'), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g')"
     return rf"""
 WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?;])[\s\x0B]+', '\1' || chr(10), 'g'), '[\n\r]+'), lambda x: trim(x) <> '') AS l FROM documents),
 sent AS (SELECT doc_id, unnest(l) AS s, unnest(generate_series(1, len(l))) AS i FROM cut),
 norm AS (SELECT doc_id, i, trim(regexp_replace(replace(replace({dot}, '.', ' '), chr(1), '.'), '[^\p{{L}}\p{{N}}.]+', ' ', 'g')) AS n FROM sent WHERE regexp_matches(s, '{license_scan.TRIGGER}')),
-ids AS (SELECT doc_id, i, id FROM (SELECT doc_id, i, CASE {case} END AS id FROM norm) WHERE id IS NOT NULL),
-seqs AS (SELECT doc_id, list(id ORDER BY i) AS q FROM ids GROUP BY doc_id),
+known(n, id) AS (VALUES {known}),
+told AS (SELECT doc_id, i, coalesce(known.id, CASE {case} END) AS id FROM norm LEFT JOIN known USING (n)),
+ids AS (SELECT * FROM (SELECT doc_id, i, id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos FROM sent LEFT JOIN told USING (doc_id, i) WHERE id IS DISTINCT FROM '{license_scan._FILLER}' AND regexp_matches(s, '[\p{{L}}\p{{N}}]')) WHERE id IS NOT NULL),
+seqs AS (SELECT doc_id, list(id ORDER BY i) AS q, list(pos ORDER BY i) AS ps FROM ids GROUP BY doc_id),
 rules(k, name, kind, seq) AS (VALUES {values}),
-long_hits AS (SELECT doc_id, k, name, kind, p, len(seq) AS n FROM (SELECT doc_id, q, unnest(generate_series(1, len(q))) AS p FROM seqs) JOIN rules ON len(seq) > 1 AND list_slice(q, p, p + len(seq) - 1) = seq),
+long_hits AS (SELECT doc_id, k, name, kind, p, len(seq) AS n FROM (SELECT doc_id, q, ps, unnest(generate_series(1, len(q))) AS p FROM seqs) JOIN rules ON len(seq) > 1 AND list_slice(q, p, p + len(seq) - 1) = seq AND ps[p + len(seq) - 1] - ps[p] = len(seq) - 1),
 long_used AS (SELECT * FROM long_hits h WHERE NOT EXISTS (SELECT 1 FROM long_hits g WHERE g.doc_id = h.doc_id AND g.k < h.k AND g.p < h.p + h.n AND h.p < g.p + g.n)),
 free AS (SELECT doc_id, q[p] AS id FROM (SELECT doc_id, q, unnest(generate_series(1, len(q))) AS p FROM seqs) x WHERE NOT EXISTS (SELECT 1 FROM long_used u WHERE u.doc_id = x.doc_id AND x.p BETWEEN u.p AND u.p + u.n - 1)),
 hits AS (SELECT doc_id, k, name, kind FROM long_used UNION SELECT doc_id, k, name, kind FROM free JOIN rules ON len(seq) = 1 AND seq[1] = id),

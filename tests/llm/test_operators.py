@@ -114,9 +114,11 @@ def test_decontamination(spark, docs, none):
         want[i, t] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
     got = decontamination.contamination_report(docs, bench).collect()
     assert Counter((r.doc_id, *r[1:]) for r in map(tuple_of, got)) == Counter((i, *want[i, t]) for i, t in corpus())
-    small = decontamination.scan(docs, bench, block_bytes=10).select("doc_id", "n_words", "items").collect()
-    whole = decontamination.scan(docs, bench).select("doc_id", "n_words", "items").collect()
-    assert Counter(map(str, small)) == Counter(map(str, whole))
+    with pytest.raises(ValueError):
+        decontamination.scan(docs, bench, most_bytes=10)
+    for kind in ("smallint", "decimal(20,0)", "string"):
+        typed = decontamination.scan(docs.withColumn("doc_id", F.col("doc_id").cast(kind)), bench)
+        assert typed.schema["doc_id"].dataType.simpleString() == kind and typed.where("size(spans) > 0").count() == sum(v[4] for v in (want[i, t] for i, t in corpus()))
     spans = decontamination.scan(docs, bench).where("doc_id = 54").select("spans").first().spans
     text = unique(corpus())[54]
     assert all(text[s.start : s.end].split()[0] == WORD.findall(text)[s.first_word] for s in spans) and spans
@@ -126,6 +128,43 @@ def test_decontamination(spark, docs, none):
     assert decontamination.contamination_report(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_automaton_equals_brute_force(monkeypatch):
+    """Hits of every pattern, short ones within long ones, overlapping ones, over segments of any size; a word of the text
+    that only shares a benchmark word's hash is no hit."""
+    rng, real = np.random.default_rng(3), decontamination.word_hashes
+    fake = lambda data, a, b: np.array([int(h) if bytes(data[x:y]) != b"zz" else int(real(np.frombuffer(b"aa", np.uint8), np.array([0]), np.array([2]))[0]) for h, x, y in zip(real(data, a, b), a, b)], np.uint64)
+    for window, segment, collide in ((4, 3, False), (10, 64, False), (3, 5, True), (1, 4, False)):
+        monkeypatch.setattr(decontamination, "_SEGMENT", segment)
+        monkeypatch.setattr(decontamination, "word_hashes", fake if collide else real)
+        pool = ["aa", "b", "Cc", "d9", "\u00e9", "ff"]
+        items = [(str(k), " ".join(pool[j] for j in rng.integers(0, 6, rng.integers(1, 14))).encode()) for k in range(30)] + [("x", b""), ("y", b"--")]
+        texts = ["; ".join(pool[j] for j in rng.integers(0, 6, size)) + " zz aa" * (size % 5) for size in (0, 1, 5, 40, 200, 777)]
+        made = decontamination.build_automaton(items, window)
+        raw = "".join(texts).encode()
+        offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+        data, starts, ends, first = decontamination._read(np.frombuffer(raw, np.uint8), offsets)
+        last, node = decontamination._found(made, data, starts, ends, first)
+        got = {(int(e), int(made.length[v])) for e, v in zip(last, node)}
+        word = [bytes(data[a:b]) for a, b in zip(starts, ends)]
+        want = set()
+        for _, item in items:
+            w = item.translate(decontamination._TABLE).split()
+            n = min(window, len(w))
+            for k in range(len(w) - n + 1 if n else 0):
+                for lo, hi in zip(first[:-1], first[1:]):
+                    want |= {(at + n - 1, n) for at in range(lo, hi - n + 1) if word[at : at + n] == w[k : k + n]}
+        assert got == want and len(last) == len(got)
+
+
+def test_automaton_size():
+    """Bytes for each word of a benchmark of a million words are as stated."""
+    rng = np.random.default_rng(6)
+    text = " ".join(f"w{j}" for j in rng.integers(0, 50_000, 300_000)).encode()
+    made = decontamination.build_automaton([("1", text)], 10)
+    held = sum(getattr(made, c).nbytes for c in ("edges", "fail", "length"))
+    assert held <= 140 * 300_000 and made.link is None
+
+
 class tuple_of(tuple):
     doc_id = property(lambda self: self[0])
 
@@ -355,6 +394,25 @@ def test_licences(docs, none):
     assert (row.n_sentences, row.licences, row.categories, row.restricted) == (5, "Apache-2.0,Proprietary", "permissive,restricted", True)
 
 
+def test_licence_gaps(spark):
+    """A rule's sentences stand next to each other: others between them part them, the fillers of a notice do not."""
+    rows = [
+        (1, "Copyright 2020 Jane.\nAll rights reserved.", "copyright,all-rights-reserved", 1),
+        (2, "Permission is hereby granted, free of charge, to any person obtaining a copy.\nThe above copyright notice and this permission notice shall be included in all copies.\nThe software is provided as is, without warranty of any kind.", "mit-permission,mit-asis", 1),
+        (3, "Licensed under the Apache License, Version 2.0.\nSomething else.\nYou may not use this file except in compliance with the License.", "apache-2.0-grant,apache-2.0-use", 1),
+    ]
+    got = {r.doc_id: r for r in license_scan.scan_licences(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")).collect()}
+    assert all(",".join(got[i].sentence_ids) == ids and len(got[i].licences) == n for i, _, ids, n in rows)
+    apart = [(4, "Copyright 2020 Jane.\nShe sells shells.\nThey are nice.\nAll rights reserved."), (5, "Copyright 2020 Jane.\n\n  \nAll rights reserved.")]
+    used = license_scan.RULES
+    try:
+        license_scan.RULES = (("Both", "restricted", ("copyright", "all-rights-reserved")),)
+        found = {r.doc_id: r.licences for r in license_scan.scan_licences(spark.createDataFrame(apart, "doc_id bigint, text string")).collect()}
+    finally:
+        license_scan.RULES = used
+    assert found == {4: [], 5: ["Both"]}
+
+
 APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
 you may not use this file except in compliance with the License.
 You may obtain a copy of the License at
@@ -398,6 +456,8 @@ NOTICES = [
     (APACHE, "Apache-2.0"), (MIT, "MIT"), (GPL3, "GPL"), (GPL3.replace("software:", "software;"), "GPL"), (LGPL, "LGPL"), (MPL, "MPL-2.0"), (BSD, "BSD"),
     (CC.format(""), "CC-BY-4.0"), (CC.format("-NonCommercial"), "CC-BY-NC-4.0"), (CC.format("-ShareAlike"), "CC-BY-SA-4.0"), (CC.format("-NoDerivatives"), ""), (CC0, "CC0-1.0"),
     ("SPDX-License-Identifier: MIT", "MIT"), ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("All rights\nreserved.", "Proprietary"),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007", "AGPL-3.0"), ("SPDX-License-Identifier: ISC", "ISC"), ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"), ("The MIT License (MIT)", "MIT"), ("BSD 3-Clause License", "BSD-3-Clause"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.", "ISC"), ("This is free and unencumbered software released into the public domain.", "Unlicense"),
     ("It is not licensed under the\nMIT License.", ""), ("He spoke as is\nhis habit with permission", ""),
 ]
 
