@@ -99,10 +99,10 @@ def test_refusals(tmp_path):
 
 
 def test_retry_after(spark):
-    given = ["7", " 12 ", "-1", "soon", None, "Thu, 01 Jan 2026 00:00:09 GMT", "Wed, 31 Dec 2025 23:59:00 GMT"]
+    given = ["7", " 12 ", "-1", "soon", None, "1.5", "+3", "1e2", "Thu, 01 Jan 2026 00:00:09 GMT", "Wed, 31 Dec 2025 23:59:00 GMT"]
     rows = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, g string")
     got = rows.select("i", landing.retry_after_seconds(F.col("g"), F.lit("2026-01-01 00:00:00").cast("timestamp")).alias("s")).orderBy("i").collect()
-    assert [r.s for r in got] == [7.0, 12.0, None, None, None, 9.0, 0.0]
+    assert [r.s for r in got] == [7.0, 12.0, None, None, None, None, 3.0, None, 9.0, 0.0]
 
 
 def test_settings(tmp_path, monkeypatch):
