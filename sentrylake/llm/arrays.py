@@ -19,7 +19,7 @@ _POLY = U64(0x9E3779B97F4A7C15)
 _POWERS = np.multiply.accumulate(np.concatenate([np.ones(1, U64), np.full(255, _POLY, U64)]))
 
 #: Bytes of text handled at once; a longer single text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def powers(n: int) -> np.ndarray:
