@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sentrylake.operators.ranking import join_hot
+from sentrylake.operators.ranking import NARROW_ROWS, join_hot
 from sentrylake.session import materialise
 
 
@@ -22,8 +22,8 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
     Alternates the two star contractions: first every node hands its larger neighbours to its least
     neighbour, then every node hands its smaller ones to it. Each round is two aggregations, combined
     before the shuffle, and two joins on the node; nodes of more than a thousandth of the edges, so at
-    most a thousand, are broadcast (``join_hot``) and their edges stay where they are, so no hub is
-    gathered in one task. The edge set is written to the shared folder each round; it shrinks to a star
+    most a thousand, are broadcast (``join_hot``) and their edges stay where they are, so no hub of more
+    than NARROW_ROWS edges is gathered in one task. The edge set is written to the shared folder each round; it shrinks to a star
     per component.
     Rows with a null end and self-loops add nodes but no links. Nodes may be numbers or strings.
     """
@@ -43,12 +43,12 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
             work.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         degree = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("c"))
-        met = join_hot(sym.where("v > u"), degree, "u", "c", 2 * before[0])
+        met = join_hot(sym.where("v > u"), degree, "u", "c", 2 * before[0], bound=NARROW_ROWS)
         large = met.where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         # small star: u and its smaller neighbours are handed to the least of them
         down = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("c"))
         small = (
-            join_hot(large, down, "hi", "c", before[0])
+            join_hot(large, down, "hi", "c", before[0], bound=NARROW_ROWS)
             .select(F.explode(F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
             .select("e.*")
             .where("hi <> lo")

@@ -9,6 +9,10 @@ from sentrylake.session import materialise
 
 #: Keys with more than one row in so many are hot: there are never more hot keys than this.
 HOT_KEYS = 1000
+#: So many narrow rows of one key may meet in a task.
+NARROW_ROWS = 100_000
+#: A table of at most so many rows, which are narrow, may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def running_total(rows: DataFrame, weight: Column, *order: str) -> DataFrame:
@@ -26,14 +30,22 @@ def running_total(rows: DataFrame, weight: Column, *order: str) -> DataFrame:
     return placed.withColumn("total", local).join(F.broadcast(offsets), "__p").withColumn("total", F.col("total") + F.col("__before")).drop("__p", "__w", "__before")
 
 
-def join_hot(rows: DataFrame, table: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
+def join_hot(rows: DataFrame, table: DataFrame, key: str, count: str, total: int, how: str = "inner", bound: int = 0) -> DataFrame:
     """``rows`` joined to ``table``, which has one row a key, and in ``count`` how many of ``rows`` have it.
 
     Keys of more than one row in HOT_KEYS (of ``total``) are broadcast, at most HOT_KEYS of them whatever
     the input; their rows stay where they are. The other keys' rows are shuffled, and none fills a task.
     ``rows`` is read twice. How: inner, or left (rows with a null key are met like keys of no match).
+    Of at most ``bound`` rows in all no key can fill a task, and a plain join is made.
     """
+    if total <= bound:
+        return rows.join(table, key, how)
     hot = table.where(F.col(count) * HOT_KEYS > total)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
     near = rows.join(F.broadcast(hot), key)
     return near.unionByName(rest.join(table.where(F.col(count) * HOT_KEYS <= total), key, how))
+
+
+def if_small(table: DataFrame) -> DataFrame:
+    """``table``, marked to be broadcast where it has been counted to be small; it should be written out before."""
+    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table

@@ -156,6 +156,17 @@ def test_running_total_and_hot_joins(spark):
     table = many.groupBy("k").agg(F.count("*").alias("c")).where("k IS NOT NULL AND (k = 1 OR k % 2 = 0)")
     assert ranking.join_hot(many, table, "k", "c", 5000).count() == 3000 + 500
     assert ranking.join_hot(many, table, "k", "c", 5000, "left").where("c IS NULL").count() == 1500
+    assert ranking.join_hot(many, table, "k", "c", 5000, "left", bound=5000).where("c IS NULL").count() == 1500
+
+
+def test_components_of_a_hub(spark, monkeypatch):
+    """A star over half of the nodes, chains on it and loose pairs, with hubs broadcast from the first round on."""
+    from sentrylake.operators import components
+
+    monkeypatch.setattr(components, "NARROW_ROWS", 0)
+    edges = [(500, k) for k in range(501, 1500)] + [(k, k + 2000) for k in range(600, 700)] + [(9000, 9001), (9001, 9002), (7, 500)]
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()}
+    assert got == {n: (9000 if n >= 9000 else 7) for e in edges for n in e}
 
 
 def test_request_headers_are_bounded(tmp_path, caplog):
