@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentrylake.operators.ranking import join_hot
+from sentrylake.operators.ranking import if_small, join_hot
 from sentrylake.session import materialise
 
 WINDOW, EVERY, BASE, MODULUS = 3, 4, 31, 1_000_003
@@ -93,6 +93,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         repeated = by_text.where("places > 1").select("chunk", "first")
         found = chunks.select("doc_id", "version", "start", "key", "chunk").join(repeated, "chunk")
     gone = found.where(~F.col("first").eqNullSafe(place)).groupBy(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.collect_set(F.struct("start", "key")).alias("gone"))
+    gone = if_small(materialise(gone, "chunks-gone"))
     joined = base.join(gone, base["doc_id"].eqNullSafe(gone["gone_id"]) & (base["version"] == gone["gone_version"]), "left")
     lined = joined.select("doc_id", "rest", F.split("text", "\n").alias("lines"), F.coalesce("gone", F.expr("CAST(array() AS array<struct<start:int,key:bigint>>)")).alias("gone"))
     lined = lined.withColumn("spans", F.when(F.col("lines").isNotNull(), chunk_spans(F.col("lines"))))
@@ -134,6 +135,7 @@ def drop_repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     total = repeated.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
     found = join_hot(pairs, repeated, "key", "places", total).where(~F.col("first").eqNullSafe(place))
     gone = found.groupBy(F.col("doc_id").alias("__gone_id"), F.col("version").alias("__gone_version")).agg(F.collect_set("start").alias("__gone"))
+    gone = if_small(materialise(gone, "pairs-gone"))
     same = base[id_col].eqNullSafe(gone["__gone_id"]) & (base["__version"] == gone["__gone_version"])
     joined = base.join(gone, same, "left").withColumn("__lines", F.split(F.col(text_col).cast("string"), "\n"))
     stays = F.expr("array_except(sequence(0, size(__lines) - 1), flatten(transform(__gone, s -> array(s, s + 1))))")

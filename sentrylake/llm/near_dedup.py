@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sentrylake.llm.arrays import LOWER, U64, gram_hashes, mix, slices, word_hashes, word_spans
 from sentrylake.operators.components import connected_components
-from sentrylake.operators.ranking import join_hot, running_total
+from sentrylake.operators.ranking import NARROW_ROWS, if_small, join_hot, running_total
 from sentrylake.session import materialise
 
 BUCKETS, BAND, MANTISSA = 128, 5, 10
@@ -400,7 +400,7 @@ def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col
     banded = big.select("doc_id", "sketch").mapInArrow(_bands, "band bigint, doc_id bigint")
     shared = banded.groupBy("band").agg(F.count("*").alias("c"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("band", "c", "lo")
     shared = materialise(shared, "shared-bands")
-    meet = join_hot(banded, shared, "band", "c", BANDS * classes.count())
+    meet = join_hot(banded, shared, "band", "c", BANDS * classes.count(), bound=NARROW_ROWS)
     wide = F.col("c") > most_members
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     placed = meet.where(~wide).join(big, "doc_id").select("band", "doc_id", "n", "sketch")
@@ -427,7 +427,7 @@ def _named(sketches: DataFrame, classes: DataFrame, links: DataFrame) -> DataFra
     named = materialise(named, "named-classes")
     total = named.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     rows = sketches.select("doc_id", "n", "digest")
-    joined = join_hot(rows.where("digest IS NOT NULL"), named, "digest", "copies", total, "left").select("doc_id", "n", "component_id")
+    joined = join_hot(rows.where("digest IS NOT NULL"), named, "digest", "copies", total, "left", bound=NARROW_ROWS).select("doc_id", "n", "component_id")
     joined = joined.unionByName(rows.where("digest IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id")))
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("bigint")).otherwise(F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
@@ -468,5 +468,5 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col: str =
 
     An id goes with all its rows if it is not the least of its component; rows without an id stay.
     """
-    goes = near_components(docs, shingle, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__goes")).distinct()
-    return docs.join(goes, docs[id_col] == goes["__goes"], "left_anti")
+    goes = materialise(near_components(docs, shingle, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__goes")).distinct(), "replaced-ids")
+    return docs.join(if_small(goes), docs[id_col] == goes["__goes"], "left_anti")
