@@ -370,7 +370,7 @@ def _unsettled(members: DataFrame, percent: int, block_shingles: int) -> DataFra
     return placed.select(F.col("node").alias("doc_id"), "cell").join(ends, "cell").select("doc_id", "pair")
 
 
-def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_shingles: int = 4_000_000, most_members: int = 10_000) -> DataFrame:
+def near_components(docs: DataFrame, shingle: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_shingles: int = 1_000_000, most_members: int = 10_000) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
     A text that is null or has no word has the empty set and is linked with nothing. component_id is
