@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -55,6 +56,15 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8), ends
 
 
+def release() -> None:
+    """Hands memory that a worker holds but does not use back to the system: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own counsel
+        pass
+
+
 def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0): row ranges of about ``most`` bytes."""
     data, ends = byte_view(column)
@@ -63,6 +73,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
         hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + most, "right")) - 1)
         yield lo, hi, data[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo]
         lo = hi
+    release()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

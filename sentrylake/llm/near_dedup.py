@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrylake.llm.arrays import LOWER, U64, gram_hashes, mix, slices, word_hashes, word_spans
+from sentrylake.llm.arrays import LOWER, U64, gram_hashes, mix, release, slices, word_hashes, word_spans
 from sentrylake.operators.components import connected_components
 from sentrylake.operators.ranking import NARROW_ROWS, if_small, join_hot, running_total
 from sentrylake.session import materialise
@@ -306,6 +306,9 @@ def _verified(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) ->
         ids = group.column(1).to_numpy()
         sets = [s for chunk in group.column(2).chunks for s in shingle_sets(chunk, shingle)]
         out += [(int(ids[x]), int(ids[y])) for x, y in spanning_links(sets, percent)]
+        if group.num_rows > 1000:
+            del sets
+            release()
         if len(out) > 50_000:
             yield pa.RecordBatch.from_arrays([pa.array([t[k] for t in out], pa.int64()) for k in (0, 1)], schema=_TIES)
             out = []
