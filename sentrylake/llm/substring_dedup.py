@@ -11,10 +11,13 @@ share one, so an anchor's gram is the prefix by which suffixes are partitioned.
    A gram that a task sees twice is announced once, so a common passage costs a row per task.
 2. ``_segments`` cuts, from texts with repeated grams, the words around each such anchor. Equal
    segments of a task are combined: the earliest goes on, the others are repeats already.
-3. Segments meet by gram. ``_subtrees`` walks each gram's subtree to depth ``window``: nodes there are
-   whole windows compared word by word; the leaf that starts first stays, the others are repeats.
-   A gram with over ``most_segments`` segments is partitioned by longer prefixes, whole windows.
-4. ``_kept`` covers the repeats of each text that has any and joins what is left.
+3. Segments meet by gram. The suffixes of a gram with over ``group_bytes`` bytes of segments are dealt by
+   longer prefixes, their own first 10, then 15 words, so that each group fits a task's memory; what
+   10 or 15 words do not part is a node by itself, grouped by whole windows with map-side combining.
+4. ``_subtree`` builds the suffix tree of a group (suffixes in order with their common prefixes, word by
+   word). Its internal nodes of depth ``window`` and more that cannot be extended to the left are the
+   maximal repeats; the leaf that starts first stays, the others are repeats.
+5. ``_kept`` covers the repeats of each text that has any and joins what is left.
 """
 
 from __future__ import annotations
@@ -25,14 +28,21 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentrylake.llm.arrays import U64, gram_hashes, mix, slices, utf8, word_hashes, word_spans
-from sentrylake.llm.near_dedup import _groups
+from sentrylake.llm.arrays import U64, gram_hashes, mix, release, slices, word_hashes, word_spans
+from sentrylake.operators.ranking import if_small, join_hot
 from sentrylake.session import materialise
 
 GRAM = 5
+#: A tree is built over whole names of at least so many bytes, and at most that, a batch and one name more.
+TREE_BYTES = 1 << 20
+#: A name of more bytes is dealt by longer prefixes.
+GROUP_BYTES = 1 << 22
+#: Words of the longer prefixes; what is too common even then is grouped by whole windows.
+PREFIXES = (10, 15)
 _NULL_ID = -(1 << 63)
 
 
@@ -147,15 +157,15 @@ def _segments(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
             yield _table(rows[k : k + 20_000], _PARTS)
 
 
-def _windows_of(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Segments of too common grams, a window each, named by the whole window."""
+def _by_prefix(batches: Iterator[pa.RecordBatch], window: int, prefix: int) -> Iterator[pa.RecordBatch]:
+    """Segments of too common names, a suffix of ``window`` words each, named by the first ``prefix`` of them."""
     for batch in batches:
         rows = []
-        for doc_id, tid, start, body in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tid", "start", "body"))):
-            words = body.split()
-            for k in range(len(words) - window + 1):
-                one = b" ".join(words[k : k + window])
-                rows.append((2, doc_id, tid, int.from_bytes(hashlib.blake2b(one, digest_size=8).digest(), "little", signed=True), start + k, 1, one))
+        for doc_id, tid, start, n, body in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tid", "start", "n", "body"))):
+            words = body.split(b" ")
+            for k in range(n):
+                first = hashlib.blake2b(b" ".join(words[k : k + prefix]), digest_size=8).digest()
+                rows.append((2, doc_id, tid, int.from_bytes(first, "little", signed=True), start + k, 1, b" ".join(words[k : k + window])))
         for k in range(0, len(rows), 20_000):
             yield _table(rows[k : k + 20_000], _PARTS)
 
@@ -163,31 +173,72 @@ def _windows_of(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
 _REPEATS = pa.schema([("doc_id", pa.int64()), ("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
 
 
+def _subtree(group: pa.Table, window: int) -> pa.RecordBatch | None:
+    """The repeats of a group: suffixes in order, their common prefixes, and so the tree's internal nodes.
+
+    Words are numbered by their bytes, suffixes compared by these numbers. A node of depth ``window``
+    or more whose leaves do not all follow one word is a maximal repeat; its first leaf stays.
+    """
+    group = group.combine_chunks()
+    doc, tid, start, n = (np.asarray(group.column(c)) for c in ("doc_id", "tid", "start", "n"))
+    words = pc.split_pattern(group.column("body").combine_chunks(), pattern=b" ")
+    first = np.asarray(words.offsets).astype(np.int64)
+    codes = np.asarray(words.flatten().dictionary_encode().indices)
+    owner = np.repeat(np.arange(len(n)), n)
+    k = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    at = first[owner] + k
+    # suffixes whose first words' hash is alone share no deep node
+    _, inverse, counts = np.unique(gram_hashes(mix(codes.astype(U64) + U64(1)), window)[at], return_inverse=True, return_counts=True)
+    live = np.flatnonzero(counts[inverse] > 1)
+    if not len(live):
+        return None
+    owner, k, at = owner[live], k[live], at[live]
+    left = first[owner + 1] - at
+    depth = int(left.max())
+    reach = np.arange(depth)
+    text = codes[np.minimum(at[:, None] + reach, len(codes) - 1)].astype(">u4")
+    text[reach >= left[:, None]] = 0xFFFFFFFF
+    order = np.argsort(text.view(f"V{4 * depth}").ravel(), kind="stable")
+    differ = text[order[1:]] != text[order[:-1]]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), depth)
+    common = np.minimum(common, np.minimum(left[order[1:]], left[order[:-1]]))
+    before = np.where(k > 0, codes[at - 1].astype(np.int64), -1)[order]
+    place = np.stack([doc[owner], tid[owner], start[owner] + k])
+    longest = np.zeros(len(order), np.int64)
+    for d in range(window, depth + 1):
+        if not (common == d).any():
+            continue
+        run = np.concatenate([[0], np.cumsum(common < d)])
+        heads = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+        node = np.zeros(len(heads), bool)
+        node[run[1:][common == d]] = True
+        low, high = np.minimum.reduceat(before, heads), np.maximum.reduceat(before, heads)
+        node &= (low < 0) | (low != high)
+        earliest = np.minimum.reduceat(order, heads)[run]  # suffixes of a group come in the order of their places
+        longest[node[run] & (place[:, order] != place[:, earliest]).any(axis=0)] = d
+    found = longest > 0
+    doc_ids, tids, starts = place[:, order[found]]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (doc_ids, tids, starts, longest[found] - window + 1)], schema=_REPEATS)
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Input sorted by (name, doc_id, tid, start). Nodes at depth ``window`` of each name's subtree."""
-    rows: list[tuple] = []
-    name, nodes = None, {}
+    """Input sorted by (name, doc_id, tid, start). Whole names are gathered until they are worth a tree."""
+    waiting: list[pa.RecordBatch] = []
     for batch in batches:
-        for now, doc_id, tid, start, n, body in zip(*(batch.column(c).to_pylist() for c in ("name", "doc_id", "tid", "start", "n", "body"))):
-            if now != name:
-                name, nodes = now, {}
-            words = body.split(b" ")
-            low = -1
-            for k in range(n):
-                leaf = (doc_id, tid, start + k)
-                repeat = nodes.setdefault(b" ".join(words[k : k + window]), leaf) != leaf
-                if repeat and low < 0:
-                    low = k
-                elif not repeat and low >= 0:
-                    rows.append((doc_id, tid, start + low, k - low))
-                    low = -1
-            if low >= 0:
-                rows.append((doc_id, tid, start + low, n - low))
-        if len(rows) > 20_000:
-            yield _table(rows, _REPEATS)
-            rows = []
-    if rows:
-        yield _table(rows, _REPEATS)
+        if not len(batch):
+            continue
+        if sum(b.column("body").nbytes for b in waiting) >= TREE_BYTES:
+            cut = int(np.searchsorted(np.asarray(batch.column("name")), waiting[-1].column("name")[-1].as_py(), "right"))
+            if cut < len(batch):
+                made = _subtree(pa.Table.from_batches([*waiting, batch.slice(0, cut)]), window)
+                waiting, batch = [], batch.slice(cut)
+                if made is not None:
+                    yield made
+        waiting.append(batch)
+    made = _subtree(pa.Table.from_batches(waiting), window) if waiting else None
+    if made is not None:
+        yield made
+    release()
 
 
 _DONE = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary()), ("kept_sha256", pa.string())])
@@ -212,13 +263,13 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, with_text: bool) -> It
             yield _table(rows, _DONE)
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, most_segments: int = 200_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256[, kept: the words left, if any went].
 
     Null and empty texts have no words. Texts shorter than a window lose nothing. A null id comes
     before any other. Rows that share an id but not a text are told apart by their texts' hash, in
     that order; rows that repeat both are one document and lose the same words. An empty table gives
-    an empty result.
+    an empty result. ``group_bytes`` bounds what a tree is built from, not what is found.
     """
     if window < GRAM:
         raise ValueError("window must have five words or more")
@@ -231,15 +282,27 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     lists = seen.groupBy("tid").agg(F.collect_set("name").alias("names"))
     joined = texts.join(lists, "tid", "left").select("doc_id", "tid", "text", "names")
     parts = materialise(joined.mapInArrow(partial(_segments, window=window), _PARTS_DDL), "segments")
-    segments = parts.where("kind = 2")
-    common = segments.groupBy("name").count().where(F.col("count") > most_segments).select("name")
-    if not common.isEmpty():
-        longer = segments.join(common, "name", "left_semi").mapInArrow(partial(_windows_of, window=window), _PARTS_DDL)
-        segments = segments.join(common, "name", "left_anti").unionByName(longer)
+    segments = parts.where("kind = 2").select(*_PARTS.names)
+    repeats = parts.where("kind = 3").select(*_REPEATS.names)
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = segments.select("name", "doc_id", "tid", "start", "n", "body").repartition(count, "name").sortWithinPartitions("name", "doc_id", "tid", "start")
-    repeats = dealt.mapInArrow(partial(_subtrees, window=window), "doc_id bigint, tid bigint, start bigint, n bigint")
-    repeats = repeats.unionByName(parts.where("kind = 3").select("doc_id", "tid", "start", "n"))
+    for prefix in (*(p for p in PREFIXES if p < window), window):
+        sizes = segments.groupBy("name").agg(F.sum(F.octet_length("body")).alias("size"))
+        wide = materialise(sizes.where(F.col("size") > group_bytes).select("name"), "wide-names")
+        whole = wide.isEmpty()
+        narrow = segments if whole else segments.join(if_small(wide), "name", "left_anti")
+        dealt = narrow.select("name", "doc_id", "tid", "start", "n", "body").repartition(count, "name").sortWithinPartitions("name", "doc_id", "tid", "start")
+        repeats = repeats.unionByName(dealt.mapInArrow(partial(_subtrees, window=window), "doc_id bigint, tid bigint, start bigint, n bigint"))
+        if whole:
+            break
+        segments = segments.join(if_small(wide), "name", "left_semi").select(*_PARTS.names)
+        segments = materialise(segments.mapInArrow(partial(_by_prefix, window=window, prefix=prefix), _PARTS_DDL), "longer-prefixes")
+    else:
+        place = F.struct("doc_id", "tid", "start")
+        nodes = segments.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("leaves"))
+        nodes = materialise(nodes.where("leaves > 1"), "whole-windows")
+        total = nodes.agg(F.coalesce(F.sum("leaves"), F.lit(0))).first()[0]
+        again = join_hot(segments.select("doc_id", "tid", "start", "n", "body"), nodes, "body", "leaves", total)
+        repeats = repeats.unionByName(again.where(F.col("first") != place).select(*_REPEATS.names))
     spans = repeats.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     open_texts = parts.where("kind = 1").select("doc_id", "tid", "body")
     covered = open_texts.join(spans, ["doc_id", "tid"], "left").select("doc_id", "body", "spans")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,7 +211,8 @@ def test_tokens(tokens, text):
 
 
 def test_substrings(spark, docs, none):
-    for frame, rows, window in ((docs, corpus(), 20), (docs, corpus(), 5)):
+    # bounds of 0 and 300 bytes: all, or the commoner, suffixes go on to longer prefixes and whole windows
+    for frame, rows, window, bound in ((docs, corpus(), 20, None), (docs, corpus(), 20, 0), (docs, corpus(), 20, 300), (docs, corpus(), 5, 40)):
         seen, want = {}, Counter()
         order = sorted({(i is not None, i or 0, t or "") for i, t in rows})
         texts = defaultdict(list)
@@ -229,12 +231,37 @@ def test_substrings(spark, docs, none):
                     gone.update(range(k, k + window))
             left = " ".join(x for k, x in enumerate(w) if k not in gone)
             want[i, len(w), len(gone), hashlib.sha256(left.encode()).hexdigest()] += 1
-        got = substring_dedup.remove_repeats(frame, window=window, most_segments=4 if window == 5 else 200_000).collect()
+        got = substring_dedup.remove_repeats(frame, window=window, **({} if bound is None else {"group_bytes": bound})).collect()
         assert len(got) == len(rows)
         assert Counter(tuple(r) for r in got if r.doc_id is not None) == Counter({k: v for k, v in want.items() if k[0] is not None})
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("seed, letters, cut", [(1, 2, 1 << 20), (2, 3, 1), (3, 2, 200), (4, 40, 1)])
+def test_subtree_equals_brute_force(monkeypatch, seed, letters, cut):
+    """Nested and overlapping repeats, also inside one segment, in names (which share no words) that batches cut anywhere."""
+    rng, window, rows = np.random.default_rng(seed), 4, []
+    for name in range(6):
+        for doc in range(8):
+            n = int(rng.integers(1, 9))
+            rows.append((name, doc, 0, 100 * name, n, b" ".join(b"%d.%d" % (name, x) for x in rng.integers(0, letters, n + window - 1))))
+        rows.append(rows[-1])  # a row twice is no repeat of itself
+    seen, want = {}, set()
+    for name, doc, _, start, n, body in rows:
+        w = body.split()
+        for k in range(n):
+            if seen.setdefault(tuple(w[k : k + window]), (doc, start + k)) != (doc, start + k):
+                want |= {(doc, start + p) for p in range(k, k + window)}
+    monkeypatch.setattr(substring_dedup, "TREE_BYTES", cut)
+    schema = pa.schema([(c, pa.int64()) for c in ("name", "doc_id", "tid", "start", "n")] + [("body", pa.binary())])
+    batches = [substring_dedup._table(rows[k : k + 5], schema) for k in range(0, len(rows), 5)]
+    got = set()
+    for made in substring_dedup._subtrees(iter(batches), window):
+        for doc, _, start, n in zip(*(c.to_pylist() for c in made.columns)):
+            got |= {(doc, p) for p in range(start, start + n + window - 1)}
+    assert got == want
+
+
 def test_near(spark, docs, none):
     rows = [(i, t) for i, t in corpus() if i is not None]
     base = words(200, 3)
