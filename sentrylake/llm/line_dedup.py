@@ -1,17 +1,20 @@
 """Line dedup over content-defined chunks of lines (built-in functions only).
 
-A text's lines (cut at ``\\n``) are hashed; a rolling hash over the last ``WINDOW`` line hashes ends a chunk
-where it is 0 modulo ``EVERY``, so a passage put in or taken out shifts no boundary beyond its own
-neighbourhood. Chunks of two lines or more that are not blank and occur more than once in the corpus
-stay at their first place (least document, then least line) and are removed elsewhere.
+A text's lines (cut at ``\\n``) are hashed; a rolling hash over the last ``WINDOW`` line hashes chooses the
+places where chunks end, so a passage put in or taken out shifts no boundary beyond its own
+neighbourhood. Each text is cut ``EVERY`` times: the cut c ends its chunks where the rolling hash is c
+modulo ``EVERY``, so every place ends a chunk of one cut, and a passage that one cut divides badly has
+another chance. Chunks of two lines or more that are not blank and occur more than once in the corpus
+stay at their first place (least document, then least line); elsewhere their lines are removed.
 
 Chunks are compared by their whole text: the grouping key of the first pass is the text, combined
 before the shuffle, so a passage that a third of the corpus shares costs a row per task. Places
 then find their group by a 64-bit key, the commonest by a bounded broadcast; if two different texts share a key, places find their group by
 text as well.
 
-Chunks miss most short passages: a boundary must fall inside both copies, and half of the supplied texts
-have 3 to 8 lines. ``drop_repeated_pairs``, which the pipeline runs, has no boundaries and misses none.
+Chunks still miss short passages: two boundaries of one cut must fall inside both copies, and half of the
+supplied texts have 3 to 8 lines. ``drop_repeated_pairs``, which the pipeline runs, has no boundaries and
+misses none.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from sentrylake.operators.ranking import if_small, join_hot
 from sentrylake.session import materialise
 
-WINDOW, EVERY, BASE, MODULUS = 3, 4, 31, 1_000_003
+WINDOW, EVERY, BASE, MODULUS = 2, 2, 31, 1_000_003
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -38,13 +41,16 @@ def line_hash(line: Column) -> Column:
 
 
 def chunk_spans(lines: Column) -> Column:
-    """array<struct<start, n>>: the chunks of an array of lines, start counted from 0."""
+    """array<struct<start, n>>: the chunks of an array of lines by all cuts, each once, start counted from 0."""
 
-    def ends(h: Column) -> Column:
+    def rolled(h: Column) -> Column:
         at = lambda i, back: F.element_at(h, (i - back + 1).cast("int")) % MODULUS
-        rolled = lambda i: (at(i, 2) * (BASE * BASE) + at(i, 1) * BASE + at(i, 0)) % MODULUS
-        last = F.size(h) - 1
-        return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | F.when(i >= WINDOW - 1, rolled(i) % EVERY == 0).otherwise(False))
+        value = lambda i: sum((at(i, back) * BASE**back for back in range(1, WINDOW)), at(i, 0)) % MODULUS
+        return F.transform(F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.when(i >= WINDOW - 1, value(i) % EVERY).otherwise(-1))
+
+    def ends(r: Column, cut: int) -> Column:
+        last = F.size(r) - 1
+        return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.element_at(r, i + 1) == cut))
 
     def spans(e: Column) -> Column:
         return F.transform(
@@ -55,7 +61,10 @@ def chunk_spans(lines: Column) -> Column:
             ),
         )
 
-    return _let(_let(F.transform(lines, line_hash), ends), spans)
+    def cuts(r: Column) -> Column:
+        return F.array_distinct(F.concat(*[_let(ends(r, cut), spans) for cut in range(EVERY)]))
+
+    return _let(_let(F.transform(lines, line_hash), rolled), cuts)
 
 
 def _chunks(texts: DataFrame) -> DataFrame:
@@ -88,25 +97,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if groups.groupBy("key").count().where("count > 1").isEmpty():
         repeated = materialise(groups.where("places > 1"), "chunk-repeats")
         total = groups.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
-        found = join_hot(chunks.select("doc_id", "version", "start", "key"), repeated, "key", "places", total)
+        found = join_hot(chunks.select("doc_id", "version", "start", "n", "key"), repeated, "key", "places", total)
     else:
         repeated = by_text.where("places > 1").select("chunk", "first")
-        found = chunks.select("doc_id", "version", "start", "key", "chunk").join(repeated, "chunk")
-    gone = found.where(~F.col("first").eqNullSafe(place)).groupBy(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.collect_set(F.struct("start", "key")).alias("gone"))
+        found = chunks.select("doc_id", "version", "start", "n", "key", "chunk").join(repeated, "chunk")
+    gone = found.where(~F.col("first").eqNullSafe(place)).groupBy(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.collect_set(F.struct("start", "n")).alias("gone"))
     gone = if_small(materialise(gone, "chunks-gone"))
     joined = base.join(gone, base["doc_id"].eqNullSafe(gone["gone_id"]) & (base["version"] == gone["gone_version"]), "left")
-    lined = joined.select("doc_id", "rest", F.split("text", "\n").alias("lines"), F.coalesce("gone", F.expr("CAST(array() AS array<struct<start:int,key:bigint>>)")).alias("gone"))
+    lined = joined.select("doc_id", "rest", "text", F.split("text", "\n").alias("lines"), "gone")
     lined = lined.withColumn("spans", F.when(F.col("lines").isNotNull(), chunk_spans(F.col("lines"))))
-    bits = f" % {1 << key_bits}L" if key_bits < 64 else ""
-    stays = F.expr(
-        "CASE WHEN size(gone) = 0 THEN spans ELSE filter(spans, s -> s.n < 2 OR NOT array_contains(gone, "
-        f"struct(s.start AS start, xxhash64(array_join(slice(lines, s.start + 1, s.n), '\n')){bits} AS key))) END"
-    )
-    kept = lined.withColumn("stays", stays)
-    text = F.expr("CASE WHEN size(gone) = 0 THEN array_join(lines, '\n') ELSE array_join(flatten(transform(stays, s -> slice(lines, s.start + 1, s.n))), '\n') END")
+    stays = F.expr("array_except(sequence(0, size(lines) - 1), flatten(transform(gone, s -> sequence(s.start, s.start + s.n - 1))))")
+    kept = lined.withColumn("stays", F.when(F.col("gone").isNotNull(), stays))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.expr("array_join(transform(stays, i -> element_at(lines, i + 1)), '\n')"))
     n_lines = F.coalesce(F.array_size("lines"), F.lit(0)).cast("bigint")
-    left = F.expr("CAST(aggregate(stays, 0, (a, s) -> a + s.n) AS bigint)")
-    counters = {"n_lines": n_lines, "n_chunks": F.coalesce(F.array_size("spans"), F.lit(0)).cast("bigint"), "n_removed_lines": n_lines - F.coalesce(left, F.lit(0))}
+    removed = F.coalesce(F.array_size("lines") - F.array_size("stays"), F.lit(0)).cast("bigint")
+    counters = {"n_lines": n_lines, "n_chunks": F.coalesce(F.array_size("spans"), F.lit(0)).cast("bigint"), "n_removed_lines": removed}
     return kept.select("doc_id", *[F.col("rest")[c].alias(c) for c in others], *[v.alias(c) for c, v in counters.items() if c not in others], text.alias("text"))
 
 

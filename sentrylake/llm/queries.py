@@ -73,14 +73,16 @@ _BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OP1_SQL = f"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS i FROM documents WHERE text IS NOT NULL),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT % {line_dedup.MODULUS} AS h FROM l),
-r AS (SELECT *, (lag(h, 2) OVER w * {line_dedup.BASE**2} + lag(h, 1) OVER w * {line_dedup.BASE} + h) % {line_dedup.MODULUS} AS r FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-c AS (SELECT *, coalesce(sum(CASE WHEN r % {line_dedup.EVERY} = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM r),
-chunks AS (SELECT doc_id, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM c GROUP BY ALL),
+r AS (SELECT *, (lag(h) OVER w * {line_dedup.BASE} + h) % {line_dedup.MODULUS} % {line_dedup.EVERY} AS r FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT r.*, cut, coalesce(sum(CASE WHEN r = cut THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, cut ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM r, generate_series(0, {line_dedup.EVERY - 1}) AS cuts(cut)),
+chunks AS (SELECT DISTINCT doc_id, start, n, chunk FROM (SELECT doc_id, cut, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM c GROUP BY ALL)),
 marked AS (SELECT *, n > 1 AND regexp_matches(chunk, '[^\\s\\x0B]') AND row_number() OVER (PARTITION BY n > 1, chunk ORDER BY doc_id, start) > 1 AS gone FROM chunks),
-kept AS (SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*) AS n_chunks, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
-  sha256(coalesce(string_agg(chunk, chr(10) ORDER BY start) FILTER (NOT gone), '')) AS kept_sha256 FROM marked GROUP BY 1)
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(start, start + n - 1)) AS i FROM marked WHERE gone),
+counts AS (SELECT doc_id, count(*) AS n_chunks FROM chunks GROUP BY 1),
+kept AS (SELECT l.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed_lines,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL), '')) AS kept_sha256 FROM l LEFT JOIN gone USING (doc_id, i) GROUP BY 1)
 SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::BIGINT AS n_chunks, coalesce(n_removed_lines, 0)::BIGINT AS n_removed_lines, coalesce(kept_sha256, sha256('')) AS kept_sha256
-FROM documents LEFT JOIN kept USING (doc_id)
+FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
 
 OP3_SQL = r"""

@@ -371,6 +371,28 @@ def test_sketch_estimate():
     assert abs(like[0] - 1800 / 2200) < 0.15 and abs(like[1]) < 0.05
 
 
+def lines_left(rows):
+    """What the chunks of all cuts leave of each text whose id has one row, by id."""
+    cut, seen, left = {}, {}, {}
+    for i, t in sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines = t.split("\n")
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) % line_dedup.MODULUS for x in lines]
+        spans = set()
+        for c in range(line_dedup.EVERY):
+            start = 0
+            for e in range(len(h)):
+                if e == len(h) - 1 or e > 0 and (h[e - 1] * line_dedup.BASE + h[e]) % line_dedup.MODULUS % line_dedup.EVERY == c:
+                    spans.add((start, e + 1))
+                    start = e + 1
+        cut[i, t] = lines, {(a, b, "\n".join(lines[a:b])) for a, b in spans if b - a > 1 and "".join(lines[a:b]).strip()}
+        for a, _, chunk in sorted(cut[i, t][1]):
+            seen.setdefault(chunk, (i, a, t))
+    for (i, t), (lines, chunks) in cut.items():
+        gone = {k for a, b, chunk in chunks if seen[chunk] != (i, a, t) for k in range(a, b)}
+        left[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return {i: t for i, t in left.items() if len({u for j, u in rows if j == i}) == 1}
+
+
 def test_lines(docs, none):
     got = line_dedup.dedup_lines(docs)
     assert set(docs.columns) <= set(got.columns)
@@ -387,6 +409,9 @@ def test_lines(docs, none):
                 assert r.text == t
         assert sum(r.n_removed_lines for r in rows) > 20
         assert by[63].n_removed_lines > 0  # the shifted copy loses its chunks too
+        for i, left in lines_left(corpus()).items():
+            if i in by:
+                assert by[i].text == left
     assert line_dedup.dedup_lines(none).count() == 0
 
 
