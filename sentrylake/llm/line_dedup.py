@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentrylake.operators.ranking import if_small, join_hot
+from sentrylake.operators.ranking import BROADCAST_ROWS, if_small, join_hot
 from sentrylake.session import materialise
 
 WINDOW, EVERY, BASE, MODULUS = 2, 2, 31, 1_000_003
@@ -75,6 +75,12 @@ def _chunks(texts: DataFrame) -> DataFrame:
     return exploded.where("n > 1 AND chunk RLIKE '\\\\S'").withColumn("key", F.xxhash64("chunk"))
 
 
+def _if_few(table: DataFrame, lists: str) -> DataFrame:
+    """``table``, marked to be broadcast where its lists, none of which is empty, are counted to be short together."""
+    total = table.agg(F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()[0]
+    return F.broadcast(table) if total <= BROADCAST_ROWS else table
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_bits: int = 64) -> DataFrame:
     """One row per row of ``docs``: all its columns but the text, n_lines, n_chunks, n_removed_lines, text (what is left).
 
@@ -102,7 +108,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         repeated = by_text.where("places > 1").select("chunk", "first")
         found = chunks.select("doc_id", "version", "start", "n", "key", "chunk").join(repeated, "chunk")
     gone = found.where(~F.col("first").eqNullSafe(place)).groupBy(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.collect_set(F.struct("start", "n")).alias("gone"))
-    gone = if_small(materialise(gone, "chunks-gone"))
+    gone = _if_few(materialise(gone, "chunks-gone"), "gone")
     joined = base.join(gone, base["doc_id"].eqNullSafe(gone["gone_id"]) & (base["version"] == gone["gone_version"]), "left")
     lined = joined.select("doc_id", "rest", "text", F.split("text", "\n").alias("lines"), "gone")
     lined = lined.withColumn("spans", F.when(F.col("lines").isNotNull(), chunk_spans(F.col("lines"))))
