@@ -23,13 +23,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages of two lines or more go; a document of which nothing is left goes with them.
+    """Repeated content-defined chunks go, then what an exact check finds of repeated passages of two lines or more; a document of which nothing is left goes with them.
 
     n_chars follows the text where lines went. A null text stays null, an empty text stays. Null ids
     come before any other; rows that repeat an id and a text lose the same lines. Columns of any other
     name stay as they are. An empty table stays empty.
     """
-    made = line_dedup.drop_repeated_pairs(docs, counter="__removed")
+    made = line_dedup.drop_repeats(docs, counter="__removed")
     left = made.where("NOT (__removed > 0 AND text = '')")
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("__removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")))

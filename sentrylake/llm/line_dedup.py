@@ -13,8 +13,8 @@ then find their group by a 64-bit key, the commonest by a bounded broadcast; if
 text as well.
 
 Chunks still miss short passages: two boundaries of one cut must fall inside both copies, and half of the
-supplied texts have 3 to 8 lines. ``drop_repeated_pairs``, which the pipeline runs, has no boundaries and
-misses none.
+supplied texts have 3 to 8 lines. ``drop_repeats``, which the pipeline runs, lets an exact comparison of
+every two lines follow the chunks, which has no boundaries and misses none.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentrylake.operators.ranking import BROADCAST_ROWS, if_small, join_hot
+from sentrylake.operators.ranking import BROADCAST_ROWS, join_hot
 from sentrylake.session import materialise
 
 WINDOW, EVERY, BASE, MODULUS = 2, 2, 31, 1_000_003
@@ -81,6 +81,27 @@ def _if_few(table: DataFrame, lists: str) -> DataFrame:
     return F.broadcast(table) if total <= BROADCAST_ROWS else table
 
 
+def _later_chunks(chunks: DataFrame) -> DataFrame:
+    """(doc_id, version, start, n) of the chunks that are not the first of their text."""
+    place = F.struct("doc_id", "start", "version")
+    by_text = chunks.groupBy("chunk").agg(F.first("key").alias("key"), F.min(place).alias("first"), F.count("*").alias("places"))
+    groups = materialise(by_text.select("key", "first", "places"), "chunk-groups")
+    if groups.groupBy("key").count().where("count > 1").isEmpty():
+        repeated = materialise(groups.where("places > 1"), "chunk-repeats")
+        total = groups.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
+        found = join_hot(chunks.select("doc_id", "version", "start", "n", "key"), repeated, "key", "places", total)
+    else:
+        repeated = by_text.where("places > 1").select("chunk", "first")
+        found = chunks.select("doc_id", "version", "start", "n", "key", "chunk").join(repeated, "chunk")
+    return found.where(~F.col("first").eqNullSafe(place)).select("doc_id", "version", "start", "n")
+
+
+def _gone_lists(places: DataFrame, id_name: str, version_name: str, name: str) -> DataFrame:
+    """Places of lines that go as one list of spans a document."""
+    spans = F.collect_set(F.struct("start", "n")).alias(name)
+    return places.groupBy(F.col("doc_id").alias(id_name), F.col("version").alias(version_name)).agg(spans)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_bits: int = 64) -> DataFrame:
     """One row per row of ``docs``: all its columns but the text, n_lines, n_chunks, n_removed_lines, text (what is left).
 
@@ -97,17 +118,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chunks = _chunks(base.select("doc_id", "version", "text"))
     if key_bits < 64:
         chunks = chunks.withColumn("key", F.col("key") % F.lit(1 << key_bits))
-    place = F.struct("doc_id", "start", "version")
-    by_text = chunks.groupBy("chunk").agg(F.first("key").alias("key"), F.min(place).alias("first"), F.count("*").alias("places"))
-    groups = materialise(by_text.select("key", "first", "places"), "chunk-groups")
-    if groups.groupBy("key").count().where("count > 1").isEmpty():
-        repeated = materialise(groups.where("places > 1"), "chunk-repeats")
-        total = groups.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
-        found = join_hot(chunks.select("doc_id", "version", "start", "n", "key"), repeated, "key", "places", total)
-    else:
-        repeated = by_text.where("places > 1").select("chunk", "first")
-        found = chunks.select("doc_id", "version", "start", "n", "key", "chunk").join(repeated, "chunk")
-    gone = found.where(~F.col("first").eqNullSafe(place)).groupBy(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.collect_set(F.struct("start", "n")).alias("gone"))
+    gone = _gone_lists(_later_chunks(chunks), "gone_id", "gone_version", "gone")
     gone = _if_few(materialise(gone, "chunks-gone"), "gone")
     joined = base.join(gone, base["doc_id"].eqNullSafe(gone["gone_id"]) & (base["version"] == gone["gone_version"]), "left")
     lined = joined.select("doc_id", "rest", "text", F.split("text", "\n").alias("lines"), "gone")
@@ -130,26 +141,27 @@ def _pairs(texts: DataFrame) -> DataFrame:
     return lined.select("doc_id", "version", F.explode(pairs).alias("p")).select("doc_id", "version", "p.start", F.unhex(F.sha2("p.pair", 256)).alias("key"))
 
 
-def drop_repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counter: str = "n_removed_lines") -> DataFrame:
-    """One row per row of ``docs``: all its columns, the text without repeats, and ``counter`` (which docs must not have).
-
-    Every two lines next to each other that are not both blank are compared, by SHA-256, with all
-    others of the corpus; both lines go unless it is their first place (least document, then least
-    line). So every line of a repeated passage of two lines or more goes, and of a run of one line
-    the first stays. Nulls, empty texts and repeated rows are met as in ``dedup_lines``.
-    """
-    base = docs.withColumn("__version", F.xxhash64(F.col(text_col).cast("string")))
-    pairs = _pairs(base.select(F.col(id_col).alias("doc_id"), F.col("__version").alias("version"), F.col(text_col).cast("string").alias("text")))
-    place = F.struct("doc_id", "start", "version")
+def _later_pairs(texts: DataFrame) -> DataFrame:
+    """(doc_id, version, start, n) of every two lines that are not the first place of their pair."""
+    pairs, place = _pairs(texts), F.struct("doc_id", "start", "version")
     groups = pairs.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("places"))
     repeated = materialise(groups.where("places > 1"), "pair-groups")
     total = repeated.agg(F.coalesce(F.sum("places"), F.lit(0))).first()[0]
     found = join_hot(pairs, repeated, "key", "places", total).where(~F.col("first").eqNullSafe(place))
-    gone = found.groupBy(F.col("doc_id").alias("__gone_id"), F.col("version").alias("__gone_version")).agg(F.collect_set("start").alias("__gone"))
-    gone = if_small(materialise(gone, "pairs-gone"))
+    return found.select("doc_id", "version", "start", F.lit(2).alias("n"))
+
+
+def _drop(docs: DataFrame, id_col: str, text_col: str, counter: str, *finds: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``docs`` without the lines that any of ``finds`` names, all judged on the texts as they are."""
+    base = docs.withColumn("__version", F.xxhash64(F.col(text_col).cast("string")))
+    texts = base.select(F.col(id_col).alias("doc_id"), F.col("__version").alias("version"), F.col(text_col).cast("string").alias("text"))
+    places = finds[0](texts)
+    for find in finds[1:]:
+        places = places.unionByName(find(texts))
+    gone = _if_few(materialise(_gone_lists(places, "__gone_id", "__gone_version", "__gone"), "lines-gone"), "__gone")
     same = base[id_col].eqNullSafe(gone["__gone_id"]) & (base["__version"] == gone["__gone_version"])
     joined = base.join(gone, same, "left").withColumn("__lines", F.split(F.col(text_col).cast("string"), "\n"))
-    stays = F.expr("array_except(sequence(0, size(__lines) - 1), flatten(transform(__gone, s -> array(s, s + 1))))")
+    stays = F.expr("array_except(sequence(0, size(__lines) - 1), flatten(transform(__gone, s -> sequence(s.start, s.start + s.n - 1))))")
     kept = joined.withColumn("__stays", F.when(F.col("__gone").isNotNull(), stays))
     left = F.expr("array_join(transform(__stays, i -> element_at(__lines, i + 1)), '\n')")
     text = F.when(F.col("__gone").isNull(), F.col(text_col).cast("string")).otherwise(left)
@@ -157,6 +169,26 @@ def drop_repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return kept.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], removed.alias(counter))
 
 
+def drop_repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counter: str = "n_removed_lines") -> DataFrame:
+    """One row per row of ``docs``: all its columns, the text without repeats, and ``counter`` (which docs must not have).
+
+    Every two lines next to each other that are not both blank are compared, by SHA-256, with all
+    others of the corpus; both lines go unless it is their first place (least document, then least
+    line). So every line of a repeated passage of two lines or more goes, and of a run of one line
+    the first stays. Nulls, empty texts and repeated rows are met as in ``dedup_lines``.
+    """
+    return _drop(docs, id_col, text_col, counter, _later_pairs)
+
+
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counter: str = "n_removed_lines") -> DataFrame:
+    """The same with the lines of the repeated content-defined chunks of ``dedup_lines`` gone too.
+
+    Chunks come first; the pairs follow as the exact check of what their boundaries miss. Both are
+    judged on the texts as they are, so what one removes makes no new neighbours for the other.
+    """
+    return _drop(docs, id_col, text_col, counter, lambda texts: _later_chunks(_chunks(texts)), _later_pairs)
+
+
 def line_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_chunks, n_removed_lines, kept_sha256."""
     slim = docs.select("doc_id", "text")

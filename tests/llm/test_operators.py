@@ -699,3 +699,31 @@ def test_pipeline_stages(spark, tmp_path):
     assert near_dedup.near_components(kept).where("NOT kept").count() == 0
     pieces = packing.pack(kept)
     assert pieces.select("doc_id").distinct().count() == kept.count()
+
+
+def test_line_stage_drops_chunks_then_pairs(spark):
+    """Blanks within a repeated chunk are no pairs, so chunks alone name them; passages that chunks cut are the pairs'."""
+    rows = [(0, None), (1, "")]
+    for k in range(12):
+        passage = "\n".join([f"w{k} alpha", *[f"m{k}{j}" for j in range(3)], *[""] * 5, *[f"n{k}{j} b" for j in range(4)]])
+        rows += [(10 * k + 11, f"top{k}\n{passage}\nend{k}"), (10 * k + 12, f"lead{k}\n{passage}\nlast{k}"), (10 * k + 13, f"x\nw{k} alpha\nm{k}0\ny{k}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    chunked = {(r.doc_id, r.start + i) for r in line_dedup._later_chunks(line_dedup._chunks(texts)).collect() for i in range(r.n)}
+    paired = {(r.doc_id, r.start + i) for r in line_dedup._later_pairs(texts).collect() for i in range(r.n)}
+    want = {}
+    for r in docs.collect():
+        lines = None if r.text is None else r.text.split("\n")
+        gone = {i for d, i in chunked | paired if d == r.doc_id}
+        want[r.doc_id] = (r.text if not gone else "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone))
+    assert chunked - paired and paired - chunked
+    assert {r.doc_id: (r.text, r.n_removed_lines) for r in line_dedup.drop_repeats(docs).collect()} == want
+
+
+def test_pipeline_line_stage_runs_the_chunks(spark, monkeypatch):
+    seen = []
+    cut = line_dedup._chunks
+    monkeypatch.setattr(line_dedup, "_chunks", lambda texts: seen.append(1) or cut(texts))
+    pipeline = pytest.importorskip("corpus_pipeline")
+    pipeline.line_deduplication(spark, spark.createDataFrame([(1, "a\nb\nc"), (2, "a\nb\nc")], "doc_id bigint, text string"), "").collect()
+    assert seen
