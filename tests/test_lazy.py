@@ -60,3 +60,28 @@ def test_no_table_is_made_that_is_not_read(spark):
 
 def test_bodies_are_made_by_all_cores(spark):
     assert world.feed(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_normal_texts_are_ordered_without_parsing(spark):
+    ends = ["", "a1", "b2", "rc1", "rc10", ".post2", ".post0", ".dev3", "a1.dev3", "rc1.post2", "rc1.post2.dev1", ".post2.dev3"]
+    texts = [r + e for r in ["0", "1", "1.0", "1.0.0", "1.2", "1.10", "10", "1.0.1", "2.999999999999999999"] for e in ends]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", pep440.parse(F.col("t"))["key"].alias("k"), pep440.normal_key(F.col("t")).alias("n"), pep440.is_normal(F.col("t")).alias("is"))
+    assert rows.where("is").count() == len(texts)
+    told = [r.n for r in rows.orderBy("k", "t").collect()]
+    assert told == sorted(told) and rows.select("k").distinct().count() == rows.select("n").distinct().count() == rows.select("k", "n").distinct().count()
+    lists = spark.createDataFrame([(texts[::-1],), (texts + ["1.0-1", "x", None],)], "x array<string>")
+    for equal in (False, True):
+        plain, long = (r.m for r in lists.select(normalise.by_version(F.col("x"), equal).alias("m")).collect())
+        assert [t for t in long if t != "1.0.post1"] == plain
+
+
+def test_stripping_and_sets_give_what_they_did(spark):
+    texts = ["", " ", "a", " a", "a ", "~", "!", "é", " é b ", "　x", "x ", "\x7f", "x\x1c", "a b", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.py_strip(F.col("t")).alias("s"), text.blank_to_null(F.col("t")).alias("b"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("before")).collect()
+    for r in rows:
+        assert r.s == r.before and r.b == (r.before or None), r
+    stamps = spark.createDataFrame([(f"2023-{m:02}-{d:02}T{h:02}:00:59Z",) for m in (0, 1, 2, 4, 12, 13) for d in (0, 1, 28, 29, 30, 31, 32) for h in (0, 23, 24)], "s string")
+    for r in stamps.select("s", normalise.iso_z(F.col("s")).alias("z"), F.try_to_timestamp("s").isNotNull().alias("ok")).collect():
+        assert r.z == (r.s if r.ok else None), r
+    made = spark.createDataFrame([(["b", None, "a", "b"],), ([],), (None,)], "x array<string>").select(text.sorted_set(F.col("x")).alias("m")).collect()
+    assert [r.m for r in made] == [["a", "b"], [], []]
