@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentrylake.functions import pep440, text
-from sentrylake.operators import normalise
+from sentrylake.operators import normalise, validation
 
 
 @pytest.fixture
@@ -28,3 +28,20 @@ def test_rules_are_one_text(trips, rule):
     column = F.col("t")
     rule(column)
     assert trips(lambda: rule(column)) < 100
+
+
+def test_contracts_are_one_text(spark, trips):
+    rows = spark.createDataFrame([], "record_id string, schema_version string, artifacts array<struct<filename:string,sha256:string,upload_time:string,size:bigint>>")
+    validation.schema_findings(rows, "version")
+    assert trips(lambda: validation.schema_findings(rows, "version")) < 400
+
+
+def test_contract_stamps_and_quotes(spark):
+    rows = spark.createDataFrame([("x'\\", ["2020-02-29T00:00:00Z", "2021-02-29T00:00:00Z", "2020-01-01T00:00:00", "2020-01-01T00:00:00.5+02:00", None])], "record_id string, stamps array<string>")
+    listed = rows.select(F.col("record_id"), F.transform("stamps", lambda s: F.struct(s.alias("upload_time"), F.lit("f").alias("filename"))).alias("artifacts"))
+    told = [r.reason for r in validation.schema_findings(listed, "version").collect() if " at " in r.reason]
+    assert told == [
+        "'2021-02-29T00:00:00Z' is not a 'date-time' at artifacts.1.upload_time",
+        "'2020-01-01T00:00:00' is not a 'date-time' at artifacts.2.upload_time",
+        "'x'\\' does not match '^[a-z][a-z0-9_]*:[0-9a-f]{64}$' at record_id",
+    ]
