@@ -45,3 +45,21 @@ def test_contract_stamps_and_quotes(spark):
         "'2020-01-01T00:00:00' is not a 'date-time' at artifacts.2.upload_time",
         "'x'\\' does not match '^[a-z][a-z0-9_]*:[0-9a-f]{64}$' at record_id",
     ]
+
+
+def test_artifacts_are_judged_by_one_text(spark, trips):
+    kind = "array<struct<filename:string,url:string,size:bigint,packagetype:string,python_version:string,requires_python:string,upload_time_iso_8601:string,yanked:boolean,yanked_reason:string>>"
+    sound = {"filename": "a", "size": 1, "yanked": False, "upload_time_iso_8601": "2020-01-01T00:00:00Z", "url": None, "packagetype": None, "python_version": None, "requires_python": None, "yanked_reason": None}
+    broken = {
+        None: [{}, {"filename": "é"}, {"filename": " a"}, {"upload_time_iso_8601": " "}, {"upload_time_iso_8601": None}, {"upload_time_iso_8601": " 2020-01-01T00:00:00+01:00 "}, {"url": " " * 9 + "x" * 4096}, {"size": None}],
+        "artifact without a filename": [{"filename": None}, {"filename": ""}, {"filename": " \t"}],
+        "artifact text exceeds 4096 characters": [{"yanked_reason": "x" * 4097}, {"url": "é" * 4097}],
+        "artifact yanked flag is not a boolean": [{"yanked": None}],
+        "artifact size is negative": [{"size": -1}],
+        "artifact upload time is no datetime with a zone": [{"upload_time_iso_8601": t} for t in ("2020-01-01T00:00:00", "2020-02-30T00:00:00Z", "x")],
+    }
+    cases = [(want, sound | change) for want, changes in broken.items() for change in changes]
+    given = spark.createDataFrame([(i, "1.0", [sound, case]) for i, (_, case) in enumerate(cases)], f"i int, r string, files {kind}")
+    told = {r.i: r.told for r in given.select("i", normalise.release_problem(F.col("r"), F.col("files")).alias("told")).collect()}
+    assert told == {i: want and f"release 1.0: {want}" for i, (want, _) in enumerate(cases)}
+    assert trips(lambda: normalise.release_problem(F.col("r"), F.col("files"))) < 200
