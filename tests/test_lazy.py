@@ -1,5 +1,7 @@
 """The engine's tables are made when they are read; the cheap paths of texts give what the long ones do."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,14 @@ def test_stripping_and_sets_give_what_they_did(spark):
         assert r.z == (r.s if r.ok else None), r
     made = spark.createDataFrame([(["b", None, "a", "b"],), ([],), (None,)], "x array<string>").select(text.sorted_set(F.col("x")).alias("m")).collect()
     assert [r.m for r in made] == [["a", "b"], [], []]
+
+
+def test_versions_and_merged_advisories_are_made_at_once(spark):
+    met = threading.Barrier(2, timeout=20)
+
+    def bodies(kind):
+        met.wait()
+        raise RuntimeError("both are asked for")
+
+    with pytest.raises(RuntimeError, match="both are asked for"):
+        knowledge.Base(bodies, world.NAME, world.SLUG).advisories  # noqa: B018
