@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentrylake.functions import pep440, text
-from sentrylake.operators import normalise
+from sentrylake.operators import normalise, patterns, ranking
 from sentrylake.plans import knowledge, world
+from sentrylake.session import materialise
 
 TEXTS = ["1", "1.0", "1.0.0", "01.0", "1.0.10", "10.0", "0.0", "1.0rc1", "1rc1", "1.0.0.post2", "1.post2", "1!1.0", "1!1", "1.0+ubuntu.0", "1+ubuntu.0", "1.0.dev3", "v1.0", "1.0-1", "1.0\n", "1.0.post01", "x", "", "0", "00", "1.0b", "1..0", None]
 
@@ -98,3 +99,17 @@ def test_versions_and_merged_advisories_are_made_at_once(spark):
 
     with pytest.raises(RuntimeError, match="both are asked for"):
         knowledge.Base(bodies, world.NAME, world.SLUG).advisories  # noqa: B018
+
+
+@pytest.mark.parametrize("bound", [500_000, 1])
+def test_documents_stay_where_they_are(spark, monkeypatch, bound):
+    written = []
+    monkeypatch.setattr(patterns, "materialise", lambda df, name: written.append(name) or materialise(df, name))
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", bound)
+    rows = [(f"r{i}", f"t{i % 5}", f"same {i % 3}" if i < 9 else f"own {i}", f"X{i % 2}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "record_id string, title string, content string, a string").withColumn("metadata", F.struct(F.array("a").alias("advisory_ids")))
+    kept = patterns.keep_first_content(docs)
+    first = {min((r for r in rows if r[2] == c), key=lambda r: (r[3], r[1], r[0]))[0] for c in {r[2] for r in rows}}
+    assert sorted(r.record_id for r in kept.collect()) == sorted(first) and kept.columns == docs.columns
+    # where few copies go, no whole document is written or shuffled
+    assert written == ["repeated", "copies"] + ["documents"] * (bound == 1)
